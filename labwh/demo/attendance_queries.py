@@ -62,8 +62,8 @@ def _pairs(t: Tables, **variant) -> DataFrame:
 
 @query(oracle=f"""
     WITH {PAIRS_CTE}
-    SELECT user_id, record_date, in_event, hour(in_time) AS in_hour, minute(in_time) AS in_minute,
-           out_event, hour(out_time) AS out_hour, minute(out_time) AS out_minute,
+    SELECT user_id, record_date, in_event, CAST(hour(in_time) AS INTEGER) AS in_hour, CAST(minute(in_time) AS INTEGER) AS in_minute,
+           out_event, CAST(hour(out_time) AS INTEGER) AS out_hour, CAST(minute(out_time) AS INTEGER) AS out_minute,
            {half_up("(seconds / 3600.0::DOUBLE)", 1)} AS worktime,
            CASE WHEN in_time IS NULL OR out_time IS NULL OR seconds < 0 THEN 1 ELSE 0 END
              AS attendance_status,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labwh.demo.project_queries import city_suppliers
@@ -20,6 +20,7 @@ from labwh.operators import (
     lookup_levels,
     month_shift,
     outer_merge,
+    rank_within,
     scaffold,
     split_by_membership,
     with_month_shift,
@@ -71,9 +72,9 @@ def company_business_area(t: Tables) -> DataFrame:
     company = t.customer.select("c_custkey", "c_mktsegment", registered_area().alias("area"))
     areas = business_areas(t).withColumnRenamed("o_custkey", "c_custkey")
     rows = company.join(areas, "c_custkey", "left")
-    ordinal = F.row_number().over(Window.partitionBy("c_custkey").orderBy("s_nationkey"))
+    ranked = rank_within(rows, ["c_custkey"], [F.col("s_nationkey")], "rank")
     named = lookup_levels(
-        rows.withColumn("rank", ordinal),
+        ranked,
         t.nation,
         {"county_name": ("area", None), "project_county_name": ("s_nationkey", None)},
         code="n_nationkey",
@@ -277,8 +278,8 @@ def company_in_city(t: Tables) -> DataFrame:
         F.col("o_orderpriority").alias("project_type"),
         F.col("s_nationkey").alias("project_area"),
     )
-    w = Window.partitionBy("c_custkey").orderBy("project_type", "project_area")
-    ranked = company.join(typed, "c_custkey", "left").withColumn("type_top", F.row_number().over(w))
+    order = [F.col("project_type"), F.col("project_area")]
+    ranked = rank_within(company.join(typed, "c_custkey", "left"), ["c_custkey"], order, "type_top")
     city = t.city_nations()
     return in_any(ranked, [("project_area", city, "n_nationkey"), ("area", city, "n_nationkey")])
 

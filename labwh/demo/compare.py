@@ -37,6 +37,18 @@ def normal(value):
     return repr(value) if not isinstance(value, bool) else f"bool {value}"
 
 
+# Spark type -> DuckDB type, so that both sides also agree on the column types.
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
 def table(columns, rows) -> tuple[list[str], list[tuple]]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return [columns[i] for i in order], sorted(tuple(normal(r[i]) for i in order) for r in rows)
@@ -49,6 +61,10 @@ def differences(df, con, sql: str) -> str | None:
     other_cols, theirs = table([d[0] for d in res.description], res.fetchall())
     if cols != other_cols:
         return f"columns {cols} / {other_cols}"
+    types = {d[0]: str(d[1]) for d in res.description}
+    wrong = [f"{c}: {k} / {types[c]}" for c, k in df.dtypes if TYPES.get(k) != types[c]]
+    if wrong:
+        return f"types {wrong}"
     if mine == theirs:
         return None
     a, b = set(mine), set(theirs)

@@ -58,7 +58,8 @@ def rank_within(
     if split is None:
         if not keys:
             raise ValueError("a ranking over the whole result needs split")
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumn(name, F.row_number().over(w).cast("long"))
 
     cell, before = fresh_name(df, "cell"), fresh_name(df, "before")
     celled = df.withColumn(cell, split)
@@ -72,7 +73,7 @@ def rank_within(
     offsets = counts.withColumn(before, F.coalesce(F.sum(before).over(earlier), F.lit(0)))
     numbered = celled.withColumn(name, F.row_number().over(Window.partitionBy(*at).orderBy(*order)))
     joined = null_safe_join(numbered, offsets, at, "inner")
-    return joined.withColumn(name, (F.col(name) + F.col(before)).cast("int")).drop(cell, before)
+    return joined.withColumn(name, F.col(name) + F.col(before)).drop(cell, before)
 
 
 def dense_rank_within(
@@ -87,7 +88,8 @@ def dense_rank_within(
     tagged = df.withColumns(by)
     at = [*keys, *by]
     ranks = tagged.select(*at).distinct()
-    ranks = ranks.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    w = Window.partitionBy(*keys).orderBy(*order)
+    ranks = ranks.withColumn(name, F.row_number().over(w).cast("long"))
     added = [c for c in by if c not in df.columns]
     return null_safe_join(tagged, ranks, at, "left").drop(*added)
 
