@@ -36,14 +36,9 @@ def any_filled(*cols: Column | str) -> Column:
 
 
 def text_key(*parts: Column | str, pad: int = 2) -> Column:
-    """Composite text key. Number parts get leading zeros up to ``pad`` digits, so
-    (…,1,11) and (…,11,1) differ. String-typed parts go in as they are."""
-    out = []
-    for p in parts:
-        if isinstance(p, str):
-            p = F.col(p)
-        out.append(p)
-    head, *tail = out
+    """Composite text key. Parts after the first get leading zeros up to ``pad`` characters,
+    so (…,1,11) and (…,11,1) differ."""
+    head, *tail = [_col(p) for p in parts]
     return F.concat(head.cast("string"), *[_padded(t, pad) for t in tail])
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,15 +28,10 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     ``<=>`` is an equi-join condition to Spark, so the join still hashes or sorts on the keys.
     """
     renamed = {k: f"_r_{k}" for k in keys}
-    r = right.select(
-        *[F.col(k).alias(renamed[k]) for k in keys],
-        *[F.col(c) for c in right.columns if c not in renamed],
+    cond = reduce(
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(r)) for k, r in renamed.items()]
     )
-    cond = None
-    for k in keys:
-        one = left[k].eqNullSafe(r[renamed[k]])
-        cond = one if cond is None else cond & one
-    joined = left.join(r, cond, how)
+    joined = left.join(right.withColumnsRenamed(renamed), cond, how)
     if how in ("left_semi", "left_anti"):
         return joined
     return joined.drop(*renamed.values())
@@ -50,18 +46,12 @@ def keyed_join(
     """
     require(left, [a for a, _ in on])
     require(right, [b for _, b in on])
-    keys = {b for _, b in on}
-    clash = [c for c in right.columns if c in left.columns and c not in keys]
+    renamed = {b: f"_r_{b}" for _, b in on}
+    clash = [c for c in right.columns if c in left.columns and c not in renamed]
     if clash:
         raise ValueError(f"columns {clash} are on both sides; rename or drop them first")
-    r = right
-    pairs = []
-    for i, (a, b) in enumerate(on):
-        r = r.withColumnRenamed(b, f"_k{i}_{b}")
-        pairs.append((a, f"_k{i}_{b}"))
-    cond = None
-    for a, b in pairs:
-        one = left[a] == r[b]
-        cond = one if cond is None else cond & one
-    joined = left.join(r, cond, how)
-    return joined if how in ("left_semi", "left_anti") else joined.drop(*[b for _, b in pairs])
+    cond = reduce(lambda a, b: a & b, [F.col(a) == F.col(renamed[b]) for a, b in on])
+    joined = left.join(right.withColumnsRenamed(renamed), cond, how)
+    if how in ("left_semi", "left_anti"):
+        return joined
+    return joined.drop(*renamed.values())

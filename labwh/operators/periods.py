@@ -121,11 +121,11 @@ def cumulative_distinct(
 
     Each id is counted at the first cutoff after its first appearance and the counts are
     summed up. All id columns share one scan: rows are turned into (metric, id, time) and
-    reduced to the first time per id before the shuffle.
+    reduced to the first time per id before the shuffle. Ids of different types go as text.
     """
-    pairs = F.array(*[
-        F.struct(F.lit(n).alias("metric"), F.col(c).alias("id")) for n, c in ids.items()
-    ])
+    mixed = len({facts.schema[c].dataType for c in ids.values()}) > 1
+    values = {n: F.col(c).cast("string") if mixed else F.col(c) for n, c in ids.items()}
+    pairs = F.array(*[F.struct(F.lit(n).alias("metric"), v.alias("id")) for n, v in values.items()])
     seen = (
         facts.where(before(ts, cutoffs))
         .select(F.col(ts).alias("at"), F.explode(pairs).alias("p"))

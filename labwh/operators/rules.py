@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labwh.functions.labels import MET, NOT_MET
+from labwh.functions.labels import MET, NOT_MET, PARTLY_MET
 from labwh.operators.common import require
 
 
@@ -32,7 +32,6 @@ def score_rules(
 
 
 def covered_status(done: Column, needed: Column) -> Column:
-    """3 all covered, 4 partly covered, 1 none covered."""
-    return F.when(done == 0, NOT_MET).when(done < needed, 4).when(done == needed, MET).otherwise(
-        NOT_MET
-    )
+    """3 when at least as many are done as needed, 4 when only some are, 1 when none is."""
+    some = done > 0
+    return F.when(some & (done < needed), PARTLY_MET).when(some, MET).otherwise(NOT_MET)
