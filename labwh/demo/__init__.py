@@ -11,6 +11,11 @@ MODULES = (
     "company_queries",
     "salary_queries",
     "log_and_sink_queries",
+    "report_attendance",
+    "report_labourers",
+    "report_salary",
+    "report_projects",
+    "report_companies",
 )
 
 

@@ -55,8 +55,10 @@ def table(columns, rows) -> tuple[list[str], list[tuple]]:
 
 
 def differences(df, con, sql: str) -> str | None:
-    """None when columns, row count and all values agree."""
+    """None when columns, row count and all values agree; an empty result counts as a fault."""
     cols, mine = table(df.columns, [tuple(r) for r in df.collect()])
+    if not mine:
+        return "no rows"
     res = con.execute(sql)
     other_cols, theirs = table([d[0] for d in res.description], res.fetchall())
     if cols != other_cols:
