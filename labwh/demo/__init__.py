@@ -16,6 +16,8 @@ MODULES = (
     "report_salary",
     "report_projects",
     "report_companies",
+    "report_compliance",
+    "report_logs",
 )
 
 

@@ -84,16 +84,18 @@ def failed_calls(t: Tables) -> DataFrame:
 
 
 @query(oracle="""
-    SELECT c_custkey, c_name, round(CASE WHEN c_custkey % 3 = 0 THEN c_acctbal + 1 ELSE c_acctbal END, 2)
-             AS c_acctbal
-    FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0
+    SELECT c_custkey, c_name,
+           round(CASE WHEN c_acctbal < 1000 OR c_mktsegment = 'BUILDING' THEN c_acctbal + 1
+                      ELSE c_acctbal END, 2) AS c_acctbal
+    FROM customer
 """)
 def upsert_roundtrip(t: Tables) -> DataFrame:
-    """Even keys stored; keys divisible by three arrive with a new balance."""
-    rows = t.customer.select("c_custkey", "c_name", F.round("c_acctbal", 2).alias("c_acctbal"))
+    """One segment is new; it and the small balances arrive with a changed balance."""
+    cols = ["c_custkey", "c_name", F.round("c_acctbal", 2).alias("c_acctbal")]
+    is_new = F.col("c_mktsegment") == "BUILDING"
     old = fresh_path(t.spark, "upsert-old")
-    overwrite(rows.where(F.col("c_custkey") % 2 == 0), old)
-    fresh = rows.where(F.col("c_custkey") % 3 == 0)
+    overwrite(t.customer.where(~is_new).select(*cols), old)
+    fresh = t.customer.where((F.col("c_acctbal") < 1000) | is_new).select(*cols)
     fresh = fresh.withColumn("c_acctbal", F.round(F.col("c_acctbal") + 1, 2))
     return upsert(old, fresh, ["c_custkey"], fresh_path(t.spark, "upsert-new"))
 
@@ -115,34 +117,37 @@ def _by_month(df: DataFrame) -> DataFrame:
     SELECT year(o_orderdate) AS date_year, month(o_orderdate) AS date_month, count(*) AS order_count,
            CAST(sum({money('o_totalprice')}) AS DOUBLE) AS amt
     FROM orders
-    WHERE NOT (year(o_orderdate) = 1998 AND month(o_orderdate) = 3 AND o_orderkey % 2 = 1)
+    WHERE NOT (year(o_orderdate) = 1998 AND month(o_orderdate) = 3 AND o_orderstatus = 'P')
     GROUP BY 1, 2
 """)
 def dynamic_partition_roundtrip(t: Tables) -> DataFrame:
-    """A month partition is replaced by half of its rows; the other months stay."""
+    """A month partition is replaced by its open orders; the other months stay."""
     path = fresh_path(t.spark, "orders-by-month")
-    rows = month_partition_columns(t.orders.select("o_orderkey", "o_orderdate", "o_totalprice"), "o_orderdate")
+    rows = month_partition_columns(
+        t.orders.select("o_orderkey", "o_orderstatus", "o_orderdate", "o_totalprice"), "o_orderdate"
+    )
     cols = ["date_year", "date_month"]
     publish_partitions(rows, path, cols)
-    half = rows.where(in_unit("o_orderdate", MONTH, "month") & (F.col("o_orderkey") % 2 == 0))
-    publish_partitions(half, path, cols)
+    still_open = in_unit("o_orderdate", MONTH, "month") & (F.col("o_orderstatus") != "P")
+    publish_partitions(rows.where(still_open), path, cols)
     return _by_month(t.spark.read.parquet(path))
 
 
 @query(oracle=f"""
     SELECT o_orderkey, year(o_orderdate) AS date_year, month(o_orderdate) AS date_month,
-           CAST({money('o_totalprice')} + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS DOUBLE) AS amt
+           CAST({money('o_totalprice')} + CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS DOUBLE) AS amt
     FROM orders WHERE year(o_orderdate) = 1998 AND month(o_orderdate) IN (2, 3)
 """)
 def upsert_in_partition(t: Tables) -> DataFrame:
     """Upsert into a month-partitioned table: only the touched month is rewritten."""
     path = fresh_path(t.spark, "orders-upsert")
     cols = ["date_year", "date_month"]
-    rows = month_partition_columns(t.orders, "o_orderdate").select(
-        "o_orderkey", as_money("o_totalprice").cast("decimal(18,2)").alias("amt"), *cols
-    )
+    amt = as_money("o_totalprice").cast("decimal(18,2)").alias("amt")
+    orders = month_partition_columns(t.orders, "o_orderdate")
+    rows = orders.select("o_orderkey", amt, *cols)
     publish_partitions(rows, path, cols)
-    touched = partition_months(rows, [MONTH, dt.date(1998, 2, 1)]).where(F.col("o_orderkey") % 3 == 0)
+    finished = orders.where(F.col("o_orderstatus") == "F").select("o_orderkey", amt, *cols)
+    touched = partition_months(finished, [MONTH, dt.date(1998, 2, 1)])
     source = touched.withColumn("amt", (F.col("amt") + 1).cast("decimal(18,2)"))
     upsert_partitions(path, source, ["o_orderkey", *cols], cols)
     out = partition_months(t.spark.read.schema(rows.schema).parquet(path), [MONTH, dt.date(1998, 2, 1)])

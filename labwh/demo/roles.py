@@ -1,6 +1,6 @@
 """Warehouse detail tables derived from the generated tables.
 
-Company = customer, project = order, sub-project = every fourth order, worker = part, wage line,
+Company = customer, project = order, sub-project = order (every fourth one is live), worker = part, wage line,
 employment and transfer = line item, deposit = customer balance, swipe and API call = event,
 county = nation, city = region. Each table is one SELECT that Spark and DuckDB both accept, so
 that reports and their oracles start from the same rows. Soft-deleted rows, unknown codes, empty
@@ -48,7 +48,7 @@ def _project_area(key: str, pid: str) -> str:
 PROJECT_TYPE = """CASE o_orderpriority WHEN '1-URGENT' THEN '房屋建设工程' WHEN '2-HIGH' THEN '市政工程'
     WHEN '3-MEDIUM' THEN '附属工程' WHEN '4-NOT SPECIFIED' THEN '其它' ELSE '水利工程' END"""
 CONDITION = "CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END"
-# Every fourth order is a sub-project of the order three before it.
+# Every fourth order is a live sub-project of the order three before it.
 PAID_PID = "CASE WHEN {k} % 4 = 3 THEN {k} + 1000000000 ELSE {k} - {k} % 4 END"
 ORDER_DAY = "DATE '2000-01-01' + CAST({k} % 700 AS INT)"
 
@@ -106,8 +106,9 @@ ROLES: dict[str, str] = {
     SELECT o_orderkey + 1000000000 AS pid, o_orderkey - 3 AS source_pid, o_custkey AS unit_cid,
       o_custkey AS cid, 'sub-' || CAST(o_orderkey AS STRING) AS project_name,
       {PROJECT_TYPE} AS project_type, CAST(3 + o_custkey % 3 AS INT) AS status,
-      {_deleted("o_orderkey % 5 = 0")}, {CONDITION} AS project_condition, {_area('o_custkey')}
-    FROM orders WHERE o_orderkey % 4 = 3
+      {_deleted("o_orderkey % 4 <> 3 OR o_orderkey % 5 = 0")}, {CONDITION} AS project_condition,
+      {_area('o_custkey')}
+    FROM orders
     """,
     "companies": _COMPANY.format(company_type=_SEGMENT.format(1, 2, 3, 4)),
     "old_companies": _COMPANY.format(company_type=_SEGMENT.format(13, 4, 11, 99)),
@@ -203,7 +204,7 @@ ROLES: dict[str, str] = {
     SELECT c_custkey AS cid, c_custkey * 2 AS pid, 'ACC' || CAST(c_custkey AS STRING) AS account_no,
       CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 1 END AS status, {_deleted("c_custkey % 11 = 0")},
       {ORDER_DAY.format(k='c_custkey')} AS create_time
-    FROM customer WHERE c_custkey % 7 <> 0
+    FROM customer WHERE c_mktsegment <> 'MACHINERY'
     """,
     "deposits": f"""
     SELECT c_custkey AS cid, CAST(c_acctbal AS DECIMAL(15,2)) AS assure_amt,
@@ -217,7 +218,7 @@ ROLES: dict[str, str] = {
     UNION ALL
     SELECT c_custkey, CAST(100.5 AS DECIMAL(15,2)), 4, 9, DATE '2001-06-03', DATE '2001-06-03',
       CAST(10 + (c_custkey % 5) % 2 AS STRING), CAST(1000 + c_custkey % 5 AS STRING), 1
-    FROM customer WHERE c_custkey % 6 = 0
+    FROM customer WHERE c_mktsegment = 'BUILDING'
     """,
     "billboards": """
     SELECT l_orderkey AS pid, l_shipdate AS create_time,
@@ -250,7 +251,7 @@ ROLES: dict[str, str] = {
     """,
     "agreements": f"""
     SELECT o_orderkey AS pid, o_custkey AS sg_cid, {_deleted("o_orderkey % 12 = 0")}
-    FROM orders WHERE o_orderkey % 3 <> 1
+    FROM orders WHERE o_orderstatus <> 'P'
     """,
     "commissions": """
     SELECT l_orderkey - l_orderkey % 4 AS pid,
@@ -281,7 +282,7 @@ ROLES: dict[str, str] = {
     """,
     "attendance_ext": f"""
     SELECT o_orderkey AS pid, CAST(o_orderkey % 2 AS INT) AS is_attendance, {_deleted("o_orderkey % 9 = 0")}
-    FROM orders WHERE o_orderkey % 4 = 0
+    FROM orders WHERE o_orderpriority = '1-URGENT'
     """,
     "swipes": """
     SELECT user_id AS pid, 'SN' || CAST(event_id - event_id % 8 AS STRING) AS sn,

@@ -53,7 +53,7 @@ def outer_merge(
 
 def merge_latest(stored: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Stored and fresh rows by key: a fresh value wins unless it is NULL; rows that exist on
-    one side only are kept."""
+    one side only are kept. Each side holds one row per key."""
     require(stored, keys)
     require(fresh, stored.columns)
     values = [c for c in stored.columns if c not in keys]

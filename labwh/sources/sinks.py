@@ -110,7 +110,7 @@ def check_unique(source: DataFrame, keys: Sequence[str]) -> None:
     offending key is fetched."""
     twice = source.groupBy(*keys).count().where("count > 1").limit(1).collect()
     if twice:
-        raise ValueError(f"source of an upsert has a duplicate key: {twice[0].asDict()}")
+        raise ValueError(f"duplicate key in the rows to merge: {twice[0].asDict()}")
 
 
 def upsert(
@@ -150,6 +150,7 @@ def merge_stored(
     stored_path: str, fresh: DataFrame, keys: Sequence[str], new_path: str
 ) -> DataFrame:
     """Stored report with fresh values on top, written to ``new_path`` and returned."""
+    check_unique(fresh, keys)
     stored = fresh.sparkSession.read.parquet(stored_path)
     merge_latest(stored, fresh, keys).write.mode("errorifexists").parquet(new_path)
     return fresh.sparkSession.read.parquet(new_path)
