@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from labwh.operators.common import require
 from labwh.operators.merge import merge_latest, upsert_rows
 
+DYNAMIC_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 AUDIT_SCHEMA = "create_time timestamp, class_name string, message string"
 
 
@@ -55,10 +56,16 @@ def append_snapshot(df: DataFrame, path: str, fmt: str = "parquet"):
 def insert_overwrite(df: DataFrame, table: str):
     """Replaces a catalog table's rows, columns matched by name. In a partitioned table only
     the partitions in the data are replaced."""
-    cols = df.sparkSession.table(table).columns
+    spark = df.sparkSession
+    cols = spark.table(table).columns
     require(df, cols)
-    writer = df.select(*cols).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").insertInto(table)
+    # ``insertInto`` takes this mode from the session only.
+    before = spark.conf.get(DYNAMIC_OVERWRITE)
+    spark.conf.set(DYNAMIC_OVERWRITE, "dynamic")
+    try:
+        df.select(*cols).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(DYNAMIC_OVERWRITE, before)
 
 
 def insert_partition(
