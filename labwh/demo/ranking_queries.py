@@ -201,9 +201,10 @@ def salary_detail_rank(t: Tables) -> DataFrame:
     ranked = dense_rank_within(
         numbered.join(owner, "l_orderkey"),
         ["o_custkey"],
-        {"l_linestatus": F.col("l_linestatus"), "year": F.col("year"), "month": F.col("month")},
+        ["l_linestatus", "year", "month"],
         [F.col("l_linestatus"), F.col("year").desc(), F.col("month").desc()],
         "salary_top",
+        among=lines.join(owner, "l_orderkey"),
     )
     months = F.months_between(F.lit(month_start(AS_OF_ORDERS)), "year_month")
     return ranked.withColumn("months_old", months.cast("long")).drop("year_month")

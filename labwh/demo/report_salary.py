@@ -9,6 +9,7 @@ from labwh.demo.report_views import VIEWS, plain
 from labwh.demo.roles import AS_OF_REPORTS, OUR_CITY, Roles, with_roles
 from labwh.demo.tables import Tables
 from labwh.plans import salary as plan
+from labwh.sources.sinks import staged
 
 
 @query(oracle=with_roles("""
@@ -131,9 +132,9 @@ def report_salary_snapshot(t: Tables) -> DataFrame:
     return plain(plan.salary_snapshot(salaries(t), AS_OF_REPORTS).drop("create_time"))
 
 
-def details(t: Tables) -> DataFrame:
+def lines(t: Tables) -> DataFrame:
     r = Roles(t)
-    return plan.salary_detail(
+    return plan.salary_lines(
         r.batches, r.wages, r.payroll_lines, r.projects, r.sub_projects, r.companies,
         r.bank_accounts, r.areas, AS_OF_REPORTS,
     )
@@ -145,7 +146,7 @@ def details(t: Tables) -> DataFrame:
 """, VIEWS))
 def report_salary_detail(t: Tables) -> DataFrame:
     return plain(
-        details(t), "source_pid", "source_project_name", "source_project_condition", "source_cid",
+        plan.salary_detail(staged(lines(t), "salary-lines")), "source_pid", "source_project_name", "source_project_condition", "source_cid",
         "source_county_code", "pid", "project_name", "county_code", "county_name", "cid",
         "pro_company_name", "salary_cid", "salary_company_type", "salary_company_name", "year",
         "month", "year_month", "batch_no", "batch_status", "batch_amt", "id_card_no", "real_name",
@@ -182,7 +183,7 @@ LAST = "year = 2001 AND month = 5"
           FROM (SELECT DISTINCT source_pid, source_project_condition FROM salary_details))
 """, VIEWS))
 def report_salary_total(t: Tables) -> DataFrame:
-    return plain(plan.salary_total(details(t), AS_OF_REPORTS))
+    return plain(plan.salary_total(lines(t), AS_OF_REPORTS))
 
 
 OWNERS = """(SELECT cid FROM projects WHERE status IN (3, 4, 5) AND is_deleted = 1
@@ -212,7 +213,7 @@ OWNERS = """(SELECT cid FROM projects WHERE status IN (3, 4, 5) AND is_deleted =
     SELECT CAST(DATE '2001-06-15' - to_months(CAST(k AS INTEGER)) AS DATE) AS c FROM range(0, 12) r(k)"""}))
 def report_monthly_metrics(t: Tables) -> DataFrame:
     r = Roles(t)
-    rows = plan.monthly_metrics(r.projects, r.sub_projects, r.deposits, details(t), AS_OF_REPORTS)
+    rows = plan.monthly_metrics(r.projects, r.sub_projects, r.deposits, lines(t), AS_OF_REPORTS)
     return rows.select("year", "month", "type", "amount")
 
 

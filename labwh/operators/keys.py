@@ -46,13 +46,19 @@ def rank_within(
     order: Sequence[Column],
     name: str,
     split: Column | None = None,
+    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """``row_number`` per key, kept for every row. ``keys`` may be empty (one league table).
 
-    A window sends a whole key to one task. ``split`` avoids that: it must grow with
-    ``order`` (rows that sort earlier have a smaller or equal value; NULL sorts first).
-    Rows are then numbered inside (key, split) and the number of rows in earlier cells is
-    added. Only the cell counts, not the rows, meet per key.
+    A window sends a whole key to one task. Keys with ``hot_rows`` rows or more are therefore
+    cut into cells by ``split``, which must grow with ``order``: rows that sort earlier have a
+    smaller or equal value, NULL first. Each cell is numbered by its own task, starting after
+    the rows of earlier cells; only the cell counts meet per key. Other keys stay whole. The
+    rows are shuffled once either way.
+
+    ``df`` is read for the sizes, the cells and the rows: hand in a stored table when it is
+    expensive to compute. Without ``split`` the caller states that keys are small by nature (days of a person,
+    areas of a company).
     """
     require(df, keys)
     if split is None:
@@ -61,37 +67,52 @@ def rank_within(
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, F.row_number().over(w).cast("long"))
 
-    cell, before = fresh_name(df, "cell"), fresh_name(df, "before")
-    celled = df.withColumn(cell, split)
+    cell, start, n, hot = (fresh_name(df, x) for x in ("cell", "start", "n", "hot"))
+    if keys:
+        sizes = df.groupBy(*keys).agg(F.count("*").alias(n)).where(F.col(n) >= hot_rows)
+        # At most (all rows / hot_rows) keys are hot, which bounds the broadcast.
+        large = F.broadcast(sizes.select(*keys, F.lit(True).alias(hot)))
+        celled = null_safe_join(df, large, keys, "left")
+        celled = celled.withColumn(cell, F.when(F.col(hot), split))
+        cut = celled.where(F.col(hot))
+    else:
+        celled = cut = df.withColumn(cell, split)
     at = [*keys, cell]
-    counts = celled.groupBy(*at).agg(F.count("*").alias(before))
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy(F.col(cell).asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = counts.withColumn(before, F.coalesce(F.sum(before).over(earlier), F.lit(0)))
-    numbered = celled.withColumn(name, F.row_number().over(Window.partitionBy(*at).orderBy(*order)))
-    joined = null_safe_join(numbered, offsets, at, "inner")
-    return joined.withColumn(name, F.col(name) + F.col(before)).drop(cell, before)
+    earlier = Window.partitionBy(*keys).orderBy(F.col(cell).asc_nulls_first())
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(n).over(earlier), F.lit(0))
+    counts = cut.groupBy(*at).agg(F.count("*").alias(n))
+    # One marker row per cell carries its start into the cell's task and sorts first there.
+    markers = counts.select(*at, before.alias(start))
+    rows = celled.select(*df.columns, cell).unionByName(markers, allowMissingColumns=True)
+    w = Window.partitionBy(*at).orderBy(F.col(start).asc_nulls_last(), *order)
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offset = F.coalesce(F.first(start).over(so_far) - 1, F.lit(0))
+    ranked = rows.withColumn(name, F.row_number().over(w) + offset)
+    return ranked.where(F.col(start).isNull()).select(*df.columns, name)
 
 
 def dense_rank_within(
-    df: DataFrame, keys: Sequence[str], by: dict[str, Column], order: Sequence[Column], name: str
+    df: DataFrame,
+    keys: Sequence[str],
+    by: Sequence[str],
+    order: Sequence[Column],
+    name: str,
+    among: DataFrame | None = None,
 ) -> DataFrame:
-    """``dense_rank`` per key. ``by`` names the ordering values; ``order`` sorts these names.
+    """``dense_rank`` per key by the columns ``by``, in the given order.
 
     The distinct value tuples are ranked and joined back, so a key with many rows costs
-    one task only as many rows as it has distinct tuples.
+    one task only as many rows as it has distinct tuples. ``among`` may name a cheaper frame
+    that holds the same tuples.
     """
-    require(df, keys)
-    tagged = df.withColumns(by)
+    source = df if among is None else among
+    require(df, [*keys, *by])
+    require(source, [*keys, *by])
     at = [*keys, *by]
-    ranks = tagged.select(*at).distinct()
     w = Window.partitionBy(*keys).orderBy(*order)
-    ranks = ranks.withColumn(name, F.row_number().over(w).cast("long"))
-    added = [c for c in by if c not in df.columns]
-    return null_safe_join(tagged, ranks, at, "left").drop(*added)
+    ranks = source.select(*at).distinct().withColumn(name, F.row_number().over(w).cast("long"))
+    return null_safe_join(df, ranks, at, "left")
 
 
 def sum_once(

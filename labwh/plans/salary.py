@@ -227,7 +227,7 @@ def salary_snapshot(salary: DataFrame, as_of: dt.date) -> DataFrame:
     return row.withColumn("create_time", F.lit(as_of))
 
 
-def salary_detail(
+def salary_lines(
     batches: DataFrame,
     wages: DataFrame,
     payroll_lines: DataFrame,
@@ -238,9 +238,7 @@ def salary_detail(
     areas: DataFrame,
     as_of: dt.date,
 ) -> DataFrame:
-    """Wage line with batch, project, parent project, companies and bank; ordinal of the line in
-    its batch, and dense rank of the parent project's months (latest first, per batch status).
-    """
+    """Wage line with batch, project, parent project, companies and bank."""
     opened = open_projects(projects)
     parent = opened.select(
         F.col("pid").alias("source_pid"),
@@ -280,17 +278,6 @@ def salary_detail(
     paid = add_names(paid, payer, "salary_cid", "cid", "salary_company_type", "salary_company_name")
     paid = add_names(paid, bank_accounts, "bkid", "bkid", "bank_name")
     rows = lines.join(paid.join(sites, "pid"), "batch_no")
-    order = ["id_card_no", "real_name", "real_amt", "total_amt", "status", "worktype_name", "pid", "source_pid"]
-    # Cells of equal leading characters of the id keep the id order.
-    split = F.substring("id_card_no", 1, 6)
-    rows = rank_within(rows, ["batch_no"], [F.col(c) for c in order], "batch_top", split)
-    rows = dense_rank_within(
-        rows,
-        ["source_pid"],
-        {c: F.col(c) for c in ("batch_status", "year", "month")},
-        [F.col("batch_status").asc(), F.col("year").desc(), F.col("month").desc()],
-        "salary_top",
-    )
     return rows.select(
         "source_county_code", "county_code", "county_name", "source_pid", "source_project_name",
         "source_project_type", "source_project_condition", "source_cid", "pid", "project_name",
@@ -300,10 +287,29 @@ def salary_detail(
         "batch_real_amt", "batch_amt", "batch_number", "batch_create_time", "id_card_no",
         "real_name", "real_amt", "total_amt", "status",
         F.months_between(F.lit(as_of), "year_month").alias("new_salary"), "worktype_name",
-        "group_name", "bank_name", "batch_top", "salary_top",
+        "group_name", "bank_name",
     )
 
 
+def salary_detail(lines: DataFrame) -> DataFrame:
+    """:func:`salary_lines` with the ordinal of the line in its batch, and the dense rank of the
+    parent project's months (latest first, per batch status). ``lines`` is read several times
+    and should be a stored table."""
+    order = ["id_card_no", "real_name", "real_amt", "total_amt", "status", "worktype_name", "pid", "source_pid"]
+    # Cells of equal leading characters of the id keep the id order.
+    split = F.substring("id_card_no", 1, 6)
+    rows = rank_within(lines, ["batch_no"], [F.col(c) for c in order], "batch_top", split)
+    rows = dense_rank_within(
+        rows,
+        ["source_pid"],
+        ["batch_status", "year", "month"],
+        [F.col("batch_status").asc(), F.col("year").desc(), F.col("month").desc()],
+        "salary_top",
+        among=lines,
+    )
+    return rows
+
+
 def salary_total(details: DataFrame, as_of: dt.date) -> DataFrame:
     """One row: all-time and last-month wages by company type, people, batches, projects."""
     paid = F.col("status") == PAID

@@ -38,6 +38,14 @@ def fresh_path(spark: SparkSession, stem: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{stem}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, stem: str) -> DataFrame:
+    """Writes an expensive intermediate result to the shared folder and reads it back. Lost
+    executors then cost a re-read, not a recomputation."""
+    path = fresh_path(df.sparkSession, stem)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_jdbc(df: DataFrame, options: Mapping[str, str], table: str, mode: str = "overwrite"):
     """Report into a database table; ``mode`` overwrite or append. Types without a database
     counterpart raise in Spark's writer."""
@@ -104,10 +112,7 @@ def publish_both(
     """One result into a partitioned history and a current table. The result is written to the
     shared folder once and copied from there, so the query runs once and nothing has to stay
     in executor memory."""
-    spark = df.sparkSession
-    staged = fresh_path(spark, "publish")
-    df.write.parquet(staged)
-    rows = spark.read.schema(df.schema).parquet(staged)
+    rows = staged(df, "publish")
     publish_partitions(rows, history, cols)
     rows.drop(*drop).write.mode("overwrite").parquet(current)
 
@@ -145,12 +150,11 @@ def upsert_partitions(
         raise ValueError("partition columns must be part of the key")
     check_unique(source, keys)
     spark = source.sparkSession
-    staged = fresh_path(spark, "upsert")
     touched = source.select(*cols).distinct()
     old = spark.read.schema(source.schema).parquet(path)
     old = old.join(touched, list(cols), "left_semi")
-    upsert_rows(old.select(*source.columns), source, keys).write.partitionBy(*cols).parquet(staged)
-    publish_partitions(spark.read.schema(source.schema).parquet(staged), path, cols)
+    merged = staged(upsert_rows(old.select(*source.columns), source, keys), "upsert")
+    publish_partitions(merged, path, cols)
 
 
 def merge_stored(

@@ -35,8 +35,8 @@ def test_latest_values_from_one_pass(spark):
     assert rows(got.select("k", "i.v", "o.v")) == [(1, "y", "z"), (2, None, "w")]
 
 
-@pytest.mark.parametrize("keys", [["k"], []])
-def test_split_ranking_equals_plain_window(spark, keys):
+@pytest.mark.parametrize("keys, hot_rows", [(["k"], 1), (["k"], 500), (["k"], 10**6), ([], 1)])
+def test_split_ranking_equals_plain_window(spark, keys, hot_rows):
     rnd = random.Random(7)
     # One key holds most of the rows; NULL is a key and a value.
     data = [
@@ -44,8 +44,9 @@ def test_split_ranking_equals_plain_window(spark, keys):
     ]
     df = spark.createDataFrame(data, "k string, v int, id int")
     order = [F.col("v").asc_nulls_first(), F.col("id")]
-    split = F.coalesce(F.floor(F.col("v") / 5), F.lit(-1))
-    got = rank_within(df, keys, order, "r", split)
+    split = F.floor(F.col("v") / 5)
+    got = rank_within(df, keys, order, "r", split, hot_rows)
+    assert got.columns == ["k", "v", "id", "r"]
     want = {}
     for k, v, i in sorted(data, key=lambda r: (r[1] is not None, r[1] or 0, r[2])):
         group = k if keys else "all"
@@ -54,6 +55,15 @@ def test_split_ranking_equals_plain_window(spark, keys):
     assert {r.id: r.r for r in got.collect()} == expect
 
 
+def test_hot_key_is_numbered_by_many_tasks(spark):
+    # 90% of the rows have one key; no task may hold more than a few cells of it.
+    df = spark.range(20000).selectExpr("CASE WHEN id % 10 = 0 THEN id ELSE -1 END AS k", "id AS v")
+    ranked = rank_within(df, ["k"], [F.col("v")], "r", F.floor(F.col("v") / 100), hot_rows=1000)
+    tasks = ranked.withColumn("task", F.spark_partition_id()).where("k = -1")
+    assert tasks.select("task").distinct().count() > 1
+    assert tasks.agg(F.max("r"), F.countDistinct("r")).collect()[0] == (18000, 18000)
+
+
 def test_global_ranking_needs_a_split(spark):
     with pytest.raises(ValueError, match="split"):
         rank_within(spark.range(3), [], [F.col("id")], "r")
@@ -64,8 +74,7 @@ def test_dense_rank(spark):
         [("p", 1, 2020, 5), ("p", 1, 2020, 5), ("p", 1, 2020, 4), ("p", 6, 2021, 1), ("q", 6, 2019, 1), (None, 1, 1, 1)],
         "k string, s int, y int, m int",
     )
-    by = {c: F.col(c) for c in ("s", "y", "m")}
-    got = dense_rank_within(df, ["k"], by, [F.col("s").asc(), F.col("y").desc(), F.col("m").desc()], "r")
+    got = dense_rank_within(df, ["k"], ["s", "y", "m"], [F.col("s").asc(), F.col("y").desc(), F.col("m").desc()], "r")
     assert rows(got, "k", "s", "y", "m", "r") == [
         (None, 1, 1, 1, 1), ("p", 1, 2020, 4, 2), ("p", 1, 2020, 5, 1), ("p", 1, 2020, 5, 1),
         ("p", 6, 2021, 1, 3), ("q", 6, 2019, 1, 1),
