@@ -21,8 +21,10 @@ from labwh.operators import (
     with_shares,
 )
 
-FLAGS = ["has_returned", "has_open_line", "has_discount", "has_big_part", "has_city_supplier"]
-ALL_FLAGS = [*FLAGS, "shipped_late"]
+ALL_FLAGS = [
+    "has_returned", "has_open_line", "has_discount", "has_big_part", "has_city_supplier",
+    "shipped_late",
+]
 
 FLAGS_CTE = """
     flags AS (
@@ -54,9 +56,26 @@ def city_suppliers(t: Tables) -> DataFrame:
     )
 
 
-def flagged_orders(t: Tables, *extra: DataFrame) -> DataFrame:
+LINE_FLAGS = {
+    "has_returned": F.col("l_returnflag") == "R",
+    "has_open_line": F.col("l_linestatus") == "O",
+    "has_discount": F.col("l_discount") >= 0.09,
+}
+
+
+def line_sums(t: Tables) -> DataFrame:
+    """Flags and sums of the order lines, one row per order from one scan."""
+    return t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        *[F.max(F.when(cond, 1).otherwise(0)).alias(n) for n, cond in LINE_FLAGS.items()],
+        F.max("l_shipdate").alias("last_ship"),
+        F.count("*").alias("line_count"),
+        F.sum(as_money("l_extendedprice")).alias("line_amt"),
+    )
+
+
+def flagged_orders(t: Tables, lines: DataFrame | None = None) -> DataFrame:
     """Orders with six 0/1 flags, line count and line amount."""
-    line = t.lineitem
+    line = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey")
     big = t.part.where(F.col("p_size") >= 40)
     big_lines = line.join(big, F.col("l_partkey") == F.col("p_partkey"), "left_semi")
     city_lines = line.join(
@@ -66,27 +85,14 @@ def flagged_orders(t: Tables, *extra: DataFrame) -> DataFrame:
         t.orders,
         "o_orderkey",
         [
-            (
-                line,
-                "l_orderkey",
-                {
-                    "has_returned": F.col("l_returnflag") == "R",
-                    "has_open_line": F.col("l_linestatus") == "O",
-                    "has_discount": F.col("l_discount") >= 0.09,
-                },
-            ),
             (big_lines, "l_orderkey", {"has_big_part": F.lit(True)}),
             (city_lines, "l_orderkey", {"has_city_supplier": F.lit(True)}),
         ],
     )
-    sums = line.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.max("l_shipdate").alias("last_ship"),
-        F.count("*").alias("line_count"),
-        F.sum(as_money("l_extendedprice")).alias("line_amt"),
-    )
-    out = add_measures(flagged, "o_orderkey", sums, *extra)
+    out = add_measures(flagged, "o_orderkey", line_sums(t) if lines is None else lines)
     late = F.col("last_ship") > F.col("o_orderdate") + F.expr("INTERVAL '60' DAY")
-    return out.withColumn("shipped_late", F.when(late, 1).otherwise(0))
+    none = {n: F.coalesce(F.col(n), F.lit(0)) for n in LINE_FLAGS}
+    return out.withColumns({**none, "shipped_late": F.when(late, 1).otherwise(0)})
 
 
 @query(oracle=f"WITH {FLAGS_CTE} SELECT o_orderkey, {', '.join(ALL_FLAGS)} FROM flags")
@@ -320,15 +326,17 @@ def order_scores(t: Tables) -> DataFrame:
     last, second_last = month_start(AS_OF_ORDERS, -1), month_start(AS_OF_ORDERS, -2)
     ship = F.col("l_shipdate")
     per_supplier = t.lineitem.groupBy("l_orderkey", "l_suppkey").agg(
+        *[F.max(F.when(cond, 1).otherwise(0)).alias(n) for n, cond in LINE_FLAGS.items()],
+        F.max(ship).alias("last_ship"),
         F.max(F.when(F.col("l_linestatus") == "F", 1).otherwise(0)).alias("is_done"),
         F.max(F.when(in_previous_month(ship, AS_OF_ORDERS), 1).otherwise(0)).alias("paid_last"),
         F.max(F.when(in_range(ship, (second_last, last)), 1).otherwise(0)).alias("paid_before"),
     )
+    kept = [*LINE_FLAGS, "last_ship", "paid_last", "paid_before"]
     lines = per_supplier.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        *[F.max(c).alias(c) for c in kept],
         F.count("l_suppkey").alias("needed"),
         F.sum("is_done").alias("done"),
-        F.max("paid_last").alias("paid_last"),
-        F.max("paid_before").alias("paid_before"),
     )
     rows = flagged_orders(t, lines).withColumn(
         "judged_month", grace_month(F.col("o_orderkey") % 28 + 1, AS_OF_ORDERS)

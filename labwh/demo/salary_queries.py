@@ -24,12 +24,12 @@ from labwh.operators import (
     active_in_period,
     attach_totals,
     band_columns,
+    conditional_measures,
     count_if,
     cumulative_distinct,
     cumulative_sums,
     merge_latest,
     met_if,
-    outer_merge,
     period_series,
     running_total,
     scaffold,
@@ -198,22 +198,20 @@ def salary_area_vs_last_month(t: Tables) -> DataFrame:
     FROM lab CROSS JOIN pro
 """)
 def salary_grand_total(t: Tables) -> DataFrame:
-    """One row: wages by company type, and distinct company × state counts."""
+    """One row: wages by company type, and distinct company × state counts, from one pass."""
     paid = t.orders.where(F.col("o_orderstatus").isin("F", "O"))
     per_company = paid.groupBy("o_custkey", "o_orderstatus").agg(
         F.sum(as_money("o_totalprice")).alias("amt"), F.count("o_orderkey").alias("n")
     )
-    builders = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
-    wages = per_company.join(builders, "o_custkey").agg(
+    # One row per company and state, so the rows are the distinct pairs.
+    kinds = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    row = per_company.join(kinds, "o_custkey", "left").agg(
         F.sum("amt").alias("real_amt_total"),
         F.sum("n").alias("batch_total"),
         sum_if(F.col("c_mktsegment") == "BUILDING", "amt").alias("building_amt_total"),
-    )
-    projects = per_company.agg(
         F.count("*").alias("project_total"),
         count_if(F.col("o_orderstatus") == "F").alias("build_project_total"),
     )
-    row = attach_totals(wages, projects)
     row = with_shares(row, {"building_amt_proportion": "building_amt_total"}, "real_amt_total", True)
     row = with_shares(row, {"build_project_proportion": "build_project_total"}, "project_total", True)
     return doubles(row, "real_amt_total", "building_amt_total")
@@ -526,33 +524,22 @@ UNIT_SQL = {
     """ for u in UNIT_SQL))
 def device_totals_unit(t: Tables) -> DataFrame:
     """Per area and unit (day, month, year before the run date): devices in place, installed,
-    removed. The three aggregates carry all units at once and are merged on the area."""
+    removed. All measures of all units come from one scan; the device key is unique, so rows
+    are devices."""
     day = previous_day(AS_OF_ORDERS)
     owner = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("code"))
-    devices = t.orders.select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     units = list(UNIT_SQL)
     live, gone = F.col("o_orderstatus") != "P", F.col("o_orderstatus") == "P"
-    in_year = in_unit("o_orderdate", day, "year")
-
-    def located(rows: DataFrame) -> DataFrame:
-        return rows.join(owner, "o_custkey")
-
-    def per_unit(rows: DataFrame, name: str) -> DataFrame:
-        # The device key is unique, so rows are devices.
-        counts = [count_if(in_unit("o_orderdate", day, u)).alias(f"{name}_{u}") for u in units]
-        return located(rows).groupBy("code").agg(*counts)
-
-    in_place = located(devices.where(live & (F.col("o_orderdate") < F.lit(AS_OF_ORDERS))))
-    total = in_place.groupBy("code").agg(
-        F.count("*").alias("sn_total_count"),
-        count_if(F.col("o_orderpriority") == "1-URGENT").alias("sn_urgent_count"),
-    )
-    merged = outer_merge(
-        ["code"],
-        total,
-        per_unit(devices.where(live & in_year), "install"),
-        per_unit(devices.where(gone & in_year), "dismantle"),
-    )
+    in_place = live & (F.col("o_orderdate") < F.lit(AS_OF_ORDERS))
+    measures = {
+        "sn_total_count": (in_place, None),
+        "sn_urgent_count": (in_place & (F.col("o_orderpriority") == "1-URGENT"), None),
+    }
+    for u in units:
+        measures[f"install_{u}"] = (live & in_unit("o_orderdate", day, u), None)
+        measures[f"dismantle_{u}"] = (gone & in_unit("o_orderdate", day, u), None)
+    devices = t.orders.where(in_place | in_unit("o_orderdate", day, "year")).join(owner, "o_custkey")
+    merged = conditional_measures(devices, ["code"], measures)
     areas = t.nation.select("n_nationkey", F.col("n_name").alias("name"))
     full = scaffold(areas, merged, [("n_nationkey", "code")])
     rows = F.array(*[

@@ -125,11 +125,15 @@ def sum_once(
 ) -> DataFrame:
     """Sum per group in which each owner's amount counts once, on its first row by ``order``.
 
-    Groups without any first row stay, with 0. Rows without an owner count as one owner.
+    Groups without any first row stay, with 0. Rows without an owner count as one owner. One
+    pass: each task sends one row per (group, owner), and an owner meets in one task with as
+    many rows as it has groups.
     """
     require(df, [*by, *owner, amount])
-    groups = df.groupBy(*by).agg(F.lit(0).alias("_member")).drop("_member")
-    first = latest_per_key(df, owner, order)
-    sums = first.groupBy(*by).agg(F.sum(amount).alias(name))
-    out = null_safe_join(groups, sums, by, "left")
-    return out.withColumn(name, F.coalesce(F.col(name), F.lit(0).cast(sums.schema[name].dataType)))
+    rn = fresh_name(df, "rn")
+    per_group = latest_per_key(df, [*by, *owner], order)
+    w = Window.partitionBy(*owner).orderBy(*order)
+    first = per_group.withColumn(rn, F.row_number().over(w))
+    total = F.sum(F.when(F.col(rn) == 1, F.col(amount)))
+    zero = F.lit(0).cast(df.schema[amount].dataType)
+    return first.groupBy(*by).agg(F.coalesce(total, zero).alias(name))

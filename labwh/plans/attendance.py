@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labwh.functions import (
@@ -33,6 +33,7 @@ from labwh.operators import (
     pair_in_out,
     rank_within,
     scaffold,
+    sum_if,
     with_children,
     within_validity,
 )
@@ -304,34 +305,33 @@ def project_attendance(
     )
 
 
+def _any(cond: Column) -> Column:
+    return F.max(F.when(cond, 1).otherwise(0))
+
+
 def device_totals(
     device_details: DataFrame, areas: DataFrame, as_of: dt.date, unit: str, city: str
 ) -> DataFrame:
     """County: devices in place, used, by maker, installed and removed in the day, month or year
-    before the run date."""
+    before the run date. One scan serves all measures."""
     day = previous_day(as_of)
-    by = ["county_code"]
-    active = F.col("isdelete") == "N"
-    in_place = device_details.where(active & (F.col("last_modify_time") < F.lit(as_of)))
+    active, gone = F.col("isdelete") == "N", F.col("isdelete") == "Y"
+    in_place = active & (F.col("last_modify_time") < F.lit(as_of))
     # Devices are counted once per serial number; the other measures count rows.
-    per_sn = in_place.groupBy(*by, "sn").agg(
-        F.sum(f"{unit}_status").alias("online"),
-        *[count_if(F.col("dev_manufacturer") == m).alias(n) for m, n in MAKERS.items()],
+    per_sn = device_details.groupBy("county_code", "sn").agg(
+        _any(in_place).alias("placed"),
+        _any(active & in_unit("create_time", day, unit)).alias("installed"),
+        _any(gone & in_unit("last_modify_time", day, unit)).alias("removed"),
+        sum_if(in_place, f"{unit}_status").alias("online"),
+        *[count_if(in_place & (F.col("dev_manufacturer") == m)).alias(n) for m, n in MAKERS.items()],
     )
-    total = per_sn.groupBy(*by).agg(
-        F.count("sn").alias("sn_total_count"),
+    known = F.col("sn").isNotNull()
+    merged = per_sn.groupBy("county_code").agg(
+        sum_if(known, "placed").alias("sn_total_count"),
         F.sum("online").alias("sn_online_count"),
         *[F.sum(n).alias(f"{n}_sn_count") for n in MAKERS.values()],
-    )
-    installed = device_details.where(active & in_unit("create_time", day, unit))
-    removed = device_details.where(
-        (F.col("isdelete") == "Y") & in_unit("last_modify_time", day, unit)
-    )
-    merged = outer_merge(
-        by,
-        total,
-        installed.groupBy(*by).agg(F.countDistinct("sn").alias("sn_install_count")),
-        removed.groupBy(*by).agg(F.countDistinct("sn").alias("sn_dismantle_count")),
+        sum_if(known, "installed").alias("sn_install_count"),
+        sum_if(known, "removed").alias("sn_dismantle_count"),
     )
     rows = scaffold(areas_below(areas, city), merged, [("code", "county_code")])
     parts = {"year_time": day.year, "month_time": day.month, "day_time": day.day}
