@@ -1,7 +1,7 @@
 """DataFrame operators: each takes and returns DataFrames and runs no action."""
 
 from labwh.operators.attendance import active_by_window, pair_in_out, within_validity
-from labwh.operators.common import keyed_join, null_safe_join
+from labwh.operators.common import keyed_join, null_safe_join, spread_join
 from labwh.operators.dims import (
     in_any,
     lookup_levels,

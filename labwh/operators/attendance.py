@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labwh.functions.dates import in_unit, previous_day
-from labwh.operators.common import require
+from labwh.operators.common import require, spread_join
 
 
 def pair_in_out(
@@ -85,14 +85,15 @@ def within_validity(
     active: Column,
 ) -> DataFrame:
     """Events on an asset strictly after its first day and, once removed, strictly before its
-    last day. The asset's columns are added; ``active`` is a condition on the asset."""
+    last day. The asset's columns are added; ``active`` is a condition on the asset. An asset
+    with very many events is spread over tasks."""
     require(events, [on, ts])
     require(assets, [on, installed, removed])
     marked = assets.withColumn("_active", F.coalesce(active, F.lit(False)))
     day = F.col(ts).cast("date")
     kept = F.datediff(day, F.col(installed).cast("date")) > 0
     kept = kept & (F.col("_active") | (F.datediff(F.col(removed).cast("date"), day) > 0))
-    return events.join(marked, on, "inner").where(kept).drop("_active")
+    return spread_join(events, marked, [on], "inner").where(kept).drop("_active")
 
 
 def active_by_window(

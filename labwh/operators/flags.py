@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labwh.operators.common import require
+from labwh.operators.common import require, spread_join
 
 
 def key_flags(
@@ -36,32 +36,44 @@ def key_flags(
 
 
 def add_flags(
-    base: DataFrame, key: str, sources: Sequence[tuple[DataFrame, str, Mapping[str, Column]]]
+    base: DataFrame,
+    key: str,
+    sources: Sequence[tuple[DataFrame, str, Mapping[str, Column]]],
+    spread: bool = False,
 ) -> DataFrame:
     """Adds a 0/1 column per flag to ``base``; the row count does not change. All flags on
-    one key cost one aggregation and one join."""
+    one key cost one aggregation and one join. ``spread`` is for a base that may repeat one
+    key very often."""
     require(base, [key])
     flags = key_flags(sources, key)
     names = [c for c in flags.columns if c != key]
-    return base.join(flags, key, "left").withColumns(
+    return _attach(base, flags, [key], spread).withColumns(
         {n: F.coalesce(F.col(n), F.lit(0)) for n in names}
     )
 
 
-def flag_exists(base: DataFrame, other: DataFrame, on: Sequence[str], name: str) -> DataFrame:
+def flag_exists(
+    base: DataFrame, other: DataFrame, on: Sequence[str], name: str, spread: bool = False
+) -> DataFrame:
     """1 if a row with the same key exists in ``other``, else 0. The key may have several
     columns; matches never multiply rows."""
     require(base, on)
     require(other, on)
     hits = other.select(*on).dropna(subset=list(on)).distinct().withColumn(name, F.lit(1))
-    joined = base.join(hits, list(on), "left")
+    joined = _attach(base, hits, on, spread)
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(0)))
 
 
-def add_measures(base: DataFrame, key: str, *aggregates: DataFrame, fill=None) -> DataFrame:
+def add_measures(
+    base: DataFrame, key: str, *aggregates: DataFrame, spread: bool = False
+) -> DataFrame:
     """Left-joins per-key aggregates (one row per key each) to ``base``."""
     for a in aggregates:
-        base = base.join(a, key, "left")
-        if fill is not None:
-            base = base.fillna(fill, subset=[c for c in a.columns if c != key])
+        base = _attach(base, a, [key], spread)
     return base
+
+
+def _attach(base: DataFrame, per_key: DataFrame, on: Sequence[str], spread: bool) -> DataFrame:
+    if spread:
+        return spread_join(base, per_key, on, "left")
+    return base.join(per_key, list(on), "left")

@@ -70,6 +70,9 @@ def stamp(as_of: dt.date, is_deleted: bool = True) -> dict[str, Column]:
 
 
 def add_names(df: DataFrame, dim: DataFrame, key: str, dim_key: str, *columns: str) -> DataFrame:
-    """Columns of a dimension keyed by ``dim_key``; a key listed twice counts once."""
-    unique = dim.groupBy(dim_key).agg(*[F.min(c).alias(c) for c in columns])
-    return keyed_join(df, unique, [(key, dim_key)])
+    """Columns of a table whose primary key is ``dim_key``.
+
+    The table is joined as it is, without a guarding aggregation, so that adaptive execution
+    can split a key that most rows refer to.
+    """
+    return keyed_join(df, dim.select(dim_key, *columns), [(key, dim_key)])

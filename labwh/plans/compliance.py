@@ -41,6 +41,7 @@ from labwh.operators import (
     outer_merge,
     period_series,
     score_rules,
+    spread_join,
     sum_once,
 )
 from labwh.plans.attendance import month_report
@@ -192,7 +193,8 @@ def rule_scores(
         ],
     )
     secured = located_deposits(deposits).select("cid", "province_code", "city_code")
-    rows = flag_exists(rows, secured, ["cid", "province_code", "city_code"], "secured")
+    place = ["cid", "province_code", "city_code"]
+    rows = flag_exists(rows, secured, place, "secured", spread=True)
 
     income = transfers.where(
         (F.col("jtype") == INCOME) & live() & (F.col("is_pro_valid") > 0)
@@ -346,7 +348,7 @@ def area_statistics(
     )
     place = ["cid", "province_code", "city_code"]
     secured = located_deposits(deposits).groupBy(*place).agg(F.sum("assure_amt").alias("amt"))
-    owned = base.join(secured, place)
+    owned = spread_join(base, secured, place, "inner")
     once = sum_once(owned, AREA, place, "amt", [F.col("pid").desc()], "bail_amt_total")
     out = null_safe_join(counts, once, AREA, "left")
     return out.withColumns(
@@ -380,6 +382,7 @@ def city_statistics(
         count_if(state == 6).alias("project_completed"),
         F.sum("boards").alias("billboard_count"),
     )
+    # Rows per company are bounded by the number of cities.
     per_company = per_company.join(known, "cid", "left")
     sums = ["project_count", "project_construction", "project_stop", "project_completed", "billboard_count"]
     out = per_company.groupBy(*by).agg(

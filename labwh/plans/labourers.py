@@ -18,6 +18,7 @@ from labwh.operators import (
     lookup_levels,
     rank_within,
     scaffold,
+    spread_join,
 )
 from labwh.plans.common import COUNTY, UNVERIFIED_GRADE, add_names, date_text, stamp, text_shares
 
@@ -105,7 +106,8 @@ def labourer_history(
         _age("birthday", as_of).alias("age"), "married", "real_grade", "province_code",
         "city_code", "county_code", "culture_level_type", "politics_type", "source_type",
     )
-    rows = people.join(jobs, "lid", "left").join(_arrears(arrears_amounts), "lid", "left")
+    people = people.join(_arrears(arrears_amounts), "lid", "left")
+    rows = spread_join(people, jobs, ["lid"], "left", skewed="right")
     return rows.withColumns(
         {
             "top": F.coalesce("top", F.lit(1)),
@@ -297,7 +299,7 @@ def resume_detail(
     )
     people = people.join(bad, "lid", "left").join(worked, "lid", "left")
     people = people.join(card, "id_card_no", "left")
-    rows = people.join(jobs.drop("current_cid"), "lid", "left")
+    rows = spread_join(people, jobs.drop("current_cid"), ["lid"], "left", skewed="right")
     is_job = F.when(F.col("is_job").isNull(), JOB_UNKNOWN).when(F.col("is_job"), 1).otherwise(0)
     return rows.withColumns(
         {

@@ -17,6 +17,7 @@ from labwh.operators import (
     keyed_join,
     label_list,
     lookup_levels,
+    spread_join,
     sum_if,
 )
 from labwh.plans.common import (
@@ -125,7 +126,7 @@ def project_day_old(
         ],
     )
     rows = add_measures(rows, "pid", _billboards(billboards))
-    rows = add_measures(rows, "cid", _deposit_by_company(deposits))
+    rows = add_measures(rows, "cid", _deposit_by_company(deposits), spread=True)
     return rows.withColumns(
         {
             "billboards": F.coalesce("billboards", F.lit(0)),
@@ -183,8 +184,9 @@ def project_day(
     )
     rows = add_measures(rows, "pid", _billboards(billboards), _paid_wages(batches))
     account = special_accounts.where(live() & (F.col("status") == 1))
-    rows = add_flags(rows, "cid", [(account, "cid", {"project_account_status": hit})])
-    rows = add_measures(rows, "cid", _deposit_by_company(deposits))
+    # One company may run very many projects.
+    rows = add_flags(rows, "cid", [(account, "cid", {"project_account_status": hit})], spread=True)
+    rows = add_measures(rows, "cid", _deposit_by_company(deposits), spread=True)
     return rows.withColumns(
         {
             "billboards": F.coalesce("billboards", F.lit(0)),
@@ -469,7 +471,9 @@ def project_detail(
     on_project = tree.select("source_pid", "cid").distinct()
     nodes = tree.select("source_pid", "pid").distinct()
 
-    labels = on_project.join(_company_labels(companies, deposits, special_accounts), "cid")
+    labels = spread_join(
+        on_project, _company_labels(companies, deposits, special_accounts), ["cid"], "inner"
+    )
     lists = labels.groupBy(F.col("source_pid").alias("pid")).agg(
         *[
             F.sort_array(
@@ -491,8 +495,8 @@ def project_detail(
     per_node = moved.unionByName(paid).groupBy("pid").agg(F.sum("amt").alias("amt"))
     all_amt = nodes.join(per_node, "pid").groupBy("source_pid").agg(money(F.sum("amt")).alias("all_amt"))
     # A company counts once per project, however many sub-projects it has.
-    secured = on_project.join(_deposit_by_company(deposits), "cid").groupBy("source_pid")
-    secured = secured.agg(
+    secured = spread_join(on_project, _deposit_by_company(deposits), ["cid"], "inner")
+    secured = secured.groupBy("source_pid").agg(
         F.max("safeguard_status").alias("safeguard_status"), F.sum("assure_amt").alias("assure_amt")
     )
     staff = employments.where(F.col("is_job") & live() & F.col("lid").isNotNull())
