@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labwh.demo.registry import half_up, query
@@ -24,8 +24,14 @@ from labwh.operators import (
 )
 from labwh.sources.readers import since
 
-IS_IN = F.col("event_type") == "click"
-IS_OUT = F.col("event_type") == "view"
+
+def is_in() -> Column:
+    return F.col("event_type") == "click"
+
+
+def is_out() -> Column:
+    return F.col("event_type") == "view"
+
 
 PAIRS_CTE = """
     first_in AS (
@@ -52,8 +58,8 @@ def _pairs(t: Tables, **variant) -> DataFrame:
         t.events,
         ["user_id"],
         "ts",
-        IS_IN,
-        IS_OUT,
+        is_in(),
+        is_out(),
         in_cols={"in_event": F.col("event_id")},
         out_cols={"out_event": F.col("event_id")},
         **variant,
@@ -199,7 +205,7 @@ def attended_headcount_month(t: Tables) -> DataFrame:
     employed = active_in_period(
         spans, ["project"], "user_id", "starttime", "endtime", months, "real_count"
     )
-    swiped = t.events.where(IS_IN & in_months("ts", months))
+    swiped = t.events.where(is_in() & in_months("ts", months))
     swiped = swiped.select("user_id", month_of("ts").alias("cur_date")).distinct()
     at_work = active_months(spans, "starttime", "endtime", months)
     attended = (
@@ -232,7 +238,7 @@ def incremental_scan(t: Tables) -> DataFrame:
 """)
 def swipes_of_day(t: Tables) -> DataFrame:
     """Swipe counts by user and device on the day before the run date."""
-    rows = t.events.where(in_unit("ts", previous_day(AS_OF_EVENTS), "day") & (IS_IN | IS_OUT))
+    rows = t.events.where(in_unit("ts", previous_day(AS_OF_EVENTS), "day") & (is_in() | is_out()))
     return rows.groupBy("user_id", "event_type").agg(
         F.count("*").alias("swipes"), F.max("ts").alias("last_swipe")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labwh.demo.registry import money, query, share, share_text
@@ -57,16 +57,22 @@ def city_suppliers(t: Tables) -> DataFrame:
 
 
 LINE_FLAGS = {
-    "has_returned": F.col("l_returnflag") == "R",
-    "has_open_line": F.col("l_linestatus") == "O",
-    "has_discount": F.col("l_discount") >= 0.09,
+    "has_returned": "l_returnflag = 'R'",
+    "has_open_line": "l_linestatus = 'O'",
+    "has_discount": "l_discount >= 0.09",
 }
 
 
+def line_flags() -> list[Column]:
+    return [
+        F.max(F.when(F.expr(cond), 1).otherwise(0)).alias(n) for n, cond in LINE_FLAGS.items()
+    ]
+
+
 def line_sums(t: Tables) -> DataFrame:
     """Flags and sums of the order lines, one row per order from one scan."""
     return t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        *[F.max(F.when(cond, 1).otherwise(0)).alias(n) for n, cond in LINE_FLAGS.items()],
+        *line_flags(),
         F.max("l_shipdate").alias("last_ship"),
         F.count("*").alias("line_count"),
         F.sum(as_money("l_extendedprice")).alias("line_amt"),
@@ -326,7 +332,7 @@ def order_scores(t: Tables) -> DataFrame:
     last, second_last = month_start(AS_OF_ORDERS, -1), month_start(AS_OF_ORDERS, -2)
     ship = F.col("l_shipdate")
     per_supplier = t.lineitem.groupBy("l_orderkey", "l_suppkey").agg(
-        *[F.max(F.when(cond, 1).otherwise(0)).alias(n) for n, cond in LINE_FLAGS.items()],
+        *line_flags(),
         F.max(ship).alias("last_ship"),
         F.max(F.when(F.col("l_linestatus") == "F", 1).otherwise(0)).alias("is_done"),
         F.max(F.when(in_previous_month(ship, AS_OF_ORDERS), 1).otherwise(0)).alias("paid_last"),

@@ -11,7 +11,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labwh.operators.common import require
@@ -97,13 +97,26 @@ def insert_partition(
 def publish_partitions(df: DataFrame, path: str, cols: Sequence[str]):
     """Replaces only the partitions present in ``df``; running it again gives the same table.
 
-    The tasks write the rows they hold. Rows are not gathered by partition first, as one month
-    may hold a third of them.
+    Rows are rebalanced by partition before the write: small partitions get one file instead
+    of one per task, and a partition with much of the data is cut into several tasks of the
+    advisory size.
     """
     require(df, cols)
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *cols
-    ).parquet(path)
+    writer = df.hint("rebalance", *cols).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
+
+
+def same_partitions(source: DataFrame, cols: Sequence[str]) -> Column:
+    """Condition for the partitions that ``source`` has rows of. The distinct partition values,
+    a list as long as the table's partition listing, become literals, so that other
+    partitions are not opened."""
+    cond = F.lit(False)
+    for row in source.select(*cols).distinct().collect():
+        one = F.lit(True)
+        for c in cols:
+            one = one & F.col(c).eqNullSafe(F.lit(row[c]))
+        cond = cond | one
+    return cond
 
 
 def publish_both(
@@ -150,9 +163,7 @@ def upsert_partitions(
         raise ValueError("partition columns must be part of the key")
     check_unique(source, keys)
     spark = source.sparkSession
-    touched = source.select(*cols).distinct()
-    old = spark.read.schema(source.schema).parquet(path)
-    old = old.join(touched, list(cols), "left_semi")
+    old = spark.read.schema(source.schema).parquet(path).where(same_partitions(source, cols))
     merged = staged(upsert_rows(old.select(*source.columns), source, keys), "upsert")
     publish_partitions(merged, path, cols)
 

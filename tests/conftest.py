@@ -14,8 +14,9 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("labwh-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.driver.memory", "8g")
         .config("spark.checkpoint.dir", str(folder / "shared"))
         .config("spark.sql.warehouse.dir", str(folder / "warehouse"))

@@ -30,6 +30,19 @@ def test_partition_publish_is_idempotent_and_touches_one_month(spark, tmp_path):
     assert "PartitionFilters: [" in text and "date_month" in text.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_publish_writes_few_files_and_reads_touched_partitions_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(0, 4000, 1, 16).selectExpr("id", "CAST(id % 3 AS INT) AS m")
+    sinks.publish_partitions(df, path, ["m"])
+    assert len(list((tmp_path / "t").glob("m=*/*.parquet"))) == 3
+    source = df.where("m = 1 AND id < 50")
+    old = spark.read.schema(df.schema).parquet(path).where(sinks.same_partitions(source, ["m"]))
+    text = plan_text(old)
+    assert "m#" in text.split("PartitionFilters: [")[1].split("]")[0]
+    assert {f.split("/")[-2] for f in old.inputFiles()} >= {"m=1"}
+    assert old.select("m").distinct().collect()[0].m == 1
+
+
 def test_upsert_writes_a_new_table_and_keeps_the_old(spark, tmp_path):
     old, new = str(tmp_path / "old"), str(tmp_path / "new")
     sinks.overwrite(spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string"), old)
