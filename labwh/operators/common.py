@@ -15,6 +15,11 @@ def require(df: DataFrame, columns: Sequence[str]) -> None:
         raise ValueError(f"missing columns {missing}; the input has {df.columns}")
 
 
+def default_hot_rows(df: DataFrame) -> int:
+    """Rows from which on one key counts as hot; ``spark.labwh.hotRows`` of the session."""
+    return int(df.sparkSession.conf.get("spark.labwh.hotRows", "1000000"))
+
+
 def fresh_name(df: DataFrame, stem: str) -> str:
     name = f"_{stem}"
     while name in df.columns:
@@ -37,6 +42,12 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined.drop(*renamed.values())
 
 
+def _no_clash(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
+    clash = [c for c in right.columns if c in left.columns and c not in keys]
+    if clash:
+        raise ValueError(f"columns {clash} are on both sides; rename or drop them first")
+
+
 def keyed_join(
     left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], how: str = "left"
 ) -> DataFrame:
@@ -47,9 +58,7 @@ def keyed_join(
     require(left, [a for a, _ in on])
     require(right, [b for _, b in on])
     renamed = {b: f"_r_{b}" for _, b in on}
-    clash = [c for c in right.columns if c in left.columns and c not in renamed]
-    if clash:
-        raise ValueError(f"columns {clash} are on both sides; rename or drop them first")
+    _no_clash(left, right, list(renamed))
     cond = reduce(lambda a, b: a & b, [F.col(a) == F.col(renamed[b]) for a, b in on])
     joined = left.join(right.withColumnsRenamed(renamed), cond, how)
     if how in ("left_semi", "left_anti"):
@@ -63,7 +72,7 @@ def spread_join(
     on: Sequence[str],
     how: str = "left",
     skewed: str = "left",
-    hot_rows: int = 1_000_000,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Inner, left, left semi or left anti equi join that stays balanced when one key holds much
     of the ``skewed`` side.
@@ -81,7 +90,9 @@ def spread_join(
         raise ValueError("a semi or anti join has no rows of its right side to spread")
     require(left, on)
     require(right, on)
+    _no_clash(left, right, on)
     big, small = (left, right) if skewed == "left" else (right, left)
+    hot_rows = hot_rows or default_hot_rows(left)
     part, parts, mark = (fresh_name(left, x) for x in ("part", "parts", "mark"))
     sizes = big.groupBy(*on).agg(F.count("*").alias(parts)).where(F.col(parts) >= hot_rows)
     # At most (all rows / hot_rows) keys are hot, which bounds the broadcast and the copies.

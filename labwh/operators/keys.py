@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labwh.operators.common import fresh_name, null_safe_join, require
+from labwh.operators.common import default_hot_rows, fresh_name, null_safe_join, require
 
 
 def latest_per_key(
@@ -46,7 +46,7 @@ def rank_within(
     order: Sequence[Column],
     name: str,
     split: Column | None = None,
-    hot_rows: int = 1_000_000,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """``row_number`` per key, kept for every row. ``keys`` may be empty (one league table).
 
@@ -68,6 +68,7 @@ def rank_within(
         return df.withColumn(name, F.row_number().over(w).cast("long"))
 
     cell, start, n, hot = (fresh_name(df, x) for x in ("cell", "start", "n", "hot"))
+    hot_rows = hot_rows or default_hot_rows(df)
     if keys:
         sizes = df.groupBy(*keys).agg(F.count("*").alias(n)).where(F.col(n) >= hot_rows)
         # At most (all rows / hot_rows) keys are hot, which bounds the broadcast.

@@ -27,6 +27,23 @@ def test_query_agrees_with_its_oracle(spark, duck, name):
     assert differences(df, duck, all_oracles()[name]) is None
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "customer_order_history_rank", "bank_rank", "project_bank_rank", "salary_detail_rank",
+        "swipe_in_validity", "report_labourer_history", "report_resume_detail",
+        "report_project_day", "report_rule_scores", "report_area_statistics",
+    ],
+)
+def test_query_agrees_when_every_key_counts_as_hot(spark, duck, name):
+    spark.conf.set("spark.labwh.hotRows", "3")
+    try:
+        df = all_queries()[name](Tables(spark, FOLDER))
+        assert differences(df, duck, all_oracles()[name]) is None
+    finally:
+        spark.conf.unset("spark.labwh.hotRows")
+
+
 def test_contract(spark):
     assert set(contract.queries()) == set(contract.oracle_sql())
     flagship = contract.entry(spark)
