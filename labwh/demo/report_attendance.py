@@ -117,6 +117,23 @@ def report_device_swipe_counts(t: Tables) -> DataFrame:
     return plan.device_swipe_counts(Roles(t).swipes, dt.date(2024, 1, 1), ["SN0", "SN16", "SN24"])
 
 
+@query(oracle=with_roles("""
+    SELECT app_key, direct, equp_name, full_name, idcardno, insert_time, pid, record_time, sn, tid
+    FROM swipes WHERE strftime(insert_time, '%Y-%m-%d') = '2024-01-06'
+"""))
+def report_swipes_uploaded_on(t: Tables) -> DataFrame:
+    return plan.swipes_uploaded_on(Roles(t).swipes, dt.date(2024, 1, 6))
+
+
+@query(oracle=with_roles("""
+    SELECT full_name, idcardno, pid, sn, record_time, strftime(record_time, '%Y-%m-%d') AS record_date,
+      strftime(record_time, '%Y-%m') AS record_month
+    FROM swipes WHERE strftime(record_time, '%Y-%m') = '2024-01' AND sn IN ('SN0', 'SN16', 'SN24')
+"""))
+def report_device_swipe_list(t: Tables) -> DataFrame:
+    return plan.device_swipe_list(Roles(t).swipes, dt.date(2024, 1, 1), ["SN0", "SN16", "SN24"])
+
+
 def device_details(t: Tables) -> DataFrame:
     r = Roles(t)
     swipes = plan.swipe_detail(r.swipes, AS_OF_SWIPES, -1, 1)

@@ -141,7 +141,8 @@ def lines(t: Tables) -> DataFrame:
 
 
 @query(oracle=with_roles("""
-    SELECT * REPLACE (CAST(batch_amt AS DOUBLE) AS batch_amt, CAST(real_amt AS DOUBLE) AS real_amt)
+    SELECT * REPLACE (CAST(batch_amt AS DOUBLE) AS batch_amt, CAST(real_amt AS DOUBLE) AS real_amt),
+      round(12 * (2001 - year) + (6 - month) + 14 / 31.0::DOUBLE, 8) AS new_salary
     FROM salary_details
 """, VIEWS))
 def report_salary_detail(t: Tables) -> DataFrame:
@@ -151,6 +152,7 @@ def report_salary_detail(t: Tables) -> DataFrame:
         "pro_company_name", "salary_cid", "salary_company_type", "salary_company_name", "year",
         "month", "year_month", "batch_no", "batch_status", "batch_amt", "id_card_no", "real_name",
         "real_amt", "status", "worktype_name", "group_name", "bank_name", "batch_top", "salary_top",
+        "new_salary",
     )
 
 
@@ -192,7 +194,7 @@ OWNERS = """(SELECT cid FROM projects WHERE status IN (3, 4, 5) AND is_deleted =
       AND project_type IN ('房屋建设工程', '附属工程', '市政工程', '其它'))"""
 
 
-@query(oracle=with_roles(f"""
+METRICS_SQL = f"""
     SELECT CAST(year(c) AS INTEGER) AS year, CAST(month(c) AS INTEGER) AS month, type, amount FROM (
       SELECT c, 1 AS type, (SELECT count(DISTINCT d.cid) FROM deposits d WHERE d.is_deleted = 1
         AND d.status IN (3, 4) AND d.reg_date < c AND d.cid IN {OWNERS}) AS amount FROM cutoffs
@@ -209,12 +211,30 @@ OWNERS = """(SELECT cid FROM projects WHERE status IN (3, 4, 5) AND is_deleted =
          AND d.status IN (3, 4) AND d.cid IN {OWNERS}
          AND date_trunc('month', d.reg_date) <= date_trunc('month', m.reg_date))
         FROM deposits m WHERE m.is_deleted = 1 AND m.status IN (3, 4) AND m.cid IN {OWNERS})
-""", {**VIEWS, "cutoffs": """
-    SELECT CAST(DATE '2001-06-15' - to_months(CAST(k AS INTEGER)) AS DATE) AS c FROM range(0, 12) r(k)"""}))
-def report_monthly_metrics(t: Tables) -> DataFrame:
+"""
+CUTOFF_VIEWS = {
+    **VIEWS,
+    "cutoffs": """
+    SELECT CAST(DATE '2001-06-15' - to_months(CAST(k AS INTEGER)) AS DATE) AS c FROM range(0, 12) r(k)""",
+}
+
+
+def metrics(t: Tables) -> DataFrame:
     r = Roles(t)
-    rows = plan.monthly_metrics(r.projects, r.sub_projects, r.deposits, lines(t), AS_OF_REPORTS)
-    return rows.select("year", "month", "type", "amount")
+    return plan.monthly_metrics(r.projects, r.sub_projects, r.deposits, lines(t), AS_OF_REPORTS)
+
+
+@query(oracle=with_roles(METRICS_SQL, CUTOFF_VIEWS))
+def report_monthly_metrics(t: Tables) -> DataFrame:
+    return metrics(t).select("year", "month", "type", "amount")
+
+
+@query(oracle=with_roles(f"""
+    SELECT year, month, amount, type, CAST(year AS VARCHAR) || lpad(CAST(month AS VARCHAR), 2, '0') AS year_month
+    FROM ({METRICS_SQL}) WHERE year IN (2000, 2001)
+""", CUTOFF_VIEWS))
+def report_monthly_metrics_export(t: Tables) -> DataFrame:
+    return plan.monthly_metrics_export(metrics(t), [2000, 2001])
 
 
 @query(oracle=with_roles("""
