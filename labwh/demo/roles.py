@@ -335,7 +335,9 @@ class Roles:
         text = ROLES[name].replace("{", "{{").replace("}", "}}")
         text = re.sub(rf"\bFROM ({'|'.join(SOURCES)})\b", r"FROM {\1}", text)
         used = {s: getattr(self._tables, s) for s in SOURCES if f"{{{s}}}" in text}
-        return self._tables.spark.sql(text, **used)
+        df = self._tables.spark.sql(text, **used)
+        setattr(self, name, df)
+        return df
 
 
 def with_roles(sql: str, views: dict[str, str] | None = None) -> str:

@@ -28,7 +28,8 @@ PRIORITIES = {
 
 
 class Tables:
-    """Lazy access to the tables of one folder: ``Tables(spark, folder).orders``."""
+    """Lazy access to the tables of one folder: ``Tables(spark, folder).orders``. A table's
+    file footers are read once per instance, at its first use."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -37,7 +38,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self._folder}/{name}.parquet")
+        setattr(self, name, df)
+        return df
 
     def city_nations(self) -> DataFrame:
         """Nations of our city: ``n_nationkey, n_name``."""

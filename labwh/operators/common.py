@@ -73,6 +73,7 @@ def spread_join(
     how: str = "left",
     skewed: str = "left",
     hot_rows: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Inner, left, left semi or left anti equi join that stays balanced when one key holds much
     of the ``skewed`` side.
@@ -83,6 +84,10 @@ def spread_join(
     rows or more are cut into one part per ``hot_rows`` rows by a hash of the row, and the
     matching rows of the other side are copied to each part. Rows with a NULL key match
     nothing and are spread as well.
+
+    The skewed side is read once more to count its keys; ``counted`` may name a cheaper frame
+    that holds every one of these keys (more rows only mean more parts, except that a key of a
+    spread right side must occur there at least once).
     """
     if skewed not in ("left", "right") or how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot spread a {how} join on its {skewed} side")
@@ -94,7 +99,7 @@ def spread_join(
     big, small = (left, right) if skewed == "left" else (right, left)
     hot_rows = hot_rows or default_hot_rows(left)
     part, parts, mark = (fresh_name(left, x) for x in ("part", "parts", "mark"))
-    sizes = big.groupBy(*on).agg(F.count("*").alias(parts)).where(F.col(parts) >= hot_rows)
+    sizes = (big if counted is None else counted).groupBy(*on).agg(F.count("*").alias(parts)).where(F.col(parts) >= hot_rows)
     # At most (all rows / hot_rows) keys are hot, which bounds the broadcast and the copies.
     hot = F.broadcast(
         sizes.select(*on, F.ceil(F.col(parts) / hot_rows).cast("int").alias(parts))

@@ -167,6 +167,11 @@ def rule_scores(
         "city_code", "county_code", "construct_cost", "is_deleted",
         grace_month("pay_day", as_of).alias("judged"),
     )
+    # A company may run very many projects: this join is spread, and done while the rows are
+    # still a plain scan.
+    secured = located_deposits(deposits).select("cid", "province_code", "city_code")
+    place = ["cid", "province_code", "city_code"]
+    base = flag_exists(base, secured, place, "secured", spread=True)
     base = add_names(base, companies, "cid", "cid", "company_name")
     hit = F.lit(True)
     held = employment_intervals.where(F.col("is_job") & live())
@@ -192,9 +197,6 @@ def rule_scores(
             ),
         ],
     )
-    secured = located_deposits(deposits).select("cid", "province_code", "city_code")
-    place = ["cid", "province_code", "city_code"]
-    rows = flag_exists(rows, secured, place, "secured", spread=True)
 
     income = transfers.where(
         (F.col("jtype") == INCOME) & live() & (F.col("is_pro_valid") > 0)

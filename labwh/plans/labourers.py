@@ -107,7 +107,7 @@ def labourer_history(
         "city_code", "county_code", "culture_level_type", "politics_type", "source_type",
     )
     people = people.join(_arrears(arrears_amounts), "lid", "left")
-    rows = spread_join(people, jobs, ["lid"], "left", skewed="right")
+    rows = spread_join(people, jobs, ["lid"], "left", skewed="right", counted=employments)
     return rows.withColumns(
         {
             "top": F.coalesce("top", F.lit(1)),
@@ -275,6 +275,7 @@ def resume_detail(
     # Later months sort first; a missing date sorts last.
     age = F.months_between(F.lit(dt.date(2200, 1, 1)), F.trunc(F.col("job_date").cast("date"), "MM"))
     split = F.struct(held, F.coalesce(age, F.lit(1e9)))
+    known_jobs = jobs
     jobs = rank_within(jobs, ["lid"], order, "lab_top", split)
     jobs = lookup_levels(jobs, areas, {"project_county_name": ("project_county_code", COUNTY)})
 
@@ -299,7 +300,9 @@ def resume_detail(
     )
     people = people.join(bad, "lid", "left").join(worked, "lid", "left")
     people = people.join(card, "id_card_no", "left")
-    rows = spread_join(people, jobs.drop("current_cid"), ["lid"], "left", skewed="right")
+    rows = spread_join(
+        people, jobs.drop("current_cid"), ["lid"], "left", skewed="right", counted=known_jobs
+    )
     is_job = F.when(F.col("is_job").isNull(), JOB_UNKNOWN).when(F.col("is_job"), 1).otherwise(0)
     return rows.withColumns(
         {

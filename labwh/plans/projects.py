@@ -17,6 +17,7 @@ from labwh.operators import (
     keyed_join,
     label_list,
     lookup_levels,
+    outer_merge,
     spread_join,
     sum_if,
 )
@@ -106,6 +107,7 @@ def project_day_old(
         ),
         "yyyy-M-d",
     )
+    rows = add_measures(rows, "cid", _deposit_by_company(deposits), spread=True)
     rows = lookup_levels(rows, areas, AREA_NAMES)
     verified = labourers.where(F.col("real_grade") != UNVERIFIED_GRADE).select("lid")
     named = employments.join(verified, "lid", "left_semi")
@@ -126,7 +128,6 @@ def project_day_old(
         ],
     )
     rows = add_measures(rows, "pid", _billboards(billboards))
-    rows = add_measures(rows, "cid", _deposit_by_company(deposits), spread=True)
     return rows.withColumns(
         {
             "billboards": F.coalesce("billboards", F.lit(0)),
@@ -141,6 +142,13 @@ def _deposit_by_company(deposits: DataFrame) -> DataFrame:
     return sums.withColumn("safeguard_status", F.lit(1))
 
 
+def _company_facts(deposits: DataFrame, special_accounts: DataFrame) -> DataFrame:
+    """Deposit sum, deposit flag and account flag, one row per company that has any."""
+    filed = special_accounts.where(live() & (F.col("status") == 1)).select("cid").distinct()
+    filed = filed.withColumn("project_account_status", F.lit(1))
+    return outer_merge(["cid"], _deposit_by_company(deposits), filed)
+
+
 def _paid_wages(batches: DataFrame, *extra: Column) -> DataFrame:
     rows = batches.where((F.col("status") == 1) & (F.col("type") == 1))
     return rows.groupBy(F.col("source_pid").alias("pid")).agg(F.sum("real_amt").alias("real_amt"), *extra)
@@ -168,6 +176,9 @@ def project_day(
             "city_code", "county_code", "create_time",
         )
     )
+    # One company may run very many projects, so its columns are joined in parts, and first,
+    # while the rows are still a plain scan.
+    rows = add_measures(rows, "cid", _company_facts(deposits, special_accounts), spread=True)
     rows = lookup_levels(rows, areas, AREA_NAMES)
     hit = F.lit(True)
     shown = devices.where((F.col("isdelete") == "N") & F.col("is_show"))
@@ -183,14 +194,11 @@ def project_day(
         ],
     )
     rows = add_measures(rows, "pid", _billboards(billboards), _paid_wages(batches))
-    account = special_accounts.where(live() & (F.col("status") == 1))
-    # One company may run very many projects.
-    rows = add_flags(rows, "cid", [(account, "cid", {"project_account_status": hit})], spread=True)
-    rows = add_measures(rows, "cid", _deposit_by_company(deposits), spread=True)
     return rows.withColumns(
         {
             "billboards": F.coalesce("billboards", F.lit(0)),
             "safeguard_status": F.coalesce("safeguard_status", F.lit(0)),
+            "project_account_status": F.coalesce("project_account_status", F.lit(0)),
             "assure_amt": F.coalesce("assure_amt", F.lit(0)),
         }
     )
@@ -495,9 +503,11 @@ def project_detail(
     per_node = moved.unionByName(paid).groupBy("pid").agg(F.sum("amt").alias("amt"))
     all_amt = nodes.join(per_node, "pid").groupBy("source_pid").agg(money(F.sum("amt")).alias("all_amt"))
     # A company counts once per project, however many sub-projects it has.
-    secured = spread_join(on_project, _deposit_by_company(deposits), ["cid"], "inner")
-    secured = secured.groupBy("source_pid").agg(
-        F.max("safeguard_status").alias("safeguard_status"), F.sum("assure_amt").alias("assure_amt")
+    facts = _company_facts(deposits, special_accounts)
+    secured = spread_join(on_project, facts, ["cid"], "inner").groupBy("source_pid").agg(
+        F.max("safeguard_status").alias("safeguard_status"),
+        F.sum("assure_amt").alias("assure_amt"),
+        F.max("project_account_status").alias("project_account_status"),
     )
     staff = employments.where(F.col("is_job") & live() & F.col("lid").isNotNull())
     staff = staff.select(F.col("source_pid").alias("pid"), "lid").distinct()
@@ -518,7 +528,6 @@ def project_detail(
         return nodes.join(frame.select("pid"), "pid", "left_semi")
 
     hit = F.lit(True)
-    account = special_accounts.where(live() & (F.col("status") == 1)).select("cid")
     shown = devices.where((F.col("isdelete") == "N") & F.col("is_show"))
     signed = attachments.where(live() & any_filled(*CONTRACTS))
     agreed = _audited(agreements.where(live()), audits, AGREEMENT_AUDIT)
@@ -527,7 +536,6 @@ def project_detail(
         "pid",
         [
             (employments.where(live()), "source_pid", {"is_realname": hit}),
-            (on_project.join(account, "cid", "left_semi"), "source_pid", {"project_account_status": hit}),
             (reached(bank_accounts.where(live())), "source_pid", {"is_bank_account": hit}),
             (billboards.where(live()), "pid", {"is_billboards": hit}),
             (reached(shown), "source_pid", {"is_attendance": hit}),
@@ -544,5 +552,8 @@ def project_detail(
         secured.withColumnRenamed("source_pid", "pid"),
         _paid_wages(batches, this_month.alias("this_month_amt")),
     )
-    zero = ("labourers_count", "all_amt", "safeguard_status", "assure_amt", "real_amt", "this_month_amt")
+    zero = (
+        "labourers_count", "all_amt", "safeguard_status", "assure_amt", "project_account_status",
+        "real_amt", "this_month_amt",
+    )
     return rows.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in zero})
