@@ -115,7 +115,7 @@ def project_bank_rank(t: Tables) -> DataFrame:
     )
     order = [F.col("amt_total").desc(), F.col("l_suppkey")]
     split = -magnitude_cell("amt_total", 1)
-    ranked = rank_within(sums, ["l_orderkey"], order, "rank", split)
+    ranked = rank_within(sums, ["l_orderkey"], order, "rank", split, counted=t.lineitem)
     return ranked.withColumn("amt_total", F.col("amt_total").cast("double"))
 
 

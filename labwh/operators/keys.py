@@ -47,6 +47,7 @@ def rank_within(
     name: str,
     split: Column | None = None,
     hot_rows: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """``row_number`` per key, kept for every row. ``keys`` may be empty (one league table).
 
@@ -57,7 +58,8 @@ def rank_within(
     rows are shuffled once either way.
 
     ``df`` is read for the sizes, the cells and the rows: hand in a stored table when it is
-    expensive to compute. Without ``split`` the caller states that keys are small by nature (days of a person,
+    expensive to compute. ``counted`` may name a cheaper frame to take the sizes from, which
+    holds each key at least as often. Without ``split`` the caller states that keys are small by nature (days of a person,
     areas of a company).
     """
     require(df, keys)
@@ -70,7 +72,7 @@ def rank_within(
     cell, start, n, hot = (fresh_name(df, x) for x in ("cell", "start", "n", "hot"))
     hot_rows = hot_rows or default_hot_rows(df)
     if keys:
-        sizes = df.groupBy(*keys).agg(F.count("*").alias(n)).where(F.col(n) >= hot_rows)
+        sizes = (df if counted is None else counted).groupBy(*keys).agg(F.count("*").alias(n)).where(F.col(n) >= hot_rows)
         # At most (all rows / hot_rows) keys are hot, which bounds the broadcast.
         large = F.broadcast(sizes.select(*keys, F.lit(True).alias(hot)))
         celled = null_safe_join(df, large, keys, "left")

@@ -261,6 +261,7 @@ def resume_detail(
         "lid", F.col("source_pid").alias("pid"), "current_cid", "job_date", "job_end_date",
         "worktype_no", "worktype_name", "is_job",
     )
+    known_jobs = jobs
     jobs = jobs.join(site, "pid")
     jobs = add_names(jobs, companies, "current_cid", "cid", "company_name")
     order = [
@@ -275,8 +276,7 @@ def resume_detail(
     # Later months sort first; a missing date sorts last.
     age = F.months_between(F.lit(dt.date(2200, 1, 1)), F.trunc(F.col("job_date").cast("date"), "MM"))
     split = F.struct(held, F.coalesce(age, F.lit(1e9)))
-    known_jobs = jobs
-    jobs = rank_within(jobs, ["lid"], order, "lab_top", split)
+    jobs = rank_within(jobs, ["lid"], order, "lab_top", split, counted=known_jobs)
     jobs = lookup_levels(jobs, areas, {"project_county_name": ("project_county_code", COUNTY)})
 
     bad = latest_values(
@@ -300,8 +300,10 @@ def resume_detail(
     )
     people = people.join(bad, "lid", "left").join(worked, "lid", "left")
     people = people.join(card, "id_card_no", "left")
+    # Only jobs on live projects are joined, so a worker's rows are counted after that join.
+    on_site = known_jobs.select("lid", "pid").join(site.select("pid"), "pid")
     rows = spread_join(
-        people, jobs.drop("current_cid"), ["lid"], "left", skewed="right", counted=known_jobs
+        people, jobs.drop("current_cid"), ["lid"], "left", skewed="right", counted=on_site
     )
     is_job = F.when(F.col("is_job").isNull(), JOB_UNKNOWN).when(F.col("is_job"), 1).otherwise(0)
     return rows.withColumns(
