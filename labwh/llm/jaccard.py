@@ -13,9 +13,9 @@ Jaccard similarity t or more only if they share at least r(a, b) = ceil(t (a + b
 The boundary between the two is where the total number of list entries is least. All candidates are
 then compared shingle by shingle.
 
-Lists are not expanded into pairs. Each member is compared with the smallest set of its list first;
-only members of different components are compared with each other afterwards, until every list
-entry is either compared or known to be connected. Links, components and lists stay distributed.
+Lists are not expanded into pairs. Members are compared with the head of a list first, in a few rounds
+with other heads; only members of one list that are still in different components are compared with
+each other afterwards, so every pair in a list is either compared or known to be connected. Links, components and lists stay distributed.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -280,63 +280,74 @@ def _with_root(df: DataFrame, roots: DataFrame, prefix: str) -> DataFrame:
         f"{prefix}root", F.coalesce("found", own)).drop("found")
 
 
-def similar_classes(docs: DataFrame, sim: Similarity, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+def similar_classes(docs: DataFrame, sim: Similarity, sets: DataFrame, rounds: int = 2) -> tuple[DataFrame, DataFrame]:
     """Links between different sets (an, ak, bn, bk; enough of them to connect all that is connected)
-    and the roots (n, k, root) of the sets in them. ``sets`` are the staged ``document_sets``."""
-    spark = docs.sparkSession
+    and the roots (n, k, root) of the sets in them. ``sets`` are the staged ``document_sets``.
+
+    ``rounds`` only decides how much is connected through list heads before the rest is compared."""
     classes = staged(sets.where("n > 0").groupBy("n", "k").agg(
         F.first("p1").alias("p1"), F.first("p2").alias("p2"), F.min("doc_id").alias("doc_id")), "classes")
     counts = {r["n"]: r["count"] for r in classes.where(F.col("n") < SMALL_LIMIT).groupBy("n").count().collect()}
     boundary = sim.boundary(counts)
 
-    # Members of each list next to its smallest set. Lists of one set vanish here.
+    # Members of lists of at least two sets. The head, the smallest hash, is next to each other member.
     entries = list_entries(docs, sim, boundary)
-    first = "first({0}) OVER (PARTITION BY key ORDER BY n, k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS a{0}"
+    first = "first({0}) OVER (PARTITION BY key ORDER BY k, n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS a{0}"
     lists = entries.selectExpr("key", "n AS bn", "k AS bk", first.format("n"), first.format("k"))
     lists = staged(lists.where("an <> bn OR ak <> bk").distinct(), "lists")
-
-    star = lists.groupBy("an", "ak", "bn", "bk").agg(F.count("*").alias("shared"))
-    for p in ("a", "b"):
-        star = star.join(_renamed(classes, p, "n", "k", "p1", "p2"), [f"{p}n", f"{p}k"])
-    star = staged(star.where(_possible(sim, "a", "b")).select("an", "ak", "bn", "bk", "shared"), "star")
-
-    members = _renamed(lists, "", "key", "bn", "bk").toDF("key", "n", "k").unionByName(
+    members = lists.select("key", F.col("bn").alias("n"), F.col("bk").alias("k")).unionByName(
         lists.select("key", F.col("an").alias("n"), F.col("ak").alias("k"))).distinct()
+    members = staged(members.join(classes.select("n", "k", "p1", "p2"), ["n", "k"]), "members")
+
     wanted = members.select("n", "k").distinct().join(classes, ["n", "k"]).select("doc_id").distinct()
     some = pick(docs, "doc_id", "text").alias("d").join(
         wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")), "left_semi")
     found = staged(full_sets(some, sim).dropDuplicates(["n", "k"]), "sets")
 
-    # 1. Each member with the list head it shares most lists with.
-    best = star.groupBy("bn", "bk").agg(F.max_by(F.struct("an", "ak"), F.struct("shared", "an", "ak")).alias("a"))
-    done = staged(_compared(best.select("a.an", "a.ak", "bn", "bk"), found, sim), "compared")
-    links = done.where("linked").drop("linked")
-    roots = staged(_roots(links), "roots")
-
-    # 2. Other heads, unless already connected.
-    rest = _with_root(_with_root(star, roots, "a"), roots, "b").where("aroot <> broot")
-    rest = rest.select("an", "ak", "bn", "bk").join(done, ["an", "ak", "bn", "bk"], "left_anti")
-    more = staged(_compared(rest, found, sim), "compared")
-    done = done.unionByName(more)
-    links = done.where("linked").drop("linked")
-    if not more.where("linked").isEmpty():
-        roots = staged(_roots(links), "roots")
-
-    # 3. Members of one list in different components.
-    placed = staged(_with_root(members, roots, "").join(
-        classes.select("n", "k", "p1", "p2"), ["n", "k"]), "members")
-    mixed = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    open_lists = placed.join(mixed, "key", "left_semi")
-    a = open_lists.select("key", *[F.col(c).alias("a" + c) for c in ("n", "k", "p1", "p2", "root")])
-    b = open_lists.select("key", *[F.col(c).alias("b" + c) for c in ("n", "k", "p1", "p2", "root")])
-    ordered = F.struct("an", "ak") < F.struct("bn", "bk")
-    cross = a.join(b, (a["key"] == b["key"]) & ordered & (F.col("aroot") != F.col("broot")) & _possible(sim, "a", "b"))
-    cross = cross.select("an", "ak", "bn", "bk").distinct().join(done, ["an", "ak", "bn", "bk"], "left_anti")
-    last = staged(_compared(cross, found, sim), "compared")
-    if not last.where("linked").isEmpty():
-        links = links.unionByName(last.where("linked").drop("linked"))
-        roots = staged(_roots(links), "roots")
-    return links, roots
+    none = sets.sparkSession.createDataFrame([], "an long, ak long, bn long, bk long, linked boolean")
+    done, roots, open_lists = none, _roots(none), None
+    columns = ["n", "k", "p1", "p2", "root"]
+    pair = ["an", "ak", "bn", "bk"]
+
+    def side(prefix: str, extra: tuple[str, ...] = ()) -> list[Column]:
+        return [F.col(c).alias(prefix + c) for c in (*columns, *extra)]
+
+    def of_open_lists() -> DataFrame:
+        """Members, with roots, of lists that more than one component is in."""
+        placed = _with_root(members, roots, "")
+        mixed = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
+        return staged(placed.join(mixed, "key", "left_semi").select("key", *columns), "open-lists")
+
+    for turn in range(rounds + 1):
+        open_lists = of_open_lists()
+        if open_lists.isEmpty():
+            break
+        if turn < rounds:
+            # A head for each list, another one each turn; each member meets the head that it shares most with.
+            by = Window.partitionBy("key").orderBy(F.xxhash64(F.lit(turn), "k"), "n").rowsBetween(
+                Window.unboundedPreceding, Window.currentRow)
+            headed = open_lists.select(*side("b"), *[F.first(c).over(by).alias("a" + c) for c in columns])
+            headed = headed.where((F.col("aroot") != F.col("broot")) & _possible(sim, "a", "b"))
+            best = headed.groupBy(*pair).agg(F.count("*").alias("shared")).groupBy("bn", "bk").agg(
+                F.max_by(F.struct("an", "ak"), F.struct("shared", "ak", "an")).alias("a"))
+            candidates = best.select(F.least(F.col("a"), F.struct(F.col("bn").alias("an"), F.col("bk").alias("ak"))).alias("a"),
+                                     F.greatest(F.col("a"), F.struct(F.col("bn").alias("an"), F.col("bk").alias("ak"))).alias("b"))
+            candidates = candidates.select("a.an", "a.ak", F.col("b.an").alias("bn"), F.col("b.ak").alias("bk")).distinct()
+        else:
+            # All pairs that are left, each from the first list that both are in, as far as the first lists
+            # of a set tell; what is emitted twice is removed after.
+            firsts = open_lists.groupBy("n", "k").agg(F.slice(F.sort_array(F.collect_set("key")), 1, 16).alias("firsts"))
+            rows = open_lists.join(firsts, ["n", "k"])
+            a, b = rows.select("key", *side("a", ("firsts",))), rows.select(F.col("key").alias("bkey"), *side("b", ("firsts",)))
+            earlier = F.array_min(F.array_intersect("afirsts", "bfirsts"))
+            candidates = a.join(b, (F.col("key") == F.col("bkey")) & (F.struct("an", "ak") < F.struct("bn", "bk"))
+                                & (F.col("aroot") != F.col("broot")) & _possible(sim, "a", "b")
+                                & (F.coalesce(earlier, F.col("key")) >= F.col("key"))).select(*pair).distinct()
+        result = staged(_compared(candidates.join(done, pair, "left_anti"), found, sim), "compared")
+        done = done.unionByName(result)
+        if not result.where("linked").isEmpty():
+            roots = staged(_roots(done.where("linked")), "roots")
+    return done.where("linked").select(*pair), roots
 
 
 def join(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
