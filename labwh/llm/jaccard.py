@@ -173,6 +173,7 @@ def _per_document(docs: DataFrame, schema: T.StructType, make) -> DataFrame:
         arrow = to_arrow_schema(schema)
         columns: list[list] = [[] for _ in arrow]
         held = 0
+        weight = lambda column: sum(x.size if isinstance(x, np.ndarray) else 1 for x in column) if isinstance(column, list) else len(column)
 
         def emit():
             arrays = []
@@ -187,8 +188,8 @@ def _per_document(docs: DataFrame, schema: T.StructType, make) -> DataFrame:
                 rows = make(doc_id, text.as_py())
                 for c, x in zip(columns, rows):
                     c.append(x)
-                held += len(rows[-1])
-                if held >= 1 << 16:
+                held += weight(rows[-1])
+                if held >= 1 << 16 or len(columns[0]) >= 1024:
                     yield emit()
                     held = 0
         yield emit()

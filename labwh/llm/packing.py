@@ -149,7 +149,7 @@ def pack_lengths(pieces: list[int], capacity: int) -> list[list[tuple[int, int,
 
 
 def pack(docs: DataFrame, tokenizer: ByteBpe | None = None, capacity: int = 2048, end_id: int = 1,
-         pool_pieces: int = 8192) -> DataFrame:
+         pool_pieces: int = 4096) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, ids (little-endian unsigned 32-bit),
     sequence_id and offset (gapless from 0 in each sequence).
 
@@ -178,7 +178,7 @@ def pack(docs: DataFrame, tokenizer: ByteBpe | None = None, capacity: int = 2048
         pool: list[tuple] = []
 
         def ready(force: bool = False):
-            if rows and (force or len(rows) >= 4096):
+            if rows and (force or len(rows) >= 1024):
                 columns = [pa.array(c, arrow.field(i).type) for i, c in enumerate(zip(*rows))]
                 rows.clear()
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
