@@ -28,19 +28,17 @@ def _named(docs: DataFrame, decisions: DataFrame) -> DataFrame:
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep. Rows that share a doc_id stay if all of them pass."""
-    judged = quality_rules.judge(docs)
-    return _named(docs, judged.groupBy("doc_id").agg(F.bool_and("kept").alias("kept")).where("kept").select("doc_id"))
+    """Documents that the quality rules keep. Rows are carried through, so no text is shuffled."""
+    return quality_rules.judge(docs, carry=COLUMNS).where("kept").select("carried.*")
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. It learns from the labels of all ``documents``
     without the held-out third: the rules before it leave few examples of bad ones."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
-    scores = quality_model.classify(docs, labels, used=fold(F.col("doc_id"), 3) != 1,
-                                    learn_from=spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    good = scores.groupBy("doc_id").agg(F.min("predicted").alias("predicted")).where("predicted = 1")
-    return _named(docs, good.select("doc_id"))
+    every = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    scores = quality_model.classify(docs, labels, used=fold(F.col("doc_id"), 3) != 1, learn_from=every, carry=COLUMNS)
+    return scores.where("predicted = 1").select("carried.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ computed once.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,10 +20,10 @@ from labwh.llm.common import pick, staged
 from labwh.llm.quality_rules import CLASSES, document_statistics
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """doc_id and ``x``, the transformed statistics of every whole text. Counts become logarithms,
+def features(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, ``carried`` (a struct of the columns ``carry``) and ``x``, the transformed statistics of every whole text. Counts become logarithms,
     shares square roots; NULL and empty texts are all zero."""
-    s = document_statistics(docs)
+    s = document_statistics(docs, carry)
     chars = F.col("word_chars") + F.get("class_counts", F.lit(CLASSES.index("space")))
     share = lambda part, whole: F.when(whole > 0, F.sqrt(part / whole)).otherwise(0.0)
     n = F.col("n_words")
@@ -38,7 +38,7 @@ def features(docs: DataFrame) -> DataFrame:
         *[share(F.get("class_counts", F.lit(CLASSES.index(c))), chars)
           for c in ("space", "upper", "digit", "symbol", "punctuation")],
     ]
-    return s.select("doc_id", F.array(*[v.cast("double") for v in values]).alias("x"))
+    return s.select("doc_id", "carried", F.array(*[v.cast("double") for v in values]).alias("x"))
 
 
 @dataclass(frozen=True)
@@ -122,8 +122,8 @@ def scored(rows: DataFrame, model: Discriminant) -> DataFrame:
 
 
 def classify(docs: DataFrame, labels: DataFrame, used: Column | None = None,
-             learn_from: DataFrame | None = None) -> DataFrame:
-    """doc_id, score and predicted for every document, learned from ``labels`` (doc_id, label) of the
+             learn_from: DataFrame | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, ``carried`` (a struct of the columns ``carry``), score and predicted for every document, learned from ``labels`` (doc_id, label) of the
     documents ``learn_from`` (default: the same ones).
 
     ``used`` is a condition on doc_id that labelled rows must meet. A document with several labels
@@ -131,7 +131,7 @@ def classify(docs: DataFrame, labels: DataFrame, used: Column | None = None,
     documents are scored like any other. Repeated rows give repeated results, an empty table none;
     extra columns are dropped. Labels and ids are no input of a score.
     """
-    rows = staged(features(docs), "quality-features")
+    rows = staged(features(docs, carry), "quality-features")
     known = pick(labels, "doc_id", "label").where(F.col("label").isNotNull())
     if used is not None:
         known = known.where(used)
@@ -139,4 +139,4 @@ def classify(docs: DataFrame, labels: DataFrame, used: Column | None = None,
     shown = rows if learn_from is None else features(learn_from)
     model = fit(shown.join(known, "doc_id"))
     return scored(rows, model).select(
-        "doc_id", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+        "doc_id", "carried", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
