@@ -10,7 +10,7 @@ Jaccard similarity t or more only if they share at least r(a, b) = ceil(t (a + b
   (Lists of single shingles would hold every document with a common passage.) Similar sets are
   found by scanning a set's lists.
 
-The boundary between the two is where the total number of list entries is least. All candidates are
+The boundary between the two is where the total cost of the list entries is least. All candidates are
 then compared shingle by shingle.
 
 Lists are not expanded into pairs. Members are compared with the head of a list first, in a few rounds
@@ -53,10 +53,13 @@ def scramble_int(x: int) -> int:
 
 @dataclass(frozen=True)
 class Similarity:
-    """Threshold ``percent`` / 100 and shingle length in words."""
+    """Threshold ``percent`` / 100 and shingle length in words. ``scan_cost`` prices an entry of a large
+    set against one of a small set: a shared subset is a similar pair already, while members of a block's
+    list have to be scanned and compared."""
 
     percent: int = 90
     words: int = 3
+    scan_cost: float = 4.0
 
     def shingles(self, text: str | None) -> np.ndarray:
         """Sorted distinct 64-bit hashes of the text's shingles: A-Z lower-cased, words between white
@@ -113,14 +116,14 @@ class Similarity:
         return sum(math.comb(size, size - self.needed(size, b)) for b in self.partners(size)
                    if b < boundary and self.needed(size, b) <= min(size, b))
 
-    def large_cost(self, size: int) -> int:
-        return sum(self.blocks(k) for k in self.classes_of(size))
+    def large_cost(self, size: int) -> float:
+        return self.scan_cost * sum(self.blocks(k) for k in self.classes_of(size))
 
     def boundary(self, counts: dict[int, int]) -> int:
         """Sets below it are small. ``counts`` has the number of sets of each size below
         ``SMALL_LIMIT``; larger ones cost the same whatever is chosen."""
 
-        def total(x: int) -> int:
+        def total(x: int) -> float:
             return sum(n * ((self.small_cost(s, x) if s < x else 0)
                             + (self.large_cost(s) if self.partners(s)[-1] >= x else 0))
                        for s, n in counts.items() if s < SMALL_LIMIT)
