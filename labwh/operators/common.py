@@ -100,12 +100,10 @@ def spread_join(
     hot_rows = hot_rows or default_hot_rows(left)
     part, parts, mark = (fresh_name(left, x) for x in ("part", "parts", "mark"))
     sizes = (big if counted is None else counted).groupBy(*on).agg(F.count("*").alias(parts)).where(F.col(parts) >= hot_rows)
-    # At most (all rows / hot_rows) keys are hot, which bounds the broadcast and the copies.
-    hot = F.broadcast(
-        sizes.select(*on, F.ceil(F.col(parts) / hot_rows).cast("int").alias(parts))
-    )
+    # At most (all rows / hot_rows) keys are hot, which bounds the copies.
+    hot = sizes.select(*on, F.ceil(F.col(parts) / hot_rows).cast("int").alias(parts))
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
-    chosen = F.when(no_key, F.lit(199)).otherwise(F.coalesce(F.col(parts), F.lit(1)))
+    chosen = F.when(no_key, F.lit(2**31 - 1)).otherwise(F.coalesce(F.col(parts), F.lit(1)))
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
     cut = big.join(hot, list(on), "left").withColumn(part, F.pmod(row_hash, chosen).cast("int"))
     cut = cut.drop(parts).withColumn(mark, F.lit(True))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labwh.operators.common import default_hot_rows, fresh_name, null_safe_join, require
+from labwh.operators.common import fresh_name, null_safe_join, require
 
 
 def latest_per_key(
@@ -46,20 +46,16 @@ def rank_within(
     order: Sequence[Column],
     name: str,
     split: Column | None = None,
-    hot_rows: int | None = None,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
     """``row_number`` per key, kept for every row. ``keys`` may be empty (one league table).
 
-    A window sends a whole key to one task. Keys with ``hot_rows`` rows or more are therefore
-    cut into cells by ``split``, which must grow with ``order``: rows that sort earlier have a
-    smaller or equal value, NULL first. Each cell is numbered by its own task, starting after
-    the rows of earlier cells; only the cell counts meet per key. Other keys stay whole. The
-    rows are shuffled once either way.
+    A window sends a whole key to one task. Keys are therefore cut into cells by ``split``, which
+    must grow with ``order``: rows that sort earlier have a smaller or equal value, NULL first.
+    Each cell is numbered by its own task, starting after the rows of earlier cells; only the
+    cell counts meet per key. The rows are shuffled once.
 
-    ``df`` is read for the sizes, the cells and the rows: hand in a stored table when it is
-    expensive to compute. ``counted`` may name a cheaper frame to take the sizes from, which
-    holds each key at least as often. Without ``split`` the caller states that keys are small by nature (days of a person,
+    ``df`` is read for the cells and the rows: hand in a stored table when it is expensive to
+    compute. Without ``split`` the caller states that keys are small by nature (days of a person,
     areas of a company).
     """
     require(df, keys)
@@ -69,22 +65,13 @@ def rank_within(
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, F.row_number().over(w).cast("long"))
 
-    cell, start, n, hot = (fresh_name(df, x) for x in ("cell", "start", "n", "hot"))
-    hot_rows = hot_rows or default_hot_rows(df)
-    if keys:
-        sizes = (df if counted is None else counted).groupBy(*keys).agg(F.count("*").alias(n)).where(F.col(n) >= hot_rows)
-        # At most (all rows / hot_rows) keys are hot, which bounds the broadcast.
-        large = F.broadcast(sizes.select(*keys, F.lit(True).alias(hot)))
-        celled = null_safe_join(df, large, keys, "left")
-        celled = celled.withColumn(cell, F.when(F.col(hot), split))
-        cut = celled.where(F.col(hot))
-    else:
-        celled = cut = df.withColumn(cell, split)
+    cell, start, n = (fresh_name(df, x) for x in ("cell", "start", "n"))
+    celled = df.withColumn(cell, split)
     at = [*keys, cell]
     earlier = Window.partitionBy(*keys).orderBy(F.col(cell).asc_nulls_first())
     earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum(n).over(earlier), F.lit(0))
-    counts = cut.groupBy(*at).agg(F.count("*").alias(n))
+    counts = celled.groupBy(*at).agg(F.count("*").alias(n))
     # One marker row per cell carries its start into the cell's task and sorts first there.
     markers = counts.select(*at, before.alias(start))
     rows = celled.select(*df.columns, cell).unionByName(markers, allowMissingColumns=True)
