@@ -291,18 +291,16 @@ def report_month_statistics(t: Tables) -> DataFrame:
 
 
 @query(oracle=with_roles("""
-    SELECT CAST(county_code || '200106' || lpad(CAST(industry_type AS VARCHAR), 2, '0') AS BIGINT) AS id,
-      county_code, salary_amt, bail_amt FROM june WHERE county_code IN (SELECT code FROM areas)
+    SELECT TRY_CAST(county_code || '200106' || lpad(CAST(industry_type AS VARCHAR), 2, '0') AS BIGINT) AS id,
+      province_code, city_code, county_code, industry_type, salary_amt, bail_amt FROM june
     UNION ALL
-    SELECT CAST(county_code || '200105' || lpad(CAST(industry_type AS VARCHAR), 2, '0') AS BIGINT),
-      county_code, salary_amt, bail_amt FROM may WHERE county_code IN (SELECT code FROM areas)
+    SELECT TRY_CAST(county_code || '200105' || lpad(CAST(industry_type AS VARCHAR), 2, '0') AS BIGINT),
+      province_code, city_code, county_code, industry_type, salary_amt, bail_amt FROM may
 """, {"may": _month_sql("2001-05-01", 2001, 5), "june": _month_sql("2001-06-01", 2001, 6)}))
 def report_merged_month_statistics(t: Tables) -> DataFrame:
     """The stored May and an outdated June, with the fresh June on top."""
-    listed = Roles(t).areas.select(F.col("code").alias("county_code"))
-    # The report key names the county only, so it is unique for listed counties.
-    june = _month(t, AS_OF_REPORTS).join(listed, "county_code", "left_semi")
-    may = _month(t, dt.date(2001, 5, 15)).join(listed, "county_code", "left_semi")
+    june = _month(t, AS_OF_REPORTS)
+    may = _month(t, dt.date(2001, 5, 15))
     outdated = june.withColumn("salary_amt", F.lit(-1).cast(june.schema["salary_amt"].dataType))
     merged = plan.merge_month_statistics(may.unionByName(outdated), june)
-    return plain(merged, "id", "county_code", "salary_amt", "bail_amt")
+    return plain(merged, "id", *plan.AREA, "salary_amt", "bail_amt")

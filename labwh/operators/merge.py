@@ -53,21 +53,22 @@ def outer_merge(
 
 def merge_latest(stored: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Stored and fresh rows by key: a fresh value wins unless it is NULL; rows that exist on
-    one side only are kept. Each side holds one row per key."""
+    one side only are kept. Each side holds one row per key; NULL keys are equal."""
     require(stored, keys)
     require(fresh, stored.columns)
     values = [c for c in stored.columns if c not in keys]
-    old = stored.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in values])
-    joined = fresh.select(*stored.columns).join(old, list(keys), "full")
-    return joined.select(
-        *keys, *[F.coalesce(F.col(c), F.col(f"_old_{c}")).alias(c) for c in values]
-    ).select(*stored.columns)
+    old = stored.select(*[F.col(c).alias(f"_old_{c}") for c in (*keys, *values)])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_old_{k}")) for k in keys])
+    joined = fresh.select(*stored.columns).join(old, same, "full")
+    return joined.select(*[F.coalesce(F.col(c), F.col(f"_old_{c}")).alias(c) for c in stored.columns])
 
 
 def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target after inserting or fully replacing the rows of ``source`` by key. The source
-    must be unique per key; see ``sources.sinks.upsert`` for the check and the write."""
+    must be unique per key, NULL keys are equal; see ``sources.sinks.upsert`` for the check and the write."""
     require(target, keys)
     require(source, target.columns)
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
+    new = source.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    kept = target.join(new, same, "left_anti")
     return kept.unionByName(source.select(*target.columns))

@@ -14,6 +14,7 @@ from labwh.functions import (
     in_unit,
     live,
     month_of,
+    month_start,
     months_window,
     previous_day,
     text_key,
@@ -45,6 +46,7 @@ from labwh.plans.common import (
     open_projects,
     stamp,
 )
+from labwh.sources.readers import partition_months
 
 # Fixed values.
 SWIPE_IN, SWIPE_OUT = 1, 2
@@ -278,7 +280,11 @@ def project_attendance(
 ) -> DataFrame:
     """Person × day pairs since the previous month, joined to the device's project while the
     device was in use. Missing side: 0 hours; normal status 1."""
-    recent = swipes.where(months_window("record_time", previous_day(as_of), -1)).withColumns(
+    day = previous_day(as_of)
+    if {"date_year", "date_month"} <= set(swipes.columns):
+        # The window is the month of that day and the one before; other partitions are not opened.
+        swipes = partition_months(swipes, [month_start(day), month_start(day - dt.timedelta(days=day.day))])
+    recent = swipes.where(months_window("record_time", day, -1)).withColumns(
         {"insert_time": F.coalesce("insert_time", "record_time"), "swiped_at": F.col("record_time")}
     )
     pairs = _pairs(
@@ -429,7 +435,9 @@ def real_attendance(
 ) -> DataFrame:
     """Project × month: people employed, and people employed anywhere who swiped on the
     project's devices; status 3 if any did. All months are served by one pass over each input.
+    Dates inside a month stand for the month, so the overlap test starts at its first day.
     """
+    months = [month_start(m) for m in months]
     spans = employment_intervals.where(live())
     employed = active_in_period(
         spans, ["source_pid"], "id_card_no", "starttime", "endtime", months, "real_count"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,16 +115,18 @@ def payroll_months(
     months: Sequence[dt.date],
     as_of: dt.date,
 ) -> DataFrame:
-    """Project × month: people employed, people paid, amount paid; status 3 when some was."""
+    """Project × month: people employed, people paid, amount paid; status 3 when some was. Dates
+    inside a month stand for the month, so the overlap test starts at its first day."""
+    months = [month_start(m) for m in months]
     own = projects.select("pid")
     spans = employment_intervals.where(live())
     spans = keyed_join(spans, own, [("source_pid", "pid")], "left_semi")
     employed = active_in_period(
         spans, ["source_pid"], "id_card_no", "starttime", "endtime", months, "real_count"
     )
-    listed = F.make_date("year", "month", F.lit(1))
-    paid = batches.where((F.col("status") == 1) & live()).withColumn("cur_date", listed)
-    paid = paid.where(F.col("cur_date").isin([F.lit(m) for m in months]))
+    listed = reduce(lambda a, b: a | b, [(F.col("year") == m.year) & (F.col("month") == m.month) for m in months])
+    paid = batches.where((F.col("status") == 1) & live() & listed)
+    paid = paid.withColumn("cur_date", F.make_date("year", "month", F.lit(1)))
     lines = wages.where((F.col("status") == 1) & live()).select("batch_no", "id_card_no")
     people = paid.select("batch_no", "source_pid", "cur_date").join(lines, "batch_no")
     people = people.select("source_pid", "cur_date", "id_card_no").distinct()
@@ -432,7 +435,7 @@ def month_statistics(
     month = month_start(as_of)
     return rows.withColumns(
         {
-            "id": text_key("county_code", F.lit(as_of.year), F.lit(as_of.month), "industry_type").cast("long"),
+            "id": text_key("county_code", F.lit(as_of.year), F.lit(as_of.month), "industry_type").try_cast("long"),
             "cur_date": F.lit(month),
             "cur_date_year": F.lit(as_of.year),
             "cur_date_month": F.lit(as_of.month),
@@ -442,5 +445,6 @@ def month_statistics(
 
 
 def merge_month_statistics(stored: DataFrame, fresh: DataFrame) -> DataFrame:
-    """The stored month report with fresh months on top, by report key."""
-    return merge_latest(stored, fresh, ["id"])
+    """The stored month report with fresh months on top, by area, industry and month; the report's
+    id names neither province nor city and is NULL without a county."""
+    return merge_latest(stored, fresh, [*AREA, "cur_date_year", "cur_date_month"])

@@ -49,3 +49,10 @@ def test_upsert_rows_replaces_all_columns(spark):
     target = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "id int, x string, y int")
     source = spark.createDataFrame([(2, None, 20), (3, "c", 3)], "id int, x string, y int")
     assert rows(upsert_rows(target, source, ["id"])) == [(1, "a", 1), (2, None, 20), (3, "c", 3)]
+
+
+def test_null_keys_are_equal_when_merging(spark):
+    schema = "k string, m int, v int"
+    stored = spark.createDataFrame([(None, 1, 5), ("a", None, 6), ("b", 1, 7)], schema)
+    assert rows(merge_latest(stored, stored, ["k", "m"])) == rows(stored)
+    assert rows(upsert_rows(stored, stored, ["k", "m"])) == rows(stored)
