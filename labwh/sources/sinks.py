@@ -7,7 +7,6 @@ first, and the old one stays readable until the new one is complete.
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
@@ -22,16 +21,9 @@ AUDIT_SCHEMA = "create_time timestamp, class_name string, message string"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session. Only a
-    local session without that setting gets a temporary folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="labwh-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """Shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session, else its
+    warehouse."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def fresh_path(spark: SparkSession, stem: str) -> str:
