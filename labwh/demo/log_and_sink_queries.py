@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from labwh.demo.registry import money, query
 from labwh.demo.tables import Tables
 from labwh.functions import in_unit
+from labwh.functions.dates import compact_timestamp, day_of_compact, hour_of_compact
 from labwh.functions import money as as_money
 from labwh.operators import counts_by_field, extract_json
+from labwh.operators.dims import not_in
 from labwh.sources.sinks import (
     append_snapshot,
     fresh_path,
+    insert_overwrite,
     merge_stored,
     month_partition_columns,
     overwrite,
@@ -23,7 +26,7 @@ from labwh.sources.sinks import (
     upsert,
     upsert_partitions,
 )
-from labwh.sources.readers import partition_months
+from labwh.sources.readers import partition_months, read_path, read_table, read_text
 
 
 @query(oracle="""
@@ -215,3 +218,56 @@ def two_targets_roundtrip(t: Tables) -> DataFrame:
         one = df.select(F.lit(name).alias("place"), "state", "date_year", "n", "amt")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+@query(oracle="""
+    SELECT c_custkey, c_name FROM customer
+    WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice >= 300000 AND o_custkey IS NOT NULL)
+""")
+def customers_without_large_orders(t: Tables) -> DataFrame:
+    """Customers without a large order; NULLs on either side never qualify or exclude."""
+    large = t.orders.where("o_totalprice >= 300000")
+    return not_in(t.customer.select("c_custkey", "c_name"), "c_custkey", large, "o_custkey")
+
+
+@query(oracle="""
+    SELECT event_id, strftime(ts, '%Y%m%d%H%M%S') AS at, strftime(ts, '%Y%m%d') AS day, strftime(ts, '%H') AS hour FROM events
+""")
+def event_time_texts(t: Tables) -> DataFrame:
+    """Compact time texts of events, and the day and hour in them."""
+    at = compact_timestamp(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    rows = t.events.select("event_id", at.alias("at"))
+    return rows.select("event_id", "at", day_of_compact("at").alias("day"), hour_of_compact("at").alias("hour"))
+
+
+@query(oracle="""
+    SELECT o_orderstatus, count(*) AS order_count, CAST(max(o_orderkey) AS BIGINT) AS last_key FROM orders
+    WHERE o_orderstatus <> 'P' GROUP BY 1
+    UNION ALL
+    SELECT o_orderstatus, count(*), CAST(max(o_orderkey) AS BIGINT) FROM orders
+    WHERE o_orderstatus = 'P' AND o_orderkey % 2 = 0 GROUP BY 1
+""")
+def catalog_overwrite_roundtrip(t: Tables) -> DataFrame:
+    """A partitioned catalog table filled, one partition overwritten by part of its rows, and read."""
+    spark = t.spark
+    name = fresh_path(spark, "orders_by_status").rpartition("/")[2].replace("-", "_")
+    rows = t.orders.select("o_orderkey", "o_orderstatus")
+    kind = rows.schema["o_orderkey"].dataType.simpleString()
+    spark.sql(f"CREATE TABLE {name} (o_orderkey {kind}, o_orderstatus STRING) USING parquet PARTITIONED BY (o_orderstatus)")
+    insert_overwrite(rows, name)
+    insert_overwrite(rows.where("o_orderstatus = 'P' AND o_orderkey % 2 = 0"), name)
+    return read_table(spark, name).groupBy("o_orderstatus").agg(
+        F.count("*").alias("order_count"), F.max("o_orderkey").cast("long").alias("last_key"))
+
+
+@query(oracle="""
+    SELECT n_name AS name, 'text' AS kind FROM nation UNION ALL SELECT n_name, 'orc' FROM nation
+""")
+def file_format_roundtrip(t: Tables) -> DataFrame:
+    """Names written and read as lines of text and as another file format."""
+    names = t.nation.select("n_name")
+    lines, orc = fresh_path(t.spark, "names-text"), fresh_path(t.spark, "names-orc")
+    overwrite(names, lines, fmt="text")
+    overwrite(names, orc, fmt="orc")
+    read = read_text(t.spark, lines).select(F.col("value").alias("name"), F.lit("text").alias("kind"))
+    return read.unionByName(read_path(t.spark, orc, "orc").select(F.col("n_name").alias("name"), F.lit("orc").alias("kind")))

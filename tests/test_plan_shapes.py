@@ -3,9 +3,13 @@
 import pathlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from labwh.demo import all_queries
+from labwh.demo.report_attendance import AS_OF_SWIPES
+from labwh.demo.roles import Roles
 from labwh.demo.tables import Tables
+from labwh.plans import attendance
 from tests.helpers import plan_text
 
 FOLDER = "/root/testdata/sf0.001"
@@ -68,3 +72,16 @@ def test_latest_row_limits_groups_before_the_shuffle(spark):
 def test_totals_beside_rows_need_no_window_over_everything(spark):
     text = plan(spark, "onjob_share")
     assert "Window [sum" not in text and "Subquery" in text
+
+
+def test_project_attendance_opens_two_months_only(spark, tmp_path):
+    r = Roles(Tables(spark, FOLDER))
+    path = str(tmp_path / "swipes")
+    dated = r.swipes.withColumns({"date_year": F.year("record_time"), "date_month": F.month("record_time")})
+    dated.write.partitionBy("date_year", "date_month").parquet(path)
+    stored = spark.read.parquet(path)
+    out = attendance.project_attendance(stored, r.devices, r.projects, AS_OF_SWIPES)
+    scanned = [x for x in plan_text(out).splitlines() if "FileScan" in x and "/swipes" in x]
+    assert scanned and all("PartitionFilters: []" not in x and "date_month" in x.split("PartitionFilters")[1] for x in scanned)
+    whole = attendance.project_attendance(r.swipes, r.devices, r.projects, AS_OF_SWIPES)
+    assert out.count() == whole.count() > 0

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from labwh.plans import attendance, companies, compliance, labourers, projects, salary
 from tests.helpers import day, rows, ts
 
@@ -184,8 +186,9 @@ def test_company_without_projects_keeps_its_first_rank(spark):
     assert rows(days, "county_code", "day", "xz_companys_sum", "company_build_count", "xz_other", "yw_companys_sum") == [("x", 2, 3, 3, 1, None)]
 
 
-def test_payroll_counts_people_once(spark):
-    months = [day("2020-05-01")]
+@pytest.mark.parametrize("month", ["2020-05-01", "2020-05-15"])
+def test_payroll_counts_people_once(spark, month):
+    months = [day(month)]
     spans = spark.createDataFrame([(1, "a", day("2020-01-01"), day("2999-01-01"), 1), (1, "a", day("2020-05-09"), day("2020-05-10"), 1), (9, "b", day("2020-05-01"), day("2020-05-10"), 1)], "source_pid int, id_card_no string, starttime date, endtime date, is_deleted int")
     batches = spark.createDataFrame([("B1", 1, 2020, 5, 1, 1, 40), ("B2", 1, 2020, 5, 1, 1, 2), ("B3", 1, 2020, 5, 6, 1, 9)], "batch_no string, source_pid int, year int, month int, status int, is_deleted int, real_amt int")
     wages = spark.createDataFrame([("B1", "a", 1, 1), ("B2", "a", 1, 1), ("B2", "c", 1, 1), ("B3", "d", 1, 1)], "batch_no string, id_card_no string, status int, is_deleted int")
