@@ -50,6 +50,12 @@ HEADLINE = [
     "report_project_day",
     "report_salary_batches",
     "report_rule_scores",
+    "report_platform_totals_month",
+    "report_project_detail",
+    "report_monthly_metrics",
+    "report_onjob_share",
+    "report_salary_total",
+    "report_project_bank_rank",
 ]
 
 
