@@ -166,16 +166,19 @@ class Similarity:
         return a, b
 
 
-def _per_document(docs: DataFrame, schema: T.StructType, make) -> DataFrame:
-    """Rows that ``make(doc_id, text)`` yields for each document, in bounded batches."""
+def _per_document(docs: DataFrame, sim: Similarity, schema: T.StructType, make, once: bool = False) -> DataFrame:
+    """Rows that ``make(doc_id, shingles, k)`` yields for each document, in bounded batches; k is the
+    64-bit hash of the set. With ``once`` a task skips sets that it has seen, so that a group of
+    copies is reduced before any shuffle."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import xxhash
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
         columns: list[list] = [[] for _ in arrow]
-        held = 0
+        held, seen = 0, set()
         weight = lambda column: sum(x.size if isinstance(x, np.ndarray) else 1 for x in column) if isinstance(column, list) else len(column)
 
         def emit():
@@ -188,7 +191,13 @@ def _per_document(docs: DataFrame, schema: T.StructType, make) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for doc_id, text in zip(ids, batch.column(1)):
-                rows = make(doc_id, text.as_py())
+                found = sim.shingles(text.as_py())
+                k = xxhash.xxh3_64_intdigest(found.tobytes())
+                if once:
+                    if (len(found), k) in seen:
+                        continue
+                    seen.add((len(found), k))
+                rows = make(doc_id, found, np.array([k], np.uint64).view(np.int64))
                 for c, x in zip(columns, rows):
                     c.append(x)
                 held += weight(rows[-1])
@@ -197,53 +206,41 @@ def _per_document(docs: DataFrame, schema: T.StructType, make) -> DataFrame:
                     held = 0
         yield emit()
 
-    return docs.mapInArrow(run, schema)
+    return pick(docs, "doc_id", "text").mapInArrow(run, schema)
 
 
 def document_sets(docs: DataFrame, sim: Similarity) -> DataFrame:
     """doc_id, n (size), k (64-bit hash of the set), p1 and p2 (parity) of each document. Size and
     hash together identify a set."""
 
-    def make(doc_id, text):
-        import xxhash
-
-        found = sim.shingles(text)
+    def make(doc_id, found, k):
         p1, p2 = sim.parity(found)
-        k = np.array([xxhash.xxh3_64_intdigest(found.tobytes())], np.uint64).view(np.int64)
         return [doc_id], [len(found)], k, [p1], [p2]
 
     schema = T.StructType([docs.schema["doc_id"], *[T.StructField(c, T.LongType()) for c in ("n", "k", "p1", "p2")]])
-    return _per_document(pick(docs, "doc_id", "text"), schema, make)
+    return _per_document(docs, sim, schema, make)
 
 
 def list_entries(docs: DataFrame, sim: Similarity, boundary: int) -> DataFrame:
-    """key, n, k: one row per list that a document's set belongs to."""
+    """key, n, k: one row per list that a set belongs to, and per task that holds a copy of the set."""
 
-    def make(_, text):
-        import xxhash
-
-        found = sim.shingles(text)
+    def make(_, found, k):
         keys = sim.entries(found, boundary).view(np.int64) if len(found) else np.zeros(0, np.int64)
-        k = np.array([xxhash.xxh3_64_intdigest(found.tobytes())], np.uint64).view(np.int64)
         return np.full(len(keys), len(found)), np.repeat(k, len(keys)), keys
 
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("n", "k", "key")])
-    return _per_document(pick(docs, "doc_id", "text"), schema, make)
+    return _per_document(docs, sim, schema, make, once=True)
 
 
 def full_sets(docs: DataFrame, sim: Similarity) -> DataFrame:
-    """n, k, shingles: the sets themselves."""
-
-    def make(_, text):
-        import xxhash
+    """n, k, shingles: the sets themselves, once per task."""
 
-        found = sim.shingles(text)
-        k = np.array([xxhash.xxh3_64_intdigest(found.tobytes())], np.uint64).view(np.int64)
+    def make(_, found, k):
         return [len(found)], k, [found.view(np.int64)]
 
     schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("k", T.LongType()),
                            T.StructField("shingles", T.ArrayType(T.LongType()))])
-    return _per_document(pick(docs, "doc_id", "text"), schema, make)
+    return _per_document(docs, sim, schema, make, once=True)
 
 
 def _possible(sim: Similarity, a: str, b: str) -> Column:
