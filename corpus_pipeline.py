@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from labwh.llm import jaccard, mixing, packing, quality_model, quality_rules
 from labwh.llm.common import fold, fresh_path
 
+#: Near copies: at least 0.8 similar in five-word shingles.
+NEAR = jaccard.Similarity(percent=80, words=5)
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Stages express decisions of fitted models and a sampling design; SQL cannot.
 ORACLE_SQL = None
@@ -44,7 +46,7 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest doc_id. Rows without
     doc_id stay."""
-    found = jaccard.join(docs)
+    found = jaccard.join(docs, NEAR)
     heads = found.where("doc_id = component_id").select("doc_id")
     named = _named(docs, heads).dropDuplicates(["doc_id"])
     return named.unionByName(_columns(docs).where("doc_id IS NULL")).select(*COLUMNS)

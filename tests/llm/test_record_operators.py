@@ -130,10 +130,10 @@ def test_url_rules_and_model(spark):
     assert right >= 0.7 * len(rest)
 
 
-def brute_components(docs, percent=90):
+def brute_components(docs, percent=90, words=3):
     def shingles(text):
         w = (text or "").encode().lower().split()
-        return frozenset([tuple(w)] if 0 < len(w) < 3 else zip(w, w[1:], w[2:]))
+        return frozenset([tuple(w)] if 0 < len(w) < words else zip(*(w[i:] for i in range(words))))
 
     sets = [shingles(t) for _, t in docs]
     parent = list(range(len(docs)))
@@ -153,7 +153,8 @@ def brute_components(docs, percent=90):
     return sorted((d, len(sets[i]), least[find(i)]) for i, (d, _) in enumerate(docs))
 
 
-def test_jaccard_join_equals_brute_force(spark):
+@pytest.mark.parametrize("percent, n", [(90, 3), (80, 5)])
+def test_jaccard_join_equals_brute_force(spark, percent, n):
     rnd = random.Random(5)
     words = [f"w{i}" for i in range(300)]
     texts = [None, "", " \n", "W1 w2", "w1 W2"]
@@ -161,7 +162,7 @@ def test_jaccard_join_equals_brute_force(spark):
         start = [rnd.choice(words) for _ in range(size)]
         for _ in range(14):
             w = list(start)
-            for _ in range(rnd.randint(0, 1 + size // 60)):
+            for _ in range(rnd.randint(0, 1 + size // (60 if percent == 90 else 50))):
                 at, kind = rnd.randrange(len(w)), rnd.random()
                 if kind < 0.4:
                     w[at] = rnd.choice(words)
@@ -172,7 +173,8 @@ def test_jaccard_join_equals_brute_force(spark):
             texts.append(" ".join(w).upper() if rnd.random() < 0.2 else "  ".join(w))
     docs = list(enumerate(texts))
     table = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, n int, key string").repartition(5)
-    assert sorted(map(tuple, jaccard.join(table).collect())) == brute_components(docs)
+    got = jaccard.join(table, jaccard.Similarity(percent, n)).collect()
+    assert sorted(map(tuple, got)) == brute_components(docs, percent, n)
 
 
 def test_jaccard_join_without_ids_or_rows(spark):
@@ -183,6 +185,13 @@ def test_jaccard_join_without_ids_or_rows(spark):
     assert jaccard.join(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_a_task_lists_copies_once(spark):
+    docs = spark.createDataFrame([(i, f"copied text number {i // 50}") for i in range(100)], "doc_id long, text string")
+    sim = jaccard.Similarity()
+    for made in (jaccard.list_entries(docs.coalesce(1), sim, 48), jaccard.full_sets(docs.coalesce(1), sim)):
+        assert made.count() == made.distinct().count() and made.select("n", "k").distinct().count() == 2
+
+
 def test_boundary_takes_the_cheaper_side():
     sim = jaccard.Similarity()
     assert 10 < sim.boundary({s: s for s in range(1, 48)}) < 48
@@ -208,7 +217,7 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
         r.doc_id for r in queries.op9_quality_rules(spark, SF).where("kept").collect()}
     assert {r.doc_id for r in model} <= {r.doc_id for r in rules}
     # One document of each group stays, the one with the smallest id.
-    assert sorted(r.doc_id for r in distinct) == sorted({c for *_, c in brute_components([(r.doc_id, r.text) for r in model])})
+    assert sorted(r.doc_id for r in distinct) == sorted({c for *_, c in brute_components([(r.doc_id, r.text) for r in model], 80, 5)})
     size = sum(len(r.text.split()) for r in distinct)
     assert abs(sum(len(r.text.split()) for r in mixed) / size - 1.5) < 0.02
     assert {r.doc_id for r in packed} == {r.doc_id for r in mixed}
