@@ -131,7 +131,9 @@ def classify(docs: DataFrame, labels: DataFrame, used: Column | None = None,
     documents are scored like any other. Repeated rows give repeated results, an empty table none;
     extra columns are dropped. Labels and ids are no input of a score.
     """
-    rows = staged(features(docs, carry), "quality-features")
+    rows = features(docs, carry)
+    if learn_from is None:  # else each table is read once
+        rows = staged(rows, "quality-features")
     known = pick(labels, "doc_id", "label").where(F.col("label").isNotNull())
     if used is not None:
         known = known.where(used)
