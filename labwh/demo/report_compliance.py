@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labwh.demo.registry import query, share
-from labwh.demo.report_views import plain
+from labwh.demo.report_views import audit, plain
 from labwh.demo.roles import AS_OF_REPORTS, OUR_CITY, Roles, with_roles
 from labwh.demo.tables import Tables
 from labwh.plans import compliance as plan
@@ -18,6 +18,9 @@ VIEWS = {
     "months": "SELECT unnest([" + ", ".join(f"DATE '{m}'" for m in MONTHS) + "]) AS m",
 }
 KEY = "CAST(p.pid AS VARCHAR) || strftime(m, '%Y%m') AS id"
+#: What every project and month report carries beside its own columns.
+STAMPED = f"CAST(year(m) AS INTEGER) AS cur_date_year, CAST(month(m) AS INTEGER) AS cur_date_month, p.is_deleted, {audit(AS_OF_REPORTS, is_deleted=False)}"
+DATED = "CAST(year(m) AS INTEGER) AS date_year, CAST(month(m) AS INTEGER) AS date_month"
 
 
 def _income_sql(extra: str) -> str:
@@ -49,30 +52,28 @@ def report_income_months_all(t: Tables) -> DataFrame:
     return plain(rows, *INCOME)
 
 
-@query(oracle=with_roles("""
+@query(oracle=with_roles(f"""
     SELECT CAST(p.pid AS VARCHAR) || strftime(b.up_time, '%Y%m') AS id, p.pid, 3 AS status,
-      CAST(date_trunc('month', b.up_time) AS DATE) AS cur_date, b.up_time, p.is_deleted
+      CAST(m AS DATE) AS cur_date, b.up_time, {STAMPED}
     FROM base_projects p JOIN (
-      SELECT pid, max(create_time) AS up_time FROM billboards
+      SELECT pid, max(create_time) AS up_time, date_trunc('month', create_time) AS m FROM billboards
       GROUP BY pid, date_trunc('month', create_time)) b ON b.pid = p.pid
 """))
 def report_billboard_months(t: Tables) -> DataFrame:
     r = Roles(t)
-    rows = plan.billboard_months(r.base_projects, r.billboards, AS_OF_REPORTS)
-    return rows.select("id", "pid", "status", "cur_date", "up_time", "is_deleted")
+    return plan.billboard_months(r.base_projects, r.billboards, AS_OF_REPORTS)
 
 
 @query(oracle=with_roles(f"""
     SELECT {KEY}, p.pid, m AS cur_date, max(b.create_time) AS up_time,
-      CASE WHEN count(b.pid) > 0 THEN 3 ELSE 1 END AS status
+      CASE WHEN count(b.pid) > 0 THEN 3 ELSE 1 END AS status, {STAMPED}, {DATED}
     FROM base_projects p CROSS JOIN months
     LEFT JOIN billboards b ON b.pid = p.pid AND b.is_deleted = 1 AND b.create_time <= m
-    GROUP BY p.pid, m
+    GROUP BY p.pid, p.is_deleted, m
 """, VIEWS))
 def report_billboard_as_of(t: Tables) -> DataFrame:
     r = Roles(t)
-    rows = plan.billboard_as_of(r.base_projects, r.billboards, MONTHS, AS_OF_REPORTS)
-    return rows.select("id", "pid", "cur_date", "up_time", "status")
+    return plan.billboard_as_of(r.base_projects, r.billboards, MONTHS, AS_OF_REPORTS)
 
 
 @query(oracle=with_roles(f"""
@@ -85,7 +86,7 @@ def report_billboard_as_of(t: Tables) -> DataFrame:
       CAST(coalesce((SELECT sum(b.real_amt) FROM batches b WHERE b.source_pid = p.pid AND b.is_deleted = 1
         AND b.status = 1 AND b.year_month = m), 0) AS DOUBLE) AS amt,
       CASE WHEN (SELECT sum(b.real_amt) FROM batches b WHERE b.source_pid = p.pid AND b.is_deleted = 1
-        AND b.status = 1 AND b.year_month = m) > 0 THEN 3 ELSE 1 END AS status
+        AND b.status = 1 AND b.year_month = m) > 0 THEN 3 ELSE 1 END AS status, {STAMPED}, {DATED}
     FROM base_projects p CROSS JOIN months
 """, VIEWS))
 def report_payroll_months(t: Tables) -> DataFrame:
@@ -93,7 +94,7 @@ def report_payroll_months(t: Tables) -> DataFrame:
     rows = plan.payroll_months(
         r.base_projects, r.employment_intervals, r.batches, r.wages, MONTHS, AS_OF_REPORTS
     )
-    return plain(rows, "id", "pid", "cur_date", "real_count", "pay_count", "amt", "status")
+    return plain(rows)
 
 
 def scores(t: Tables) -> DataFrame:
@@ -224,7 +225,7 @@ def report_area_statistics(t: Tables) -> DataFrame:
     )
 
 
-@query(oracle=with_roles("""
+@query(oracle=with_roles(f"""
     SELECT p.province_code || p.city_code AS id, p.province_code, p.city_code, count(*) AS project_count,
       count(*) FILTER (WHERE project_condition = 3) AS project_construction,
       count(*) FILTER (WHERE project_condition = 5) AS project_stop,
@@ -233,17 +234,13 @@ def report_area_statistics(t: Tables) -> DataFrame:
       (SELECT count(DISTINCT d.cid) FROM deposits d WHERE d.is_deleted = 1 AND d.status IN (3, 4)
         AND d.province_code = p.province_code AND d.city_code = p.city_code) AS company_bond_count,
       CAST(sum((SELECT nullif(count(*), 0) FROM billboards b WHERE b.pid = p.pid AND b.is_deleted = 1)) AS BIGINT)
-        AS billboard_count
+        AS billboard_count, {audit(AS_OF_REPORTS)}
     FROM base_projects p LEFT JOIN companies c ON c.cid = p.cid
     WHERE p.is_deleted = 1 GROUP BY p.province_code, p.city_code
 """))
 def report_city_statistics(t: Tables) -> DataFrame:
     r = Roles(t)
-    rows = plan.city_statistics(r.base_projects, r.companies, r.deposits, r.billboards, AS_OF_REPORTS)
-    return rows.select(
-        "id", "province_code", "city_code", "project_count", "project_construction", "project_stop",
-        "project_completed", "company_count", "company_bond_count", "billboard_count",
-    )
+    return plan.city_statistics(r.base_projects, r.companies, r.deposits, r.billboards, AS_OF_REPORTS)
 
 
 def _month_sql(first: str, y: int, m: int) -> str:

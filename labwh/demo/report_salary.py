@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from labwh.demo.registry import query, share_text
-from labwh.demo.report_views import VIEWS, plain
+from labwh.demo.report_views import VIEWS, audit, plain
 from labwh.demo.roles import AS_OF_REPORTS, OUR_CITY, Roles, with_roles
 from labwh.demo.tables import Tables
 from labwh.plans import salary as plan
@@ -237,13 +237,12 @@ def report_monthly_metrics_export(t: Tables) -> DataFrame:
     return plan.monthly_metrics_export(metrics(t), [2000, 2001])
 
 
-@query(oracle=with_roles("""
+@query(oracle=with_roles(f"""
     SELECT CAST(source_pid AS VARCHAR) || year || lpad(CAST(month AS VARCHAR), 2, '0') AS id,
       source_pid AS pid, CASE WHEN sum(amt) > 0 THEN 3 ELSE 1 END AS status,
       make_date(year, month, 1) AS cur_date, year AS cur_date_year, month AS cur_date_month,
-      CAST(sum(amt) AS DOUBLE) AS amt
+      CAST(sum(amt) AS DOUBLE) AS amt, {audit(AS_OF_REPORTS)}
     FROM batches WHERE is_deleted = 1 AND status = 1 GROUP BY source_pid, year, month
 """))
 def report_proxy_pay(t: Tables) -> DataFrame:
-    rows = plan.proxy_pay(Roles(t).batches, AS_OF_REPORTS)
-    return plain(rows, "id", "pid", "status", "cur_date", "cur_date_year", "cur_date_month", "amt")
+    return plain(plan.proxy_pay(Roles(t).batches, AS_OF_REPORTS))

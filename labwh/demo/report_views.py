@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,13 @@ def plain(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in decimals})
 
 
+def audit(as_of: dt.date, is_deleted: bool = True) -> str:
+    """Audit columns of a report row, as the plans stamp them."""
+    columns = (f"'' AS create_user, DATE '{as_of}' AS create_time, "
+               f"'' AS last_modify_user, DATE '{as_of}' AS last_modify_time")
+    return f"{columns}, 1 AS is_deleted" if is_deleted else columns
+
+
 def birthday_text(c: str) -> str:
     return f"year({c}) || '-' || month({c}) || '-' || day({c})"
 
