@@ -26,7 +26,7 @@ DATED = "CAST(year(m) AS INTEGER) AS date_year, CAST(month(m) AS INTEGER) AS dat
 def _income_sql(extra: str) -> str:
     return f"""
     SELECT {KEY}, p.pid, m AS cur_date, CAST(coalesce(sum(t.amt), 0) AS DOUBLE) AS amt,
-      CASE WHEN sum(t.amt) > 0 THEN 3 ELSE 1 END AS status, p.is_deleted
+      CASE WHEN sum(t.amt) > 0 THEN 3 ELSE 1 END AS status, {STAMPED}, {DATED}
     FROM base_projects p CROSS JOIN months
     LEFT JOIN bank_transfers t ON t.pid = p.pid AND date_trunc('month', t.trans_time) = m
       AND t.jtype = 1 AND t.is_deleted = 1 {extra}
@@ -34,13 +34,10 @@ def _income_sql(extra: str) -> str:
     """
 
 
-INCOME = ("id", "pid", "cur_date", "amt", "status", "is_deleted")
-
-
 @query(oracle=with_roles(_income_sql("AND t.is_pro_valid > 0"), VIEWS))
 def report_income_months(t: Tables) -> DataFrame:
     r = Roles(t)
-    return plain(plan.income_months(r.base_projects, r.bank_transfers, MONTHS, AS_OF_REPORTS), *INCOME)
+    return plain(plan.income_months(r.base_projects, r.bank_transfers, MONTHS, AS_OF_REPORTS))
 
 
 @query(oracle=with_roles(_income_sql(""), VIEWS))
@@ -49,7 +46,7 @@ def report_income_months_all(t: Tables) -> DataFrame:
     rows = plan.income_months(
         r.base_projects, r.bank_transfers, MONTHS, AS_OF_REPORTS, only_valid=False
     )
-    return plain(rows, *INCOME)
+    return plain(rows)
 
 
 @query(oracle=with_roles(f"""
@@ -279,12 +276,13 @@ def _month(t: Tables, as_of: dt.date) -> DataFrame:
     return plan.month_statistics(r.base_projects, r.special_accounts, r.deposits, r.batches, as_of)
 
 
-MONTH_VALUES = ("salary_amt", "company_safeguard_count", "bail_amt")
-
-
-@query(oracle=with_roles(_month_sql("2001-06-01", 2001, 6)))
+@query(oracle=with_roles(f"""
+    SELECT *, TRY_CAST(county_code || '200106' || lpad(CAST(industry_type AS VARCHAR), 2, '0') AS BIGINT) AS id,
+      DATE '2001-06-01' AS cur_date, 2001 AS cur_date_year, 6 AS cur_date_month, {audit(AS_OF_REPORTS)}
+    FROM ({_month_sql("2001-06-01", 2001, 6)})
+"""))
 def report_month_statistics(t: Tables) -> DataFrame:
-    return plain(_month(t, AS_OF_REPORTS), *plan.AREA, *MONTH_VALUES)
+    return plain(_month(t, AS_OF_REPORTS))
 
 
 @query(oracle=with_roles("""
