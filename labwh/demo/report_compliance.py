@@ -151,17 +151,22 @@ SCORE_VIEWS = {
       AS proxy_pay_status FROM rated
     """,
 }
-SCORE_COLUMNS = [
-    "pid", "cid", "company_name", "industry_type", "city_code", "real_status", "real_book_status",
-    "pay_status", "bail_status", "account_status", "account_special_status", "account_in_status",
-    "account_three_status", "proxy_pay_status", "proxy_pay_entrustl_status", "proxy_pay_islw",
-    "billboard_status", "is_deleted",
-]
-
-
-@query(oracle=with_roles(f"SELECT {', '.join(SCORE_COLUMNS)} FROM scored", SCORE_VIEWS))
+#: Columns of a scored project as the oracle has them, and those that it names or derives.
+SCORE_SQL = f"""
+    SELECT pid AS id, pid, industry_type, project_type, project_name, project_condition AS p_status, cid, company_name,
+      investment_nature, province_code, city_code, county_code, CAST(construct_cost AS DOUBLE) AS construct_cost,
+      real_status, real_book_status, 3 AS real_contract_status, pay_status AS real_pay_status, bail_status,
+      account_status, account_special_status, account_in_status, account_three_status, proxy_pay_status,
+      pay_status AS proxy_pay_payroll_status, proxy_pay_entrustl_status, proxy_pay_islw, billboard_status,
+      pay_status, {audit(AS_OF_REPORTS, is_deleted=False)}, is_deleted, {AS_OF_REPORTS.year} AS date_year,
+      {AS_OF_REPORTS.month} AS date_month
+    FROM scored
+"""
+
+
+@query(oracle=with_roles(SCORE_SQL, SCORE_VIEWS))
 def report_rule_scores(t: Tables) -> DataFrame:
-    return scores(t).select(*SCORE_COLUMNS)
+    return plain(scores(t))
 
 
 RATES = ", ".join(
