@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 
 from labwh.demo.registry import half_up, query
-from labwh.demo.report_views import UNITS, VIEWS
+from labwh.demo.report_views import UNITS, VIEWS, audit
 from labwh.demo.roles import AS_OF_REPORTS, AS_OF_SWIPES, OUR_CITY, Roles, with_roles
 from labwh.demo.tables import Tables
 from labwh.plans import attendance as plan
@@ -290,10 +290,13 @@ def report_project_totals_year(t: Tables) -> DataFrame:
     return _project_totals(t, "year")
 
 
-@query(oracle=with_roles("""
-    SELECT p.pid, m.cur_date, coalesce(e.real_count, 0) AS real_count,
-      coalesce(s.attendance_count, 0) AS attendance_count,
-      CASE WHEN s.attendance_count > 0 THEN 3 ELSE 1 END AS status
+@query(oracle=with_roles(f"""
+    SELECT CAST(p.pid AS VARCHAR) || strftime(m.cur_date, '%Y%m') AS id, p.pid, m.cur_date,
+      coalesce(e.real_count, 0) AS real_count, coalesce(s.attendance_count, 0) AS attendance_count,
+      CASE WHEN s.attendance_count > 0 THEN 3 ELSE 1 END AS status, 1 AS is_exception, p.is_deleted,
+      CAST(year(m.cur_date) AS INTEGER) AS cur_date_year, CAST(month(m.cur_date) AS INTEGER) AS cur_date_month,
+      CAST(year(m.cur_date) AS INTEGER) AS date_year, CAST(month(m.cur_date) AS INTEGER) AS date_month,
+      {audit(AS_OF_SWIPES, is_deleted=False)}
     FROM projects p CROSS JOIN (SELECT DATE '2023-12-01' AS cur_date UNION ALL SELECT DATE '2024-01-01') m
     LEFT JOIN (
       SELECT i.source_pid, x.cur_date, count(DISTINCT i.id_card_no) AS real_count
@@ -314,9 +317,8 @@ def report_real_attendance(t: Tables) -> DataFrame:
     r = Roles(t)
     months = [dt.date(2023, 12, 1), dt.date(2024, 1, 1)]
     swiped = plan.swipe_months(r.swipes, AS_OF_SWIPES, -1)
-    rows = plan.real_attendance(
+    return plan.real_attendance(
         r.projects, r.employment_intervals, r.devices, swiped, months, AS_OF_SWIPES
     )
-    return rows.select("pid", "cur_date", "real_count", "attendance_count", "status")
 
 
