@@ -2,6 +2,8 @@
 
 Scoring is DataFrame code only. The model is fitted on the driver from a small labelled table whose
 size is bounded by ``max_examples``; only its weights (one literal array) travel with the plan.
+Trigrams know words by their parts: of words that share
+none with the table they say little, and such URLs are mostly allowed.
 """
 
 from __future__ import annotations
@@ -19,28 +21,83 @@ from labwh.llm.common import doubles, pick
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 DIGITS = "0123456789"
 
-#: Labelled URLs, made from hand-written hosts: 1 is unwanted.
-UNWANTED_HOSTS = (
-    "casino-win.test", "win-casino.test", "casino-royal.test", "free-bets.test", "best-bets.test",
-    "bets-online.test", "cheap-pills.test", "pills-shop.test", "cheap-meds.test", "spam-farm.test",
-    "link-farm.test", "spam-links.test", "adult-x.test", "adult-video.test", "xxx-adult.test",
-    "ads-track.test", "track-ads.test", "ads-click.test", "free-loans.test", "win-free.test",
-)
-WANTED_HOSTS = (
-    "news-daily.test", "garden.test", "library.test", "weather.test", "museum.test", "school-board.test",
-    "recipes.test", "docs.project.test", "science-review.test", "city-council.test", "university.test",
-    "travel.test", "history-society.test", "open-data.test", "forum.music.test", "thther.test", "tionther.test",
-    "theran.test", "erthan.test", "nature-park.test",
-)
-#: The same prefixes and paths on both sides, so that the model learns nothing from them.
+#: General vocabulary of the labelled table, in the languages of the pages. No word of a given page's host is in it.
+UNWANTED_WORDS = tuple(
+    "poker roulette jackpot slots lottery blackjack betting gambling wager bookmaker bingo baccarat winner winnings "
+    "payout highroller kasino cassino gewinnspiel wetten apuestas tragaperras loterie croupier sweepstake scratchcard "
+    "viagra cialis pharmacy meds tablets pill steroids slimming dietpill weightloss painkiller xanax tramadol "
+    "pastillas pilules potenzmittel abnehmen botox "
+    "porn xxx sexy nude escort erotic webcam hookup fetish milf lingerie camgirls erotik desnudas swinger "
+    "loan payday credit cash lending refinance quickcash forex binary bitcoin doubler earnings millionaire kredit "
+    "prestamo dinero richquick moneymaker ponzi "
+    "advert adserver banner popup clickbait affiliate tracker pixel retarget doubleclick traffic impressions "
+    "backlinks linkfarm seoboost phishing malware keygen warez cracked torrent serials counterfeit replica "
+    "knockoff giveaway freebie gratis discount bargain cheapest coupon prizes unlock spyware scam".split())
+WANTED_WORDS = tuple(
+    "library museum garden weather school university science history travel recipes nature council hospital theatre "
+    "orchestra cinema gallery archive forum journal research physics chemistry biology geology astronomy "
+    "mathematics engineering software compiler database network hardware robotics energy climate forest mountain "
+    "river ocean island village harbour railway station airport bridge castle church cathedral festival concert "
+    "football tennis cycling sailing hiking swimming athletics chess kitchen bakery restaurant coffee cooking "
+    "farming vineyard market craft pottery painting sculpture photography architecture furniture "
+    "bibliothek schule zeitung wetter rathaus verein wandern musik geschichte wissenschaft nachrichten "
+    "bibliotheque musee ecole cuisine jardin voyage histoire mairie recherche "
+    "biblioteca escuela ciencia noticias cocina historia ayuntamiento viajes "
+    "parliament government election justice police fire rescue health medicine dentist children family "
+    "teacher student lesson dictionary grammar translation novel poetry author publisher newspaper magazine radio "
+    "broadcast podcast language culture society economy industry company support manual download contact".split())
+#: The same on both sides, so that the model learns nothing from them.
 PREFIXES = ("", "www.", "blog.", "m.")
-PATHS = ("/", "/en/1", "/de/2.html", "/fr/3/", "/es/4")
-LABELLED: tuple[tuple[str, int], ...] = tuple(
-    (f"https://{PREFIXES[(i + j) % len(PREFIXES)]}{host}{path}", label)
-    for label, hosts in ((1, UNWANTED_HOSTS), (0, WANTED_HOSTS))
-    for i, host in enumerate(hosts)
-    for j, path in enumerate(PATHS)
-)
+SUFFIXES = (".test", ".com", ".org", ".net", ".de", ".fr", ".es", ".example.test")
+TAILS = ("", "/", "/1", ".html", "/index.html", "/23/")
+FOLDERS = ("", "/en", "/de", "/fr", "/es")
+
+
+def labelled(unwanted: Sequence[str] = UNWANTED_WORDS, wanted: Sequence[str] = WANTED_WORDS,
+             rounds: int = 2) -> tuple[tuple[str, int], ...]:
+    """URLs made from the words, ten for each word of the longer list and round; 1 is unwanted. Host and path are
+    drawn independently of each other; a URL is unwanted if one of them is. Wanted are also made-up names (names of
+    firms say nothing) and paths without words."""
+
+    def brand(i: int) -> str:
+        i = i * 2654435761 % 2**32
+        return "".join(("bcdfghjklmnprstvwyz", "aeiou")[k % 2][(i >> 4 * k + 3) % (19, 5)[k % 2]] for k in range(5 + i % 3))
+
+    def name(words: Sequence[str], i: int, step: int) -> str:
+        one, two = words[i % len(words)], words[(i * 7 + step) % len(words)]
+        return (one, f"{one}-{two}", f"{two}{one}", f"{two}-{one}")[(i + step) % 4]
+
+    def host(label: str, i: int) -> str:
+        return PREFIXES[i % len(PREFIXES)] + label + SUFFIXES[i // 2 % len(SUFFIXES)]
+
+    def path(label: str, i: int) -> str:
+        return FOLDERS[i % len(FOLDERS)] + "/" + label + TAILS[i // 2 % len(TAILS)]
+
+    def plain(i: int) -> str:
+        return ("", "/", "/1", "/4.html", "/23/", "/index.html")[i % 6] if i % 3 else path(str(i % 97), i)
+
+    rows = []
+    for k in range(rounds):
+        for n in range(max(len(unwanted), len(wanted))):
+            i, a, b = n + k, 3 + 8 * k, 5 + 8 * k
+            good, bad, firm = name(wanted, n, a), name(unwanted, n, a), brand(2 * i + k)
+            ten = [
+                (host(good, i) + path(name(wanted, n, b), i), 0),
+                (host(unwanted[n % len(unwanted)], i) + plain(i), 1),
+                (host(good, i + 1) + plain(i), 0),
+                (host(bad, i) + path(name(wanted, n, b), i), 1),
+                (host(firm, i) + plain(i + 1), 0),
+                (host(bad, i + 1) + plain(i + 1), 1),
+                (host(firm, i + 1) + path(name(wanted, n, a), i + 1), 0),
+                (host(firm, i) + path(name(unwanted, n, b), i), 1),
+                (host(name(wanted, n, b), i) + path(brand(2 * i + k + 9999), i), 0),
+                (host(good, i) + path(bad, i + 1), 1),
+            ]
+            rows += ten[5:] + ten[:5] if n % 2 else ten  # so that either half of a split has every kind
+    return tuple((f"https://{url}", label) for url, label in rows)
+
+
+LABELLED = labelled()
 
 
 @dataclass(frozen=True)
@@ -88,27 +145,34 @@ SALTS = {"host": 0, "path": 2048}
 def fit(examples: Sequence[tuple[str, int]] = LABELLED, size: int = 4096, ridge: float = 0.02,
         steps: int = 400, max_examples: int = 10_000) -> UrlModel:
     """Ridge logistic regression by gradient descent with momentum, classes weighted alike. No examples give a model
-    that blocks nothing. Weights are rounded, so they do not depend on the machine's last bits."""
+    that blocks nothing. Weights are rounded, so they do not depend on the machine's last bits. ``ridge`` is shared
+    out among the buckets that occur."""
     examples = tuple(examples)
     if len(examples) > max_examples:
         raise ValueError(f"the labelled table is meant to be small: at most {max_examples} rows")
     if not examples:
         return UrlModel((0.0,) * size, -1.0)
-    x = np.zeros((len(examples), size))
-    for i, (url, _) in enumerate(examples):
+    found = []
+    for url, _ in examples:
         host, path = split_url(url)
-        x[i, sorted(_buckets(host, SALTS["host"], size))] = 1
-        x[i, sorted(_buckets(path.translate(str.maketrans(DIGITS, "0" * 10)), SALTS["path"], size))] = 1
+        flat = path.translate(str.maketrans(DIGITS, "0" * 10))
+        found.append(sorted(_buckets(host, SALTS["host"], size) | _buckets(flat, SALTS["path"], size)))
+    used = np.unique(np.concatenate(found).astype(int))  # the other weights stay 0
+    x = np.zeros((len(examples), len(used)))
+    for i, buckets in enumerate(found):
+        x[i, np.searchsorted(used, buckets)] = 1
     y = np.array([label for _, label in examples], dtype=float)
     share = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
-    w, b, v, u = np.zeros(size), 0.0, np.zeros(size), 0.0
+    w, b, v, u = np.zeros(len(used)), 0.0, np.zeros(len(used)), 0.0
     rate = 4.0 / (x.sum(1).max() + 1)
     for _ in range(steps):
         error = share * (1 / (1 + np.exp(-(x @ w + b))) - y)
-        v = 0.9 * v - rate * (x.T @ error + ridge * w / size)
+        v = 0.9 * v - rate * (x.T @ error + ridge * w / len(used))
         u = 0.9 * u - rate * error.sum()
         w, b = w + v, b + u
-    return UrlModel(tuple(np.round(w, 6).tolist()), round(float(b), 6))
+    weights = np.zeros(size)
+    weights[used] = np.round(w, 6)
+    return UrlModel(tuple(weights.tolist()), round(float(b), 6))
 
 
 def host_of(url: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import random
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -130,6 +131,39 @@ def test_url_rules_and_model(spark):
     assert right >= 0.7 * len(rest)
 
 
+def blocked(spark, model, urls):
+    table = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    return {r.page_id: r.verdict == "block" for r in url_filter.classify(table, (), model).collect()}
+
+
+def test_url_table_shares_no_word_with_the_pages(spark):
+    words = set(url_filter.UNWANTED_WORDS + url_filter.WANTED_WORDS)
+    for size in ("sf0.001", "sf0.1"):
+        urls = [r.url for r in spark.read.parquet(f"/root/testdata/{size}/pages.parquet").select("url").distinct().collect()]
+        hosts = {url_filter.split_url(u)[0] for u in urls}
+        labels = {h.removeprefix("www.").removeprefix("blog.").removeprefix("m.").split(".")[0] for h in hosts}
+        assert not words & (labels | {w for h in labels for w in h.split("-")})
+        given = "|".join(u for u, _ in url_filter.LABELLED)
+        assert not [h for h in labels if len(h) > 5 and h in given]
+
+
+def test_url_model_on_words_of_no_training_row(spark):
+    right, n = Counter(), Counter()
+    for fold in range(5):
+        kept, held = [[[w for i, w in enumerate(words) if (i % 5 == fold) == out]
+                       for words in (url_filter.WANTED_WORDS, url_filter.UNWANTED_WORDS)] for out in (False, True)]
+        model = url_filter.fit(url_filter.labelled(kept[1], kept[0]))
+        cases = [(label, side, f"http://www.{w}.com/en/1" if side == "host" else f"http://example.org/{w}/1")
+                 for label, words in enumerate(held) for w in words for side in ("host", "path")]
+        found = blocked(spark, model, [u for *_, u in cases])
+        for i, (label, side, _) in enumerate(cases):
+            right[side, label] += found[i] == bool(label)
+            n[side, label] += 1
+    share = {k: right[k] / n[k] for k in n}
+    # Balanced accuracy; chance is 0.5.
+    assert (share["host", 0] + share["host", 1]) / 2 >= 0.6 and (share["path", 0] + share["path", 1]) / 2 >= 0.55
+
+
 def brute_components(docs, percent=90, words=3):
     def shingles(text):
         w = (text or "").encode().lower().split()
