@@ -2,7 +2,7 @@
 
 Scoring is DataFrame code only. The model is fitted on the driver from a small labelled table whose
 size is bounded by ``max_examples``; only its weights (one literal array) travel with the plan.
-Trigrams know words by their parts: of words that share
+Host and path have buckets of their own. Trigrams know words by their parts: of words that share
 none with the table they say little, and such URLs are mostly allowed.
 """
 
@@ -138,11 +138,14 @@ def _buckets(text: str, salt: int, size: int) -> set[int]:
     return {(a * 961 + b * 31 + c + salt) % size for a, b, c in zip(codes, codes[1:], codes[2:])}
 
 
-SALTS = {"host": 0, "path": 2048}
+#: Trigrams of printable ASCII (33 to 126) span SPAN numbers. With twice as many buckets each has a bucket of its
+#: own, hosts' and paths' apart. Other characters can meet any bucket, and letters 31 apart share one.
+SPAN = (126 - 33) * (961 + 31 + 1) + 1
+SALTS = {"host": 0, "path": SPAN}
 
 
 @lru_cache(maxsize=8)
-def fit(examples: Sequence[tuple[str, int]] = LABELLED, size: int = 4096, ridge: float = 0.02,
+def fit(examples: Sequence[tuple[str, int]] = LABELLED, size: int = 2 * SPAN, ridge: float = 0.02,
         steps: int = 400, max_examples: int = 10_000) -> UrlModel:
     """Ridge logistic regression by gradient descent with momentum, classes weighted alike. No examples give a model
     that blocks nothing. Weights are rounded, so they do not depend on the machine's last bits. ``ridge`` is shared

@@ -164,6 +164,17 @@ def test_url_model_on_words_of_no_training_row(spark):
     assert (share["host", 0] + share["host", 1]) / 2 >= 0.6 and (share["path", 0] + share["path", 1]) / 2 >= 0.55
 
 
+def test_url_paths_are_judged_apart_from_hosts(spark):
+    size = len(url_filter.fit().weights)
+    text = "".join(map(chr, range(33, 127)))
+    host, path = (url_filter._buckets("!!!" + text + text[::-1] + "~~~", salt, size) for salt in url_filter.SALTS.values())
+    assert not host & path
+    urls = ["http://example.org/casino/win", "http://example.org/cheap-pills/free-bets", "http://example.org/poker/jackpot",
+            "http://example.org/", "http://example.org/en/1", "http://example.org/library/museum"]
+    found = blocked(spark, None, urls)
+    assert [found[i] for i in range(6)] == [True, True, True, False, False, False]
+
+
 def brute_components(docs, percent=90, words=3):
     def shingles(text):
         w = (text or "").encode().lower().split()
