@@ -63,6 +63,30 @@ def test_rank_encoder_gives_the_ids_of_the_tokenizers_library(text):
     assert ranks.encode_ordinary(text) == own.encode(text, add_special_tokens=False).ids
 
 
+def unmodified_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return lambda text: own.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_are_encoded_as_by_the_unmodified_tokenizer(spark):
+    own, encode = unmodified_tokenizer(), packing.ByteBpe.named().encoder().encode_ordinary
+    mark = "<|endoftext|>"
+    assert encode(f"a{mark}b") == [64, 50256, 65]
+    rnd = random.Random(3)
+    bits = [mark, mark, "<|endoftext", "|>", "<|", " ", "  ", "\n", "a", " word's", "12", "é漢😀", "\x1c\x85"]
+    texts = [mark, mark * 3, f" {mark} ", f"x  {mark}  y", f"<{mark}>"] + [
+        "".join(rnd.choice(bits) for _ in range(rnd.randint(1, 12))) for _ in range(500)]
+    assert [encode(t) for t in texts] == [own(t) for t in texts]
+    found = defaultdict(dict)
+    for r in packing.pack(documents(spark, texts[:40]), capacity=16).collect():
+        assert r.doc_tokens == len(own(texts[r.doc_id])) + 1
+        found[r.doc_id][r.start] = np.frombuffer(r.ids, "<u4").tolist()
+    assert all(sum((found[i][s] for s in sorted(found[i])), []) == own(t) + [1] for i, t in enumerate(texts[:40]))
+
+
 def test_pack_gives_every_document_back(spark):
     texts = ODD + ["word " * 3000, "word " * 3000, "a<|endoftext|>b"]
     rows = packing.pack(documents(spark, texts), capacity=64, pool_pieces=5).collect()
