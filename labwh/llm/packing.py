@@ -31,6 +31,13 @@ if TYPE_CHECKING:
     import tiktoken
 
 
+#: White space as the pattern's \s has it; Python's has \x1c to \x1f besides.
+SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: White space from this length on is cut out before the pattern, which fails on about a million.
+LONG_RUN = 100_000
+LONG_SPACES = re.compile(f"(?<![{SPACES}])[{SPACES}]{{{LONG_RUN},}}")
+
+
 class Encoder:
     """Ids as the ``tokenizers`` library gives them without options but ``add_special_tokens=False``: the added
     tokens of the vocabulary stand for themselves wherever they occur, the text between them is split by the
@@ -43,15 +50,27 @@ class Encoder:
 
     def encode_ordinary(self, text: str) -> list[int]:
         if not any(mark in text for mark in self._added):
-            return self._ranks.encode_ordinary(text)
+            return self._split(text)
         ids: list[int] = []
         for part in self._marks.split(text):
             if part in self._added:
                 ids.append(self._added[part])
             else:
-                ids += self._ranks.encode_ordinary(part)
+                ids += self._split(part)
         return ids
 
+    def _split(self, text: str) -> list[int]:
+        """Long white space is one piece, without its last character if a text follows, as by the pattern."""
+        if len(text) < LONG_RUN:
+            return self._ranks.encode_ordinary(text)
+        ids, at = [], 0
+        for run in LONG_SPACES.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            ids += self._ranks.encode_ordinary(text[at : run.start()])
+            ids += self._ranks._encode_single_piece(text[run.start() : end])
+            at = end
+        return ids + self._ranks.encode_ordinary(text[at:])
+
 
 @dataclass(frozen=True)
 class ByteBpe:

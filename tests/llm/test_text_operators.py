@@ -87,6 +87,18 @@ def test_added_tokens_are_encoded_as_by_the_unmodified_tokenizer(spark):
     assert all(sum((found[i][s] for s in sorted(found[i])), []) == own(t) + [1] for i, t in enumerate(texts[:40]))
 
 
+def test_very_long_white_space_is_encoded_as_by_the_unmodified_tokenizer(spark):
+    own, encode = unmodified_tokenizer(), packing.ByteBpe.named().encoder().encode_ordinary
+    many = 1_100_000
+    texts = [" " * many + "a", "x" + " " * many, "a\n" + "\n" * many + " b", "\u2003\xa0" * (many // 2) + "1", " \n" * (many // 2) + "!",
+             " " * many + "<|endoftext|>" + " " * many + "é", ("x" + " " * 99_999) * 12 + "y" + " " * 100_000 + "z",
+             "\x1c" * many + "a", " " * 300_000 + "\x1f" + " " * 300_000]
+    for text in texts:
+        assert encode(text) == own(text)
+    rows = packing.pack(documents(spark, texts[:1])).collect()
+    assert sum(r.length for r in rows) == len(own(texts[0])) + 1 == rows[0].doc_tokens
+
+
 def test_pack_gives_every_document_back(spark):
     texts = ODD + ["word " * 3000, "word " * 3000, "a<|endoftext|>b"]
     rows = packing.pack(documents(spark, texts), capacity=64, pool_pieces=5).collect()
