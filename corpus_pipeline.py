@@ -1,8 +1,9 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet, and the next
-stage reads that. All but the last return the columns of ``documents``. Documents without doc_id
-cannot be named by a decision: the filters drop them, and the other stages keep or pack them.
+stage reads that. All but the last return the columns of ``documents``. Documents without doc_id, and
+different documents with the same one, are documents like any other: the filters carry the rows, and
+the near copies are told apart by a key of the whole row.
 """
 
 from __future__ import annotations
@@ -24,9 +25,10 @@ def _columns(docs: DataFrame) -> DataFrame:
     return docs.select(*COLUMNS)
 
 
-def _named(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Documents whose id is among the decisions (doc_id, once each)."""
-    return _columns(docs).join(decisions, "doc_id", "left_semi").select(*COLUMNS)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The columns with h1 and h2, two hashes of the whole row; NULLs count by their place."""
+    known = [F.col(c) for c in COLUMNS] + [F.col(c).isNull() for c in COLUMNS]
+    return _columns(docs).withColumns({f"h{i}": F.xxhash64(F.lit(i), *known) for i in (1, 2)})
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,12 +46,14 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest doc_id. Rows without
-    doc_id stay."""
-    found = jaccard.join(docs, NEAR)
-    heads = found.where("doc_id = component_id").select("doc_id")
-    named = _named(docs, heads).dropDuplicates(["doc_id"])
-    return named.unionByName(_columns(docs).where("doc_id IS NULL")).select(*COLUMNS)
+    """One document of each group of near copies: the one with the smallest doc_id, rows without one last. Blank
+    texts are near copies of nothing; rows that are equal in all columns stay once."""
+    rows = _keyed(docs)
+    # The join compares its ids only with each other, so the row's key can be one.
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "h1", "h2")
+    found = jaccard.join(rows.select(key.alias("doc_id"), "text"), NEAR)
+    heads = found.where("doc_id.h1 = component_id.h1 AND doc_id.h2 = component_id.h2").select("doc_id.h1", "doc_id.h2")
+    return rows.join(heads, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"]).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -267,3 +267,21 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert abs(sum(len(r.text.split()) for r in mixed) / size - 1.5) < 0.02
     assert {r.doc_id for r in packed} == {r.doc_id for r in mixed}
     assert sum(r.start == 0 for r in packed) == len(mixed)
+
+
+def test_near_duplicates_without_ids_or_with_shared_ids(spark):
+    rnd = random.Random(8)
+    one, two, three, four = (" ".join(rnd.choice("abcdefghijklmnop") + str(rnd.randint(0, 99)) for _ in range(60)) for _ in range(4))
+    rows = [(None, one, "en", "s"), (None, one + " end", "en", "s"), (None, one, "en", "s"),  # a group without ids
+            (7, two, "en", "s"), (7, three, "en", "s"),  # different texts, one id
+            (9, three + " end", "de", "s"), (7, two, None, "en"), (7, two, "en", None),
+            (None, four, "en", "s"), (5, four + " end", "en", "s"),  # the one with an id stays
+            (None, "", "en", "s"), (None, None, "en", "s"), (3, "", "en", "s"), (3, "", "en", "s")]
+    docs = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert got.columns == list(corpus_pipeline.COLUMNS)
+    kept = [(r.doc_id, r.text) for r in got.collect()]
+    assert len(kept) == 7
+    assert sorted(t for d, t in kept if d == 7) == sorted([two, three])
+    assert sum(d is None and (t or "").startswith(one) for d, t in kept) == 1
+    assert (5, four + " end") in kept and (None, "") in kept and (None, None) in kept and kept.count((3, "")) == 1
