@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 from labwh.demo import all_oracles, all_queries
 from labwh.demo.tables import Tables
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
 
 def oracle_connection(folder: str) -> duckdb.DuckDBPyConnection:

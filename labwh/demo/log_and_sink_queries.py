@@ -271,3 +271,35 @@ def file_format_roundtrip(t: Tables) -> DataFrame:
     overwrite(names, orc, fmt="orc")
     read = read_text(t.spark, lines).select(F.col("value").alias("name"), F.lit("text").alias("kind"))
     return read.unionByName(read_path(t.spark, orc, "orc").select(F.col("n_name").alias("name"), F.lit("orc").alias("kind")))
+
+
+@query(oracle="""
+    SELECT o_orderstatus, count(*) AS order_count, CAST(max(o_orderkey) AS BIGINT) AS last_key FROM orders
+    WHERE o_orderstatus <> 'P' OR o_orderpriority IN ('1-URGENT', '2-HIGH') GROUP BY 1
+""")
+def catalog_urgent_overwrite_roundtrip(t: Tables) -> DataFrame:
+    """A partitioned catalog table filled, the partition of pending orders overwritten by the urgent ones, and read."""
+    spark = t.spark
+    name = fresh_path(spark, "urgent_orders").rpartition("/")[2].replace("-", "_")
+    rows = t.orders.select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    kind = rows.schema["o_orderkey"].dataType.simpleString()
+    spark.sql(f"CREATE TABLE {name} (o_orderkey {kind}, o_orderpriority STRING, o_orderstatus STRING) "
+              "USING parquet PARTITIONED BY (o_orderstatus)")
+    insert_overwrite(rows, name)
+    urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
+    insert_overwrite(rows.where((F.col("o_orderstatus") == "P") & urgent), name)
+    return read_table(spark, name).groupBy("o_orderstatus").agg(
+        F.count("*").alias("order_count"), F.max("o_orderkey").cast("long").alias("last_key"))
+
+
+@query(oracle="""
+    SELECT doc_id, text, lang, source, n_chars, kind FROM documents CROSS JOIN (VALUES ('text'), ('orc')) AS kinds(kind)
+""")
+def document_format_roundtrip(t: Tables) -> DataFrame:
+    """Whole documents written and read as lines of text and as another file format."""
+    docs = t.documents.select("doc_id", "text", "lang", "source", "n_chars")
+    lines, orc = fresh_path(t.spark, "documents-text"), fresh_path(t.spark, "documents-orc")
+    overwrite(docs.select(F.to_json(F.struct("*")).alias("value")), lines, fmt="text")
+    overwrite(docs, orc, fmt="orc")
+    read = read_text(t.spark, lines).select(F.from_json("value", docs.schema).alias("row"), F.lit("text").alias("kind"))
+    return read.select("row.*", "kind").unionByName(read_path(t.spark, orc, "orc").withColumn("kind", F.lit("orc")))
