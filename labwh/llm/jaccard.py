@@ -369,3 +369,44 @@ def join(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
     return sets.join(named, ["n", "k"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def set_links(docs: DataFrame, sim: Similarity, sets: DataFrame) -> DataFrame:
+    """All links between different sets (an, ak, bn, bk), each once. ``sets`` are the staged
+    ``document_sets``. Sets that share a list are all compared, so the work grows with the pairs."""
+    classes = staged(sets.where("n > 0").groupBy("n", "k").agg(
+        F.first("p1").alias("p1"), F.first("p2").alias("p2"), F.min("doc_id").alias("doc_id")), "classes")
+    counts = {r["n"]: r["count"] for r in classes.where(F.col("n") < SMALL_LIMIT).groupBy("n").count().collect()}
+    entries = list_entries(docs, sim, sim.boundary(counts)).distinct()
+    members = staged(entries.join(classes.drop("doc_id"), ["n", "k"]), "members")
+    names = ("n", "k", "p1", "p2")
+    a = members.select("key", *[F.col(c).alias(f"a{c}") for c in names])
+    b = members.select("key", *[F.col(c).alias(f"b{c}") for c in names])
+    pairs = a.join(b, "key").where((F.struct("an", "ak") < F.struct("bn", "bk")) & _possible(sim, "a", "b"))
+    pairs = staged(pairs.select("an", "ak", "bn", "bk").distinct(), "pairs")
+
+    ends = pairs.select(F.col("an").alias("n"), F.col("ak").alias("k")).unionByName(
+        pairs.select(F.col("bn").alias("n"), F.col("bk").alias("k"))).distinct()
+    wanted = ends.join(classes, ["n", "k"]).select("doc_id").distinct()
+    some = pick(docs, "doc_id", "text").alias("d").join(
+        wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")), "left_semi")
+    found = staged(full_sets(some, sim).dropDuplicates(["n", "k"]), "sets")
+    return _compared(pairs, found, sim).where("linked").drop("linked")
+
+
+def count_links(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
+    """doc_id, n_shingles and n_links, the number of other documents that each is linked with.
+
+    NULL, empty and blank texts have no links. Documents with equal sets, repeated rows included, are
+    linked. Extra columns are dropped; an empty table gives no rows.
+    """
+    sets = staged(document_sets(docs, sim), "document-sets")
+    links = staged(set_links(docs, sim, sets), "links")
+    copies = sets.where("n > 0").groupBy("n", "k").agg(F.count("*").alias("copies"))
+    both = links.unionByName(links.select(F.col("bn").alias("an"), F.col("bk").alias("ak"), F.col("an").alias("bn"), F.col("ak").alias("bk")))
+    others = both.join(_renamed(copies, "b", "n", "k", "copies"), ["bn", "bk"]).groupBy(
+        F.col("an").alias("n"), F.col("ak").alias("k")).agg(F.sum("bcopies").alias("others"))
+    linked = copies.join(others, ["n", "k"], "left").select(
+        "n", "k", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return sets.join(linked, ["n", "k"], "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))

@@ -98,6 +98,17 @@ FROM sets s JOIN reach ON reach.a = s.rid JOIN sets t ON t.rid = reach.b GROUP B
 """
 
 
+def op8_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and number of linked documents of every document, by three-word shingles at 0.9."""
+    return jaccard.count_links(_table(spark, sf_dir, "documents"), jaccard.Similarity(percent=90, words=3))
+
+
+OP8_LINKS_SQL = OP8_SQL.partition("reach(a, b)")[0].rstrip().rstrip(",") + """
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, count(edges.b) AS n_links
+FROM sets s LEFT JOIN edges ON edges.a = s.rid GROUP BY s.rid, s.doc_id, len(s.s)
+"""
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and the probe: formatted, written, read back and digested."""
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -251,11 +262,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_chat_format": op6_chat_format,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_jaccard_join": op8_jaccard_join,
+    "op8_jaccard_links": op8_jaccard_links,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
 }
 
 
 def oracles() -> dict[str, str]:
-    return {"op4_warc": OP4_SQL, "op6_chat_format": OP6_SQL, "op8_jaccard_join": OP8_SQL,
+    return {"op4_warc": OP4_SQL, "op6_chat_format": OP6_SQL, "op8_jaccard_join": OP8_SQL, "op8_jaccard_links": OP8_LINKS_SQL,
             "op9_quality_rules": OP9_SQL, "op10_url_filter": _op10_sql()}

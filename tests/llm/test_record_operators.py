@@ -222,6 +222,27 @@ def test_jaccard_join_equals_brute_force(spark, percent, n):
     assert sorted(map(tuple, got)) == brute_components(docs, percent, n)
 
 
+@pytest.mark.parametrize("percent, n", [(90, 3), (80, 5)])
+def test_all_links_equal_brute_force(spark, percent, n):
+    rnd = random.Random(6)
+    texts = [None, "", " ", "a b", "A b", "a b"]
+    for _ in range(4):
+        base = [f"w{rnd.randint(0, 200)}" for _ in range(rnd.choice([6, 20, 60, 90]))]
+        for _ in range(12):  # near copies of one text, distinct and repeated
+            near = list(base)
+            for _ in range(rnd.choice([0, 0, 1, 1, 2])):
+                near[rnd.randrange(len(near))] = f"v{rnd.randint(0, 9)}"
+            texts.append(" ".join(near))
+    sim = jaccard.Similarity(percent=percent, words=n)
+    sets = [frozenset(sim.shingles(t).tolist()) for t in texts]
+    brute = [sum(i != j and bool(a) and bool(b) and 100 * len(a & b) >= percent * len(a | b) for j, b in enumerate(sets))
+             for i, a in enumerate(sets)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.n_links) for r in jaccard.count_links(docs, sim).collect()}
+    assert got == {i: (len(sets[i]), brute[i]) for i in range(len(texts))} and max(brute) > 3
+    assert jaccard.count_links(docs.where("false"), sim).count() == 0
+
+
 def test_jaccard_join_without_ids_or_rows(spark):
     schema = "doc_id long, text string"
     odd = spark.createDataFrame([(None, "a b c d"), (None, "a b c d"), (4, "A b C d"), (None, "z"), (6, ""), (6, "")], schema)
