@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labwh.llm import ann, chat, jaccard, langid, mixing, packing, quality_model, quality_rules, url_filter, warc
-from labwh.llm.common import fold, fresh_path, staged
+from labwh.llm import (
+    ann, chat, jaccard, langid, license_rules, license_scan, mixing, negatives, packing, periodic, quality_model,
+    quality_rules, url_filter, warc,
+)
+from labwh.llm.common import fold, fresh_path, staged, words_of
 
 URL_RULES = (
     url_filter.Rule("allow", "com", "/"),
@@ -253,6 +256,88 @@ FROM s
 """
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """Every tenth document by a hash h of its id gets a periodic tail: its word i >= a becomes word a + (i - a) % p.
+    Documents without id stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words_of(F.col("text"))).alias("w"))
+    n, g = F.size("w"), F.floor(F.col("h") / 10)
+    rows = rows.withColumn("a", F.when(n > 0, (g % n).cast("int")))
+    rows = rows.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int"))
+    tail = F.transform(F.sequence(F.col("a"), n - 1), lambda i: F.get("w", F.col("a") + (i - F.col("a")) % F.col("p")))
+    changed = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), tail), " ")
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), changed).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, a tenth of them given a periodic tail."""
+    found = periodic.find_runs(with_repeats(_table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "start", "length", "period", "exponent_milli",
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases and licenses in every document."""
+    return license_scan.scan(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "n_detections")
+
+
+def _op12_sql() -> str:
+    base, rules = license_scan._rules(license_rules.PHRASES, license_rules.LICENSES)
+    kinds = license_scan.KINDS
+    rows = ",\n".join(
+        f"({i}, '{s.label}', '{s.kind}', {kinds.index(s.kind) + 1 if s.kind in kinds else 0}, {license_scan.WORTH.get(s.kind, 0.0)},"
+        f" '{s.keyword}', '{s.regex.replace('++', '+')}')" for i, s in enumerate([*base, *rules]))
+    return rf"""
+WITH rules(rule, label, kind, rank, worth, keyword, regex) AS (VALUES {rows}),
+d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), '{license_scan.UPPER}', '{license_scan.UPPER.lower()}'), '{license_scan.BETWEEN_WORDS}'),
+        lambda x: x <> '') AS words FROM documents),
+t AS (SELECT rid, words, array_to_string(list_transform(words, lambda w, i: ' ' || (i - 1) || ':' || w || ' '), '') AS text FROM d),
+hits AS (SELECT rid, rule, label, kind, rank, worth::DOUBLE AS worth,
+           unnest(regexp_extract_all(text, regex)) AS hit FROM t JOIN rules ON list_contains(words, keyword)),
+spans AS (SELECT *, split_part(ltrim(hit), ':', 1)::BIGINT AS s,
+            split_part(ltrim(hit), ':', 1)::BIGINT + length(hit) - length(replace(hit, ':', '')) AS e FROM hits),
+marked AS (SELECT *, rank > 0 AND EXISTS (
+             SELECT 1 FROM spans o WHERE o.rid = x.rid AND o.rank > 0 AND o.rank <= x.rank AND o.s <= x.s AND o.e >= x.e AND o.rule <> x.rule
+               AND (o.s < x.s OR o.e > x.e OR o.rank < x.rank OR o.rule < x.rule)) AS inside FROM spans x),
+sums AS (SELECT rid, count(*) FILTER (rank = 0) AS n_base, min(s) FILTER (rank = 0) AS first_word, max(s) FILTER (rank = 0) AS last_word,
+           array_to_string(list_sort(list_distinct(list(label) FILTER (rank = 0))), ',') AS base_labels,
+           array_to_string(list_sort(list_distinct(list(label) FILTER (NOT inside))), ',') AS labels,
+           max(worth) FILTER (NOT inside) AS score, count(*) FILTER (rank > 0 AND NOT inside) AS n_detections
+         FROM marked GROUP BY rid)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score,
+  coalesce(n_detections, 0) AS n_detections
+FROM d LEFT JOIN sums USING (rid)
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth embedding's positives among all rows."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+OP13_SQL = """
+WITH r AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT a.rid AS arid, a.vec_id AS anchor_id, a.label AS own, c.rid, c.vec_id, c.label,
+            list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i]))::BIGINT AS score
+          FROM r a, r c WHERE a.vec_id % 50 = 0 AND a.rid <> c.rid),
+pos AS (SELECT *, row_number() OVER (PARTITION BY arid ORDER BY score DESC, vec_id) AS r FROM pairs WHERE own = label QUALIFY r <= 5),
+neg AS (SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+          row_number() OVER (PARTITION BY p.arid, p.rid ORDER BY n.score DESC, n.vec_id) AS rank
+        FROM pos p JOIN pairs n ON n.arid = p.arid AND n.own <> n.label
+          AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score QUALIFY rank <= 3)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM neg
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_mixing": op2_mixing,
@@ -265,9 +350,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_links": op8_jaccard_links,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_license_scan": op12_license_scan,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 
 def oracles() -> dict[str, str]:
     return {"op4_warc": OP4_SQL, "op6_chat_format": OP6_SQL, "op8_jaccard_join": OP8_SQL, "op8_jaccard_links": OP8_LINKS_SQL,
-            "op9_quality_rules": OP9_SQL, "op10_url_filter": _op10_sql()}
+            "op9_quality_rules": OP9_SQL, "op10_url_filter": _op10_sql(), "op12_license_scan": _op12_sql(),
+            "op13_hard_negatives": OP13_SQL}
