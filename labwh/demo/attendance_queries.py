@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from labwh.demo.registry import half_up, query
 from labwh.demo.tables import AS_OF_EVENTS, Tables
-from labwh.functions import in_unit, month_of, months_window, previous_day
+from labwh.functions import in_unit, month_of, month_start, months_window, previous_day
 from labwh.operators import (
     active_by_window,
     active_in_period,
@@ -23,6 +23,7 @@ from labwh.operators import (
     within_validity,
 )
 from labwh.sources.readers import since
+from labwh.sources.staging import staged
 
 
 def is_in() -> Column:
@@ -159,13 +160,14 @@ def device_activity_flags(t: Tables) -> DataFrame:
 """)
 def swipe_in_validity(t: Tables) -> DataFrame:
     """Events strictly after the user's first day and, for even users, before the last."""
-    span = t.events.groupBy("user_id").agg(
+    events = staged(t.events.select("event_id", "user_id", "ts"), "swipes")
+    span = events.groupBy("user_id").agg(
         F.min("ts").cast("date").alias("installed"), F.max("ts").cast("date").alias("removed")
     )
-    events = t.events.select("event_id", "user_id", "ts")
     kept = within_validity(
-        events, span, "user_id", "ts", "installed", "removed", F.col("user_id") % 2 == 1
-    )
+        events, span, "user_id", "ts", "installed", "removed", F.col("user_id") % 2 == 1,
+        periods=[month_start(AS_OF_EVENTS)], unique=["event_id"],
+    )
     return kept.select(
         "event_id", "user_id", F.col("ts").cast("date").alias("event_date"), "installed", "removed"
     )

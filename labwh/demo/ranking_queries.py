@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from labwh.demo.registry import money, query
 from labwh.demo.tables import AS_OF_ORDERS, Tables
-from labwh.functions import add_months, in_range, magnitude_cell, month_start
+from labwh.functions import add_months, in_range, month_start
 from labwh.functions import money as as_money
 from labwh.operators import (
+    By,
     dense_rank_within,
     latest_per_key,
     latest_up_to,
     latest_values,
+    numbered_rows,
+    rank_by_ranges,
     rank_within,
     sum_once,
 )
@@ -45,23 +48,17 @@ def latest_order_per_customer(t: Tables) -> DataFrame:
     FROM orders
 """)
 def customer_order_history_rank(t: Tables) -> DataFrame:
-    """Full history rank by three keys, unknown dates last.
-
-    The ranking is split by (state, priority, month), so that a customer with a large part
-    of all orders is numbered by many tasks.
-    """
+    """Full history rank by three keys, unknown dates last. A customer with a large part of all
+    orders is numbered by many tasks."""
     known = F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderdate"))
-    rows = t.orders.withColumn("known_date", known)
+    rows = t.orders.select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority", known.alias("known_date"))
     order = [
-        F.col("o_orderstatus").desc(),
-        F.col("o_orderpriority").asc(),
-        F.col("known_date").asc_nulls_last(),
-        F.col("o_orderkey").asc(),
+        By("o_orderstatus", descending=True),
+        By("o_orderpriority"),
+        By("known_date", nulls_first=False),
+        By("o_orderkey"),
     ]
-    state = F.when(F.col("o_orderstatus") == "P", 0).when(F.col("o_orderstatus") == "O", 1)
-    month = F.coalesce(F.date_trunc("month", "known_date").cast("date"), F.lit(dt.date.max))
-    split = F.struct(state.otherwise(2), F.col("o_orderpriority"), month)
-    return rank_within(rows, ["o_custkey"], order, "top", split).select(
+    return rank_by_ranges(rows, ["o_custkey"], order, "top").select(
         "o_custkey", "o_orderkey", "top"
     )
 
@@ -75,7 +72,7 @@ def customer_order_history_rank(t: Tables) -> DataFrame:
           FROM lineitem WHERE year(l_shipdate) = 1998 GROUP BY l_suppkey)
 """)
 def bank_rank(t: Tables) -> DataFrame:
-    """League table of banks for one year; cells of similar amounts are ranked in parallel."""
+    """League table of banks for one year; ranges of it are ranked in parallel."""
     year = t.lineitem.where(in_range("l_shipdate", (dt.date(1998, 1, 1), dt.date(1999, 1, 1))))
     per_project = year.groupBy("l_suppkey", "l_orderkey").agg(
         F.sum(as_money("l_extendedprice")).alias("amt"), F.count("*").alias("n")
@@ -85,13 +82,8 @@ def bank_rank(t: Tables) -> DataFrame:
         F.sum("n").alias("real_number"),
         F.count("*").alias("project_total"),
     )
-    order = [
-        F.col("real_amt").desc(),
-        F.col("real_number").desc(),
-        F.col("project_total").desc(),
-        F.col("l_suppkey"),
-    ]
-    ranked = rank_within(banks, [], order, "rank", -magnitude_cell("real_amt"))
+    order = [By("real_amt", True), By("real_number", True), By("project_total", True), By("l_suppkey")]
+    ranked = rank_by_ranges(banks, [], order, "rank")
     return ranked.select(
         F.col("l_suppkey").alias("bank"),
         F.col("real_amt").cast("double").alias("real_amt"),
@@ -109,13 +101,12 @@ def bank_rank(t: Tables) -> DataFrame:
     FROM lineitem GROUP BY l_orderkey, l_suppkey
 """)
 def project_bank_rank(t: Tables) -> DataFrame:
-    """Banks of a project ranked by amount."""
+    """Banks of a project ranked by amount; a project has few banks."""
     sums = t.lineitem.groupBy("l_orderkey", "l_suppkey").agg(
         F.sum(as_money("l_extendedprice")).alias("amt_total"), F.count("*").alias("person_total")
     )
     order = [F.col("amt_total").desc(), F.col("l_suppkey")]
-    split = -magnitude_cell("amt_total", 1)
-    ranked = rank_within(sums, ["l_orderkey"], order, "rank", split)
+    ranked = rank_within(sums, ["l_orderkey"], order, "rank")
     return ranked.withColumn("amt_total", F.col("amt_total").cast("double"))
 
 
@@ -194,17 +185,17 @@ def salary_detail_rank(t: Tables) -> DataFrame:
         F.month("l_shipdate").cast("long").alias("month"),
         F.trunc(F.col("l_shipdate").cast("date"), "MM").alias("year_month"),
     )
-    split = F.struct("l_linenumber", F.floor(F.col("l_partkey") / 1024))
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    numbered = rank_within(lines, ["l_orderkey"], [F.col(c) for c in order], "batch_top", split)
     owner = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    lines = numbered_rows(lines.join(owner, "l_orderkey"), "_row", "wage-lines")
+    numbered = rank_by_ranges(lines, ["l_orderkey"], [By(c) for c in order], "batch_top", row="_row")
     ranked = dense_rank_within(
-        numbered.join(owner, "l_orderkey"),
+        numbered,
         ["o_custkey"],
         ["l_linestatus", "year", "month"],
         [F.col("l_linestatus"), F.col("year").desc(), F.col("month").desc()],
         "salary_top",
-        among=lines.join(owner, "l_orderkey"),
+        among=lines,
     )
     months = F.months_between(F.lit(month_start(AS_OF_ORDERS)), "year_month")
     return ranked.withColumn("months_old", months.cast("long")).drop("year_month")

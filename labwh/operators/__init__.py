@@ -1,7 +1,8 @@
-"""DataFrame operators: each takes and returns DataFrames and runs no action."""
+"""DataFrame operators: each takes and returns DataFrames. Those that store their input or look at its
+size say so; the others run no action."""
 
 from labwh.operators.attendance import active_by_window, pair_in_out, within_validity
-from labwh.operators.common import keyed_join, null_safe_join, spread_join
+from labwh.operators.common import keyed_join, null_safe_join
 from labwh.operators.dims import (
     in_any,
     lookup_levels,
@@ -43,10 +44,14 @@ from labwh.operators.periods import (
     entity_periods,
     in_months,
     latest_up_to,
+    merged_spans,
     month_shift,
     period_series,
     with_month_shift,
 )
+from labwh.operators.ranges import By, numbered_rows, rank_by_ranges
+from labwh.operators.heavy import heavy_keys
+from labwh.operators.spread import spread_join
 from labwh.operators.rules import all_met, covered_status, met_if, score_rules
 
 __all__ = [n for n in dir() if not n.startswith("_")]

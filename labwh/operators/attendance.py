@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labwh.functions.dates import in_unit, previous_day
-from labwh.operators.common import require, spread_join
+from labwh.operators.common import fresh_name, require
 
 
 def pair_in_out(
@@ -75,6 +75,10 @@ def _epoch_seconds(ts: Column) -> Column:
     return F.unix_timestamp(ts.cast("timestamp"))
 
 
+#: Parts that the events of an asset and period are dealt to, beside the periods.
+VALIDITY_PARTS = 8
+
+
 def within_validity(
     events: DataFrame,
     assets: DataFrame,
@@ -83,17 +87,60 @@ def within_validity(
     installed: str,
     removed: str,
     active: Column,
+    periods: Sequence[dt.date] = (),
+    unique: Sequence[str] = (),
 ) -> DataFrame:
     """Events on an asset strictly after its first day and, once removed, strictly before its
-    last day. The asset's columns are added; ``active`` is a condition on the asset. An asset
-    with very many events is spread over tasks."""
-    require(events, [on, ts])
+    last day. The asset's columns are added; ``active`` is a condition on the asset. An asset listed several
+    times gives a row for each listing in force.
+
+    Events and bounds are merged in one shuffle and read in the order of their days: the listings that began
+    are carried forward to the events behind them. Each input is read once and no key is counted.
+
+    An asset with very many events is cut by time: ``periods`` are dates at which to cut (months of the
+    job, say), and events before the first and after the last one are periods of their own, so any dates
+    give the same result. Inside a period its events are dealt to parts by a hash of ``unique``, columns that tell
+    events apart (all if not given). A listing goes to the parts of the periods that it touches.
+    """
+    require(events, [on, ts, *unique])
     require(assets, [on, installed, removed])
-    marked = assets.withColumn("_active", F.coalesce(active, F.lit(False)))
-    day = F.col(ts).cast("date")
-    kept = F.datediff(day, F.col(installed).cast("date")) > 0
-    kept = kept & (F.col("_active") | (F.datediff(F.col(removed).cast("date"), day) > 0))
-    return spread_join(events, marked, [on], "inner").where(kept).drop("_active")
+    clash = [c for c in assets.columns if c in events.columns and c != on]
+    if clash:
+        raise ValueError(f"columns {clash} are on both sides; rename or drop them first")
+    period, part, day, asset, began = (fresh_name(events, x) for x in ("period", "part", "day", "asset", "began"))
+    cuts = sorted(set(periods))
+
+    def period_of(date: Column) -> Column:
+        return sum((F.when(date >= F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
+
+    first, last = F.col(installed).cast("date"), F.col(removed).cast("date")
+    in_force = F.coalesce(active, F.lit(False))
+    # A listing without a first day, or removed without a last one, never counts.
+    listed = assets.where(first.isNotNull() & F.col(on).isNotNull() & (in_force | (last > first)))
+    listed = listed.select(
+        on, first.alias(began), last.alias(day), in_force.alias("_on"), F.struct(*assets.columns).alias(asset)
+    )
+    until = F.when(F.col("_on"), F.lit(len(cuts))).otherwise(period_of(F.col(day)))
+    box = F.struct(F.col(began).alias("began"), F.col(day).alias("ended"), F.col("_on").alias("on"), F.col(asset).alias("row"))
+    bounds = listed.select(
+        on, F.col(began).alias(day), box.alias(asset), F.explode(F.sequence(period_of(F.col(began)), until)).alias(period)
+    )
+    bounds = bounds.withColumn(part, F.explode(F.sequence(F.lit(0), F.lit(VALIDITY_PARTS - 1))))
+    at = F.col(ts).cast("date")
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in unique or events.columns]), F.lit(VALIDITY_PARTS)).cast("int")
+    moved = events.where(F.col(on).isNotNull() & at.isNotNull()).withColumns(
+        {day: at, period: period_of(at), part: salt}
+    )
+    merged = moved.unionByName(bounds, allowMissingColumns=True)
+    w = Window.partitionBy(on, period, part).orderBy(day).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = merged.withColumn(began, F.collect_list(asset).over(w)).where(F.col(asset).isNull())
+    here = F.filter(
+        began,
+        lambda x: (F.datediff(F.col(day), x["began"]) > 0) & (x["on"] | F.coalesce(F.datediff(x["ended"], F.col(day)) > 0, F.lit(False))),
+    )
+    rows = carried.withColumn(asset, F.explode(here))
+    added = [F.col(f"{asset}.row.{c}").alias(c) for c in assets.columns if c != on]
+    return rows.select(*events.columns, *added)
 
 
 def active_by_window(

@@ -15,11 +15,6 @@ def require(df: DataFrame, columns: Sequence[str]) -> None:
         raise ValueError(f"missing columns {missing}; the input has {df.columns}")
 
 
-def default_hot_rows(df: DataFrame) -> int:
-    """Rows from which on one key counts as hot; ``spark.labwh.hotRows`` of the session."""
-    return int(df.sparkSession.conf.get("spark.labwh.hotRows", "1000000"))
-
-
 def fresh_name(df: DataFrame, stem: str) -> str:
     name = f"_{stem}"
     while name in df.columns:
@@ -42,7 +37,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined.drop(*renamed.values())
 
 
-def _no_clash(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
+def no_clash(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> None:
     clash = [c for c in right.columns if c in left.columns and c not in keys]
     if clash:
         raise ValueError(f"columns {clash} are on both sides; rename or drop them first")
@@ -58,64 +53,9 @@ def keyed_join(
     require(left, [a for a, _ in on])
     require(right, [b for _, b in on])
     renamed = {b: f"_r_{b}" for _, b in on}
-    _no_clash(left, right, list(renamed))
+    no_clash(left, right, list(renamed))
     cond = reduce(lambda a, b: a & b, [F.col(a) == F.col(renamed[b]) for a, b in on])
     joined = left.join(right.withColumnsRenamed(renamed), cond, how)
     if how in ("left_semi", "left_anti"):
         return joined
     return joined.drop(*renamed.values())
-
-
-def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    skewed: str = "left",
-    hot_rows: int | None = None,
-    counted: DataFrame | None = None,
-) -> DataFrame:
-    """Inner, left, left semi or left anti equi join that stays balanced when one key holds much
-    of the ``skewed`` side.
-
-    Spark's adaptive execution splits a skewed join by itself when both inputs come straight
-    from a shuffle. It cannot when an input was aggregated on the key, or when the skewed
-    side is the right one of a left join; this join is for those cases. Keys with ``hot_rows``
-    rows or more are cut into one part per ``hot_rows`` rows by a hash of the row, and the
-    matching rows of the other side are copied to each part. Rows with a NULL key match
-    nothing and are spread as well.
-
-    The skewed side is read once more to count its keys; ``counted`` may name a cheaper frame
-    that holds every one of these keys (more rows only mean more parts, except that a key of a
-    spread right side must occur there at least once).
-    """
-    if skewed not in ("left", "right") or how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"cannot spread a {how} join on its {skewed} side")
-    if skewed == "right" and how in ("left_semi", "left_anti"):
-        raise ValueError("a semi or anti join has no rows of its right side to spread")
-    require(left, on)
-    require(right, on)
-    _no_clash(left, right, on)
-    big, small = (left, right) if skewed == "left" else (right, left)
-    hot_rows = hot_rows or default_hot_rows(left)
-    part, parts, mark = (fresh_name(left, x) for x in ("part", "parts", "mark"))
-    sizes = (big if counted is None else counted).groupBy(*on).agg(F.count("*").alias(parts)).where(F.col(parts) >= hot_rows)
-    # At most (all rows / hot_rows) keys are hot, which bounds the copies.
-    hot = sizes.select(*on, F.ceil(F.col(parts) / hot_rows).cast("int").alias(parts))
-    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
-    chosen = F.when(no_key, F.lit(2**31 - 1)).otherwise(F.coalesce(F.col(parts), F.lit(1)))
-    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
-    cut = big.join(hot, list(on), "left").withColumn(part, F.pmod(row_hash, chosen).cast("int"))
-    cut = cut.drop(parts).withColumn(mark, F.lit(True))
-    spans = F.sequence(F.lit(0), F.coalesce(F.col(parts), F.lit(1)) - 1)
-    copied = small.join(hot, list(on), "left").withColumn(part, F.explode(spans))
-    at = [*on, part]
-    if skewed == "left":
-        out = cut.join(copied.drop(parts), at, how)
-    else:
-        out = copied.join(cut, at, how)
-        if how == "left":
-            # A hot key has matches; copies that met none of them are not rows of the result.
-            out = out.where(F.col(mark).isNotNull() | F.col(parts).isNull())
-    added = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in on]
-    return out.select(*left.columns, *added)

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labwh.operators.common import require, spread_join
+from labwh.operators.common import require
+from labwh.operators.spread import spread_join
 
 
 def key_flags(
@@ -39,11 +40,11 @@ def add_flags(
     base: DataFrame,
     key: str,
     sources: Sequence[tuple[DataFrame, str, Mapping[str, Column]]],
-    spread: bool = False,
+    spread: bool | Sequence[str] = False,
 ) -> DataFrame:
     """Adds a 0/1 column per flag to ``base``; the row count does not change. All flags on
     one key cost one aggregation and one join. ``spread`` is for a base that may repeat one
-    key very often."""
+    key very often; it names the columns that tell the base's rows apart (True: all)."""
     require(base, [key])
     flags = key_flags(sources, key)
     names = [c for c in flags.columns if c != key]
@@ -53,7 +54,7 @@ def add_flags(
 
 
 def flag_exists(
-    base: DataFrame, other: DataFrame, on: Sequence[str], name: str, spread: bool = False
+    base: DataFrame, other: DataFrame, on: Sequence[str], name: str, spread: bool | Sequence[str] = False
 ) -> DataFrame:
     """1 if a row with the same key exists in ``other``, else 0. The key may have several
     columns; matches never multiply rows."""
@@ -65,7 +66,7 @@ def flag_exists(
 
 
 def add_measures(
-    base: DataFrame, key: str, *aggregates: DataFrame, spread: bool = False
+    base: DataFrame, key: str, *aggregates: DataFrame, spread: bool | Sequence[str] = False
 ) -> DataFrame:
     """Left-joins per-key aggregates (one row per key each) to ``base``."""
     for a in aggregates:
@@ -73,7 +74,9 @@ def add_measures(
     return base
 
 
-def _attach(base: DataFrame, per_key: DataFrame, on: Sequence[str], spread: bool) -> DataFrame:
+def _attach(
+    base: DataFrame, per_key: DataFrame, on: Sequence[str], spread: bool | Sequence[str]
+) -> DataFrame:
     if spread:
-        return spread_join(base, per_key, on, "left")
+        return spread_join(base, per_key, on, "left", unique=None if spread is True else spread)
     return base.join(per_key, list(on), "left")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from labwh.functions.dates import add_months, month_of, month_start
 from labwh.functions.labels import MISSING_NAME, month_label
-from labwh.operators.common import require
+from labwh.operators.common import fresh_name, require
 from labwh.operators.measures import running_total, sum_if
 
 
@@ -203,11 +203,72 @@ def active_months(
     return out.where(F.col(name).isin([F.lit(x) for x in months])) if gaps else out
 
 
+def _month_number(date: Column | str) -> Column:
+    return F.year(date) * 12 + F.month(date) - 1
+
+
+def merged_spans(
+    intervals: DataFrame, by: Sequence[str], start: str, end: str, months: Sequence[dt.date],
+    first: str, last: str,
+) -> DataFrame:
+    """Per key ``by`` the month spans ``first`` to ``last`` (numbers of months) in which an interval overlaps
+    a month, overlapping and neighbouring spans merged. Spans are clamped to the requested months,
+    reversed intervals and intervals without a start or an end go out, as the range test has it.
+
+    Equal spans are reduced before the shuffle, so a key brings at most as many rows as there are pairs of
+    requested months; merging is one ordered pass with the farthest end so far.
+    """
+    require(intervals, [*by, start, end])
+    months = sorted(month_start(x) for x in months)
+    lo, hi = months[0], months[-1]
+    meets = (F.col(end) >= F.lit(lo)) & (F.col(start) < F.lit(add_months(hi, 1)))
+    a = F.greatest(_month_number(start), F.lit(lo.year * 12 + lo.month - 1))
+    b = F.least(_month_number(end), F.lit(hi.year * 12 + hi.month - 1))
+    spans = intervals.where(meets).select(*by, a.alias(first), b.alias(last)).where(F.col(first) <= F.col(last))
+    spans = spans.distinct()
+    w = Window.partitionBy(*by).orderBy(first, last)
+    reach = F.max(last).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col(first) > reach + 1, F.lit(True))
+    island = fresh_name(intervals, "island")
+    marked = spans.withColumn(island, opens).withColumn(
+        island, F.count_if(F.col(island)).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    )
+    return marked.groupBy(*by, island).agg(F.min(first).alias(first), F.max(last).alias(last)).drop(island)
+
+
 def active_in_period(
     intervals: DataFrame, group: Sequence[str], ident: str, start: str, end: str,
     months: Sequence[dt.date], count: str, name: str = "cur_date",
 ) -> DataFrame:
-    """Distinct ids per group and month whose interval overlaps the month."""
-    rows = active_months(intervals, start, end, months, name)
-    ids = rows.where(F.col(ident).isNotNull()).select(*group, name, ident).distinct()
-    return ids.groupBy(*group, name).agg(F.count("*").alias(count))
+    """Distinct ids per group and month whose interval overlaps the month; months without any are left out.
+
+    The intervals of one id in a group are merged, so a month counts an id once; a merged span then
+    adds one at its first month and takes it away behind its last one, and the running sum of a group's changes is
+    its number of ids. Rows do not grow with the number of months before that sum.
+    """
+    months = sorted({month_start(x) for x in months})
+    first, last, at, step, n = (fresh_name(intervals, x) for x in ("first", "last", "at", "step", "n"))
+    known = intervals.where(F.col(ident).isNotNull())
+    spans = merged_spans(known, [*group, ident], start, end, months, first, last)
+    change = F.array(
+        F.struct(F.col(first).alias("at"), F.lit(1).cast("long").alias("step")),
+        F.struct((F.col(last) + 1).alias("at"), F.lit(-1).cast("long").alias("step")),
+    )
+    changes = spans.select(*group, F.explode(change).alias("c")).select(
+        *group, F.col("c.at").alias(at), F.col("c.step").alias(n)
+    )
+    # Map tasks add up the changes of a month; a group then has at most one row per month.
+    steps = changes.groupBy(*group, at).agg(F.sum(n).alias(n))
+    listed = steps.groupBy(*group).agg(F.collect_list(F.struct(at, n)).alias(step))
+    none = F.lit(0).cast("long")
+
+    def heads_in(month: dt.date) -> Column:
+        k = month.year * 12 + month.month - 1
+        return F.aggregate(step, none, lambda total, c: total + F.when(c[at] <= k, c[n]).otherwise(none))
+
+    heads = F.array(*[
+        F.struct(F.lit(x).alias("month"), heads_in(x).alias("heads")) for x in months
+    ])
+    out = listed.select(*group, F.explode(heads).alias("h"))
+    out = out.select(*group, F.col("h.month").alias(name), F.col("h.heads").alias(count))
+    return out.where(F.col(count) > 0)

@@ -22,13 +22,13 @@ from labwh.functions import (
 from labwh.operators import (
     active_by_window,
     active_in_period,
-    active_months,
     conditional_measures,
     count_if,
     entity_periods,
     flag_exists,
     keyed_join,
     latest_per_key,
+    merged_spans,
     met_if,
     outer_merge,
     pair_in_out,
@@ -304,7 +304,7 @@ def project_attendance(
     ).join(site, "pid")
     rows = within_validity(
         pairs, assets, "sn", "record_time", "create_time", "last_modify_time",
-        F.col("isdelete") == "N",
+        F.col("isdelete") == "N", periods=[month_start(day)], unique=["id"],
     )
     return rows.withColumns(
         {"date_year": F.col("record_year"), "date_month": F.col("record_month")}
@@ -442,15 +442,19 @@ def real_attendance(
     employed = active_in_period(
         spans, ["source_pid"], "id_card_no", "starttime", "endtime", months, "real_count"
     ).withColumnRenamed("source_pid", "pid")
-    at_work = active_months(spans, "starttime", "endtime", months).select("id_card_no", "cur_date")
+    at_work = merged_spans(spans, ["id_card_no"], "starttime", "endtime", months, "first", "last")
     wanted = F.lit(False)
     for m in months:
         wanted = wanted | ((F.col("date_year") == m.year) & (F.col("date_month") == m.month))
     swiped = person_months.where(wanted).select(
         "sn", F.col("idcardno").alias("id_card_no"), F.col("record_time").alias("cur_date")
     )
-    # The interval rows may repeat a person and month; a semi join does not multiply.
-    swiped = swiped.join(at_work, ["id_card_no", "cur_date"], "left_semi")
+    month = F.year("cur_date") * 12 + F.month("cur_date") - 1
+    swiped = swiped.withColumn("month", month).join(
+        at_work.withColumnRenamed("id_card_no", "who"),
+        (F.col("id_card_no") == F.col("who")) & F.col("month").between(F.col("first"), F.col("last")),
+        "left_semi",
+    )
     sites = devices.where(F.col("isdelete") == "N").select("sn", "pid").distinct()
     attended = (
         swiped.join(sites, "sn")

@@ -174,7 +174,7 @@ def rule_scores(
     # still a plain scan.
     secured = located_deposits(deposits).select("cid", "province_code", "city_code")
     place = ["cid", "province_code", "city_code"]
-    base = flag_exists(base, secured, place, "secured", spread=True)
+    base = flag_exists(base, secured, place, "secured", spread=["pid"])
     base = add_names(base, companies, "cid", "cid", "company_name")
     hit = F.lit(True)
     held = employment_intervals.where(F.col("is_job") & live())
@@ -353,7 +353,7 @@ def area_statistics(
     )
     place = ["cid", "province_code", "city_code"]
     secured = located_deposits(deposits).groupBy(*place).agg(F.sum("assure_amt").alias("amt"))
-    owned = spread_join(base, secured, place, "inner")
+    owned = spread_join(base, secured, place, "inner", unique=["pid"])
     once = sum_once(owned, AREA, place, "amt", [F.col("pid").desc()], "bail_amt_total")
     out = null_safe_join(counts, once, AREA, "left")
     return out.withColumns(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from labwh.functions import MISSING_NAME, live
 from labwh.operators import (
+    By,
     attach_totals,
     conditional_measures,
     count_if,
@@ -16,7 +17,7 @@ from labwh.operators import (
     latest_per_key,
     latest_values,
     lookup_levels,
-    rank_within,
+    rank_by_ranges,
     scaffold,
     spread_join,
 )
@@ -80,25 +81,17 @@ def labourer_history(
 ) -> DataFrame:
     """Live worker × job with rank, county name and arrears of the worker.
 
-    Jobs are ranked held first, live first, oldest first, unknown times last. The ranking is
-    split by the month the job was entered.
+    Jobs are ranked held first, live first, oldest first, unknown times last.
     """
     order = [
-        F.col("is_job").desc_nulls_last(),
-        F.col("is_deleted").asc(),
-        F.col("create_time").asc_nulls_last(),
-        F.col("job_date"),
-        F.col("current_county_code"),
-        F.col("worktype_no"),
-    ]
-    held = F.when(F.col("is_job"), 0).when(F.col("is_job").isNull(), 2).otherwise(1)
-    month = F.coalesce(F.trunc(F.col("create_time").cast("date"), "MM"), F.lit(dt.date.max))
-    split = F.struct(held, F.col("is_deleted"), month)
+        By("is_job", descending=True), By("is_deleted"), By("create_time", nulls_first=False),
+        By("job_date"), By("current_county_code"), By("worktype_no"),
+    ]
     jobs = employments.select(
         "lid", "job_date", "current_city_code", "current_county_code", "current_county_name",
         "create_time", "worktype_no", "worktype_name", "is_job", "is_deleted",
     )
-    jobs = rank_within(jobs, ["lid"], order, "top", split)
+    jobs = rank_by_ranges(jobs, ["lid"], order, "top")
     jobs = lookup_levels(jobs, areas, {"area_county_name": ("current_county_code", COUNTY)})
     people = labourers.where(live()).select(
         "lid", "nation_id", "real_name", "id_card_no", "gender",
@@ -107,7 +100,9 @@ def labourer_history(
         "city_code", "county_code", "culture_level_type", "politics_type", "source_type",
     )
     people = people.join(_arrears(arrears_amounts), "lid", "left")
-    rows = spread_join(people, jobs, ["lid"], "left", skewed="right", counted=employments)
+    rows = spread_join(
+        people, jobs, ["lid"], "left", skewed="right", counted=employments, unique=["top"]
+    )
     return rows.withColumns(
         {
             "top": F.coalesce("top", F.lit(1)),
@@ -265,18 +260,10 @@ def resume_detail(
     jobs = jobs.join(site, "pid")
     jobs = add_names(jobs, companies, "current_cid", "cid", "company_name")
     order = [
-        F.col("is_job").desc_nulls_last(),
-        F.col("job_date").desc_nulls_last(),
-        F.col("pid"),
-        F.col("worktype_no"),
-        F.col("current_cid"),
-        F.col("job_end_date"),
-    ]
-    held = F.when(F.col("is_job"), 0).when(F.col("is_job").isNull(), 2).otherwise(1)
-    # Later months sort first; a missing date sorts last.
-    age = F.months_between(F.lit(dt.date(2200, 1, 1)), F.trunc(F.col("job_date").cast("date"), "MM"))
-    split = F.struct(held, F.coalesce(age, F.lit(1e9)))
-    jobs = rank_within(jobs, ["lid"], order, "lab_top", split)
+        By("is_job", descending=True), By("job_date", descending=True), By("pid"), By("worktype_no"),
+        By("current_cid"), By("job_end_date"),
+    ]
+    jobs = rank_by_ranges(jobs, ["lid"], order, "lab_top")
     jobs = lookup_levels(jobs, areas, {"project_county_name": ("project_county_code", COUNTY)})
 
     bad = latest_values(
@@ -303,7 +290,7 @@ def resume_detail(
     # Only jobs on live projects are joined, so a worker's rows are counted after that join.
     on_site = known_jobs.select("lid", "pid").join(site.select("pid"), "pid")
     rows = spread_join(
-        people, jobs.drop("current_cid"), ["lid"], "left", skewed="right", counted=on_site
+        people, jobs.drop("current_cid"), ["lid"], "left", skewed="right", counted=on_site, unique=["lab_top"]
     )
     is_job = F.when(F.col("is_job").isNull(), JOB_UNKNOWN).when(F.col("is_job"), 1).otherwise(0)
     return rows.withColumns(

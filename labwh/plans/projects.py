@@ -107,7 +107,7 @@ def project_day_old(
         ),
         "yyyy-M-d",
     )
-    rows = add_measures(rows, "cid", _deposit_by_company(deposits), spread=True)
+    rows = add_measures(rows, "cid", _deposit_by_company(deposits), spread=["pid"])
     rows = lookup_levels(rows, areas, AREA_NAMES)
     verified = labourers.where(F.col("real_grade") != UNVERIFIED_GRADE).select("lid")
     named = employments.join(verified, "lid", "left_semi")
@@ -178,7 +178,7 @@ def project_day(
     )
     # One company may run very many projects, so its columns are joined in parts, and first,
     # while the rows are still a plain scan.
-    rows = add_measures(rows, "cid", _company_facts(deposits, special_accounts), spread=True)
+    rows = add_measures(rows, "cid", _company_facts(deposits, special_accounts), spread=["pid"])
     rows = lookup_levels(rows, areas, AREA_NAMES)
     hit = F.lit(True)
     shown = devices.where((F.col("isdelete") == "N") & F.col("is_show"))
@@ -479,10 +479,13 @@ def project_detail(
     on_project = tree.select("source_pid", "cid").distinct()
     nodes = tree.select("source_pid", "pid").distinct()
 
-    labels = spread_join(
-        on_project, _company_labels(companies, deposits, special_accounts), ["cid"], "inner"
+    # Label rows and fact rows of the companies side by side, so that the companies are joined
+    # once. A company counts once per project, however many sub-projects it has.
+    company_rows = _company_labels(companies, deposits, special_accounts).unionByName(
+        _company_facts(deposits, special_accounts), allowMissingColumns=True
     )
-    lists = labels.groupBy(F.col("source_pid").alias("pid")).agg(
+    of_company = spread_join(on_project, company_rows, ["cid"], "inner", unique=["source_pid"])
+    lists = of_company.groupBy(F.col("source_pid").alias("pid")).agg(
         *[
             F.sort_array(
                 F.collect_set(F.when(F.col("company_type") == k, F.col("company_name")))
@@ -491,6 +494,9 @@ def project_detail(
         ],
         *label_list(_group_columns(), "&"),
         *[count_if(F.col("company_type") == k).alias(f"_{g}") for k, g in COMPANY_GROUPS.items()],
+        F.max("safeguard_status").alias("safeguard_status"),
+        F.sum("assure_amt").alias("assure_amt"),
+        F.max("project_account_status").alias("project_account_status"),
     )
     # A group without companies is NULL, not an empty list.
     for group in COMPANY_GROUPS.values():
@@ -502,13 +508,6 @@ def project_detail(
     paid = wages.where(live() & (F.col("status") == 1)).select("pid", F.col("real_amt").alias("amt"))
     per_node = moved.unionByName(paid).groupBy("pid").agg(F.sum("amt").alias("amt"))
     all_amt = nodes.join(per_node, "pid").groupBy("source_pid").agg(money(F.sum("amt")).alias("all_amt"))
-    # A company counts once per project, however many sub-projects it has.
-    facts = _company_facts(deposits, special_accounts)
-    secured = spread_join(on_project, facts, ["cid"], "inner").groupBy("source_pid").agg(
-        F.max("safeguard_status").alias("safeguard_status"),
-        F.sum("assure_amt").alias("assure_amt"),
-        F.max("project_account_status").alias("project_account_status"),
-    )
     staff = employments.where(F.col("is_job") & live() & F.col("lid").isNotNull())
     staff = staff.select(F.col("source_pid").alias("pid"), "lid").distinct()
     staff = staff.groupBy("pid").agg(F.count("*").alias("labourers_count"))
@@ -549,7 +548,6 @@ def project_detail(
         lists,
         staff,
         all_amt.withColumnRenamed("source_pid", "pid"),
-        secured.withColumnRenamed("source_pid", "pid"),
         _paid_wages(batches, this_month.alias("this_month_amt")),
     )
     zero = (

@@ -11,12 +11,12 @@ from labwh.functions import (
     add_months,
     in_ten_thousands,
     live,
-    magnitude_cell,
     month_of,
     same_year_month,
     text_key,
 )
 from labwh.operators import (
+    By,
     attach_totals,
     count_if,
     cumulative_distinct,
@@ -24,6 +24,8 @@ from labwh.operators import (
     dense_rank_within,
     lookup_levels,
     met_if,
+    numbered_rows,
+    rank_by_ranges,
     rank_within,
     running_total,
     scaffold,
@@ -137,27 +139,18 @@ def bank_rank(bank_months: DataFrame, year: int, county_code: str) -> DataFrame:
     sums = rows.groupBy("bank_name").agg(
         *[F.sum(c).alias(c) for c in ("real_amt", "real_number", "project_total")]
     )
-    order = [
-        F.col("real_amt").desc_nulls_last(),
-        F.col("real_number").desc_nulls_last(),
-        F.col("project_total").desc_nulls_last(),
-        F.col("bank_name"),
-    ]
-    return rank_within(sums, [], order, "rank", _descending("real_amt"))
+    order = [By("real_amt", True), By("real_number", True), By("project_total", True), By("bank_name")]
+    return rank_by_ranges(sums, [], order, "rank")
 
 
 def project_bank_rank(salary: DataFrame) -> DataFrame:
-    """Project × bank: amount, people, rank of the bank inside the project."""
+    """Project × bank: amount, people, rank of the bank inside the project. A project has as many rows
+    here as it has banks, so it is ranked by one task."""
     sums = salary.groupBy("pid", "project_name", "county_name", "bank_name").agg(
         F.sum("ss_real_amt").alias("amt_total"), F.sum("person_sum").alias("person_total")
     )
     order = [F.col("amt_total").desc_nulls_last(), F.col("bank_name"), F.col("project_name"), F.col("county_name")]
-    return rank_within(sums, ["pid"], order, "rank", _descending("amt_total", 1))
-
-
-def _descending(amount: str, steps: int = 1024) -> Column:
-    """Ranking cells from large to small amounts, missing amounts last."""
-    return F.coalesce(-magnitude_cell(amount, steps), F.lit(2**60))
+    return rank_within(sums, ["pid"], order, "rank")
 
 
 def area_months(salary: DataFrame) -> DataFrame:
@@ -293,12 +286,11 @@ def salary_lines(
 
 def salary_detail(lines: DataFrame) -> DataFrame:
     """:func:`salary_lines` with the ordinal of the line in its batch, and the dense rank of the
-    parent project's months (latest first, per batch status). ``lines`` is read several times
-    and should be a stored table."""
+    parent project's months (latest first, per batch status). The lines are computed once and stored;
+    a batch of any size is numbered by many tasks."""
     order = ["id_card_no", "real_name", "real_amt", "total_amt", "status", "worktype_name", "pid", "source_pid"]
-    # Cells of equal leading characters of the id keep the id order.
-    split = F.substring("id_card_no", 1, 6)
-    rows = rank_within(lines, ["batch_no"], [F.col(c) for c in order], "batch_top", split)
+    lines = numbered_rows(lines, "_row", "salary-lines")
+    rows = rank_by_ranges(lines, ["batch_no"], [By(c) for c in order], "batch_top", row="_row")
     rows = dense_rank_within(
         rows,
         ["source_pid"],

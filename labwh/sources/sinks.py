@@ -15,29 +15,12 @@ from pyspark.sql import functions as F
 
 from labwh.operators.common import require
 from labwh.operators.merge import merge_latest, upsert_rows
+from labwh.sources.staging import fresh_path, shared_dir, staged
 
 DYNAMIC_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 AUDIT_SCHEMA = "create_time timestamp, class_name string, message string"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session, else its
-    warehouse."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-
-
-def fresh_path(spark: SparkSession, stem: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{stem}-{uuid.uuid4().hex}"
-
-
-def staged(df: DataFrame, stem: str) -> DataFrame:
-    """Writes an expensive intermediate result to the shared folder and reads it back. Lost
-    executors then cost a re-read, not a recomputation."""
-    path = fresh_path(df.sparkSession, stem)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def write_jdbc(df: DataFrame, options: Mapping[str, str], table: str, mode: str = "overwrite"):
     """Report into a database table; ``mode`` overwrite or append. Types without a database
     counterpart raise in Spark's writer."""
