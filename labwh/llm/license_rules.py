@@ -10,7 +10,7 @@ LICENSES = {
     "apache-2.0": r"""
         tag identifier apache 2 0
         text compliance you may not use this file except in compliance with the license
-        text apache subject to the terms and conditions of this license each contributor hereby grants to you a perpetual
+        text contributor subject to the terms and conditions of this license each contributor hereby grants to you a perpetual
         link apache apache org licenses license 2 0
         name apache apache (software )?licen[cs]e (version |v )?v?2( 0)?
         name apache apache v?2( 0)? licen[cs]e
@@ -99,7 +99,7 @@ LICENSES = {
     """,
     "gpl-2.0-or-later": r"""
         tag identifier gpl 2 0 or later
-        text foundation either version 2 of the license or at your option any later version
+        text option either version 2 of the license or at your option any later version
         name general (gnu )?general public licen[cs]e (version |v )?v?2( 0)? or( at your option)?( any)? (later|newer)( version)?
         name gpl (gnu )?gpl (version |v )?2( 0)? or( any)? (later|newer)( version)?
         name gplv2 gplv2 or (later|newer)
@@ -113,7 +113,7 @@ LICENSES = {
     """,
     "gpl-3.0-or-later": r"""
         tag identifier gpl 3 0 or later
-        text foundation either version 3 of the license or at your option any later version
+        text option either version 3 of the license or at your option any later version
         name general (gnu )?general public licen[cs]e (version |v )?v?3( 0)? or( at your option)?( any)? (later|newer)( version)?
         name gpl (gnu )?gpl (version |v )?3( 0)? or( any)? (later|newer)( version)?
         name gplv3 gplv3 or (later|newer)
@@ -140,7 +140,7 @@ LICENSES = {
     """,
     "lgpl-2.1-or-later": r"""
         tag identifier lgpl 2 1 or later
-        text foundation either version 2 1 of the license or at your option any later version
+        text option either version 2 1 of the license or at your option any later version
         name lesser (gnu )?lesser general public licen[cs]e (version |v )?v?2 1 or( at your option)?( any)? (later|newer)( version)?
         name lgpl (gnu )?lgpl (version |v )?2 1 or( any)? (later|newer)( version)?
     """,
@@ -240,7 +240,7 @@ LICENSES = {
     """,
     "bsl-1.0": r"""
         tag identifier bsl 1 0
-        text boost permission is hereby granted free of charge to any person or organization obtaining a copy of the software
+        text hereby permission is hereby granted free of charge to any person or organization obtaining a copy of the software
         link boost boost org license 1 0
         name boost boost software licen[cs]e( (version |v )?1( 0)?)?
     """,
@@ -283,31 +283,31 @@ LICENSES = {
         tag identifier cc by sa 4 0
         link creativecommons creativecommons org licenses by sa 4 0
         name cc cc by sa 4 0
-        name sharealike (creative commons )?attribution share ?alike 4 0( international)?
+        name attribution (creative commons )?attribution share ?alike 4 0( international)?
     """,
     "cc-by-sa-3.0": r"""
         tag identifier cc by sa 3 0
         link creativecommons creativecommons org licenses by sa 3 0
         name cc cc by sa 3 0
-        name sharealike (creative commons )?attribution share ?alike 3 0( unported)?
+        name attribution (creative commons )?attribution share ?alike 3 0( unported)?
     """,
     "cc-by-nc-4.0": r"""
         tag identifier cc by nc 4 0
         link creativecommons creativecommons org licenses by nc 4 0
         name cc cc by nc 4 0
-        name noncommercial (creative commons )?attribution non ?commercial 4 0( international)?
+        name attribution (creative commons )?attribution non ?commercial 4 0( international)?
     """,
     "cc-by-nc-sa-4.0": r"""
         tag identifier cc by nc sa 4 0
         link creativecommons creativecommons org licenses by nc sa 4 0
         name cc cc by nc sa 4 0
-        name noncommercial (creative commons )?attribution non ?commercial share ?alike 4 0( international)?
+        name attribution (creative commons )?attribution non ?commercial share ?alike 4 0( international)?
     """,
     "cc-by-nc-nd-4.0": r"""
         tag identifier cc by nc nd 4 0
         link creativecommons creativecommons org licenses by nc nd 4 0
         name cc cc by nc nd 4 0
-        name noncommercial (creative commons )?attribution non ?commercial no ?deriv(ative)?s 4 0( international)?
+        name attribution (creative commons )?attribution non ?commercial no ?deriv(ative)?s 4 0( international)?
     """,
     "cc-by-nd-4.0": r"""
         tag identifier cc by nd 4 0
@@ -323,7 +323,7 @@ LICENSES = {
     "odbl-1.0": r"""
         tag identifier odbl 1 0
         link opendatacommons opendatacommons org licenses odbl
-        name database open data(base| commons open database) licen[cs]e
+        name open open data(base| commons open database) licen[cs]e
         name odbl odbl
     """,
     "odc-by-1.0": r"""
@@ -419,12 +419,12 @@ LICENSES = {
         name mulan mulan (permissive software license|psl) v?2
     """,
     "openrail": r"""
-        name openrail (bigscience |creativeml )?open ?rail( m)?( licen[cs]e)?
+        name openrail (bigscience |creativeml )?openrail( m)?( licen[cs]e)?
         name rail (bigscience|bigcode) rail( \S+){0,2} licen[cs]e
     """,
     "beerware": r"""
         tag identifier beerware
-        text beerware the beer ?ware licen[cs]e
+        text beerware the beerware licen[cs]e
     """,
     "public-domain": r"""
         text domain (released|placed|dedicated|is) (into|in|to) the public domain

@@ -118,8 +118,10 @@ def detect(docs: DataFrame, licenses: Mapping[str, str] = LICENSES, phrases: Map
     rows = pick(docs, "doc_id", "text").select("doc_id", F.monotonically_increasing_id().alias("row"), words.alias("words"))
     spaces = F.length("words") - F.length(F.replace("words", F.lit(" "), F.lit("")))
     table = [(s.keyword, s.regex) for s in every]
-    found = rows.select("row", "doc_id", F.when(F.col("words") == "", 0).otherwise(spaces + 1).cast("long").alias("n_words"),
-                        F.explode_outer(_found(F.split("words", " "), table)).alias("hit"))
+    # Counted before the detections become rows, which then carry no text.
+    counted = rows.select("row", "doc_id", F.when(F.col("words") == "", 0).otherwise(spaces + 1).cast("long").alias("n_words"),
+                          _found(F.split("words", " "), table).alias("hits"))
+    found = counted.select("row", "doc_id", "n_words", F.explode_outer("hits").alias("hit"))
     of = lambda values, kind: F.get(_texts([str(v) for v in values]), F.col("rule")).cast(kind)
     ranks = [0] * len(base) + [KINDS.index(s.kind) + 1 for s in rules]
     seen = found.select("row", "doc_id", "n_words", "hit.rule", "hit.start", F.col("hit.n_words").alias("length")).withColumn(
