@@ -236,7 +236,7 @@ def test_hard_negatives_against_brute_force(spark, blocks):
     rows = [(i, [round(rnd.gauss(0, 1) + (i % 3 == k), 2) for k in range(6)], rnd.choice([0, 1, 1, 2])) for i in range(201)]
     rows += [(50, rows[50][1], rows[50][2]), (None, rows[3][1], 1), (400, [0.0] * 6, 1), (401, None, 1), (402, [1.0, None], 1),
              (403, [float("nan")] * 6, 1), (404, [1.0] * 6, None), (450, [float("inf")] + [1.0] * 5, 2), (406, [2.0, 2.0], 1), (408, [], 2)]
-    rows += [(500 + i, [0.5, 0.25, 0, 0, 0, 0.125], i % 2) for i in range(60)]
+    rows += [(500 + i, [0.5, 0.25, 0.0, 0.0, 0.0, 0.125], i % 2) for i in range(60)]
     table = spark.createDataFrame([(*r, "x", 1) for r in rows],
                                   "vec_id long, embedding array<double>, label int, row string, r int").repartition(5)
     rules = negatives.NegativeRules(**blocks)
