@@ -57,15 +57,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    taken = mixing.mix(docs).where("copies > 0")
-    times = taken.groupBy("doc_id", "row_hash").agg(F.sum("copies").alias("times"))
-    rows = _columns(docs).withColumn("row_hash", F.xxhash64("doc_id", "source", "text"))
-    # Equal rows are one row with the sum of their copies.
-    rows = rows.dropDuplicates(["doc_id", "row_hash"]).withColumnRenamed("row_hash", "h").withColumnRenamed("doc_id", "d")
-    found = rows.join(times, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("row_hash")))
-    return found.drop("doc_id", "h", "row_hash").withColumnRenamed("d", "doc_id").select(
-        *COLUMNS, F.explode(F.sequence(F.lit(1).cast("long"), "times"))).select(*COLUMNS)
+    """Documents as often as the mix takes them. Rows are told apart by a key of the whole row; rows that are
+    equal in all columns are one row with the sum of their copies."""
+    rows = _keyed(docs).withColumn("row", F.concat_ws("-", F.hex("h1"), F.hex("h2"))).drop("h1", "h2")
+    taken = mixing.mix(rows.select(F.col("row").alias("doc_id"), "text", "source")).where("copies > 0")
+    times = taken.groupBy(F.col("doc_id").alias("row")).agg(F.sum("copies").alias("times"))
+    found = rows.dropDuplicates(["row"]).join(times, "row")
+    return found.select(*COLUMNS, F.explode(F.sequence(F.lit(1).cast("long"), "times"))).select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
