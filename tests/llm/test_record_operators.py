@@ -306,3 +306,41 @@ def test_near_duplicates_without_ids_or_with_shared_ids(spark):
     assert sorted(t for d, t in kept if d == 7) == sorted([two, three])
     assert sum(d is None and (t or "").startswith(one) for d, t in kept) == 1
     assert (5, four + " end") in kept and (None, "") in kept and (None, None) in kept and kept.count((3, "")) == 1
+
+
+PIPELINE_DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_mixed_keeps_rows_apart_that_differ_in_one_column(spark):
+    words = " ".join(f"w{i}" for i in range(40))
+    rows = [
+        (1, words, "de", "a", 3), (1, words, "en", "a", 3), (1, words, None, "a", 3), (1, words, "de", "a", 4), (1, words, "de", "a", None),
+        (2, None, None, "abc def", None), (2, "abc def", None, None, None), (None, words, "de", "a", 3), (3, "abc def", None, "a", 1),
+        (3, "abc def", None, "a", 1),
+    ]
+    docs = spark.createDataFrame(rows, PIPELINE_DOCS)
+    got = [tuple(r) for r in corpus_pipeline.mixed(spark, docs, "").collect()]
+    assert set(got) <= set(rows) and (2, None, None, "abc def", None) not in got  # a row without words is not taken
+    # The mix takes one and a half times all words of a source, a row twice at most.
+    assert max(got.count(r) for r in got) <= 4
+    for lang in ("de", "en", None):
+        assert (1, words, lang, "a", 3) in got
+    assert corpus_pipeline.mixed(spark, docs.limit(0), "").count() == 0
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_of_odd_rows(spark, name, tmp_path):
+    """NULL ids, texts and columns, repeated rows and an empty table pass every stage."""
+    text = " ".join(f"word{i % 60} and" for i in range(300))
+    rows = [(None, None, None, None, None), (None, None, None, None, None), (None, text, None, None, None), (7, "", "en", "s", 0)]
+    rows += [(i % 3, text if i % 2 else f"{text} {i}", "en", "s", i) for i in range(12)]
+    docs = spark.createDataFrame(rows, PIPELINE_DOCS)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    stage = dict(corpus_pipeline.STAGES)[name]
+    made = stage(spark, docs, str(tmp_path))
+    found = made.collect()
+    if name != corpus_pipeline.STAGES[-1][0]:
+        assert made.columns == list(corpus_pipeline.COLUMNS)
+        assert {tuple(r) for r in found} <= set(rows)
+    assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
