@@ -11,6 +11,7 @@ MODULES = (
     "company_queries",
     "salary_queries",
     "log_and_sink_queries",
+    "store_queries",
     "report_attendance",
     "report_labourers",
     "report_salary",

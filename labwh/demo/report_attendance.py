@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from labwh.demo.registry import half_up, query
 from labwh.demo.report_views import UNITS, VIEWS, audit
-from labwh.demo.roles import AS_OF_REPORTS, AS_OF_SWIPES, OUR_CITY, Roles, with_roles
+from labwh.demo.roles import AS_OF_REPORTS, AS_OF_SWIPES, OUR_CITY, Roles, details, with_roles
 from labwh.demo.tables import Tables
 from labwh.plans import attendance as plan
 from labwh.plans.labourers import resume_detail
@@ -236,7 +236,7 @@ def _platform_sql(unit: str) -> str:
 
 
 def _platform(t: Tables, unit: str) -> DataFrame:
-    return plan.platform_totals(resumes(t), AS_OF_REPORTS, unit).select(
+    return plan.platform_totals(details(t).resumes(), AS_OF_REPORTS, unit).select(
         "nativeplace_id", "project_city_code", "project_county_code", "labourer_total",
         "onjob_total", "offjob_total",
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from labwh.demo.registry import query, share_text
 from labwh.demo.report_views import VIEWS, plain
-from labwh.demo.roles import AS_OF_REPORTS, OUR_CITY, OUR_CITY_NAME, Roles, with_roles
+from labwh.demo.roles import AS_OF_REPORTS, OUR_CITY, OUR_CITY_NAME, Roles, details, with_roles
 from labwh.demo.tables import Tables
 from labwh.plans import companies as plan
 
@@ -233,7 +233,7 @@ TOTAL_PARTS = {
       FROM company_project_rows WHERE type_top = 1) x
 """, VIEWS))
 def report_company_totals(t: Tables) -> DataFrame:
-    rows = plan.company_totals(project_types(t), Roles(t).areas, AS_OF_REPORTS, OUR_CITY)
+    rows = plan.company_totals(details(t).company_project_types(), Roles(t).areas, AS_OF_REPORTS, OUR_CITY)
     return rows.drop("create_time")
 
 
@@ -268,5 +268,5 @@ HOME = "FROM company_project_rows r WHERE r.county_code = a.code AND r.type_top
     FROM areas a WHERE a.parent_code = '1002'
     """}))
 def report_company_area_totals(t: Tables) -> DataFrame:
-    rows = plan.company_area_totals(project_types(t), Roles(t).areas, AS_OF_REPORTS, OUR_CITY)
+    rows = plan.company_area_totals(details(t).company_project_types(), Roles(t).areas, AS_OF_REPORTS, OUR_CITY)
     return rows.drop("create_time")

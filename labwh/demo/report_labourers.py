@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from labwh.demo.registry import query, share_text
 from labwh.demo.report_attendance import resumes
 from labwh.demo.report_views import VIEWS, birthday_text, plain
-from labwh.demo.roles import AS_OF_REPORTS, OUR_CITY, Roles, with_roles
+from labwh.demo.roles import AS_OF_REPORTS, OUR_CITY, Roles, details, with_roles
 from labwh.demo.tables import Tables
 from labwh.plans import labourers as plan
 
@@ -73,7 +73,7 @@ ON_JOB = """(SELECT * FROM histories WHERE top = 1 AND is_job = 1 AND is_deleted
     WHERE a.parent_code = '1002' AND a.level = 3
 """, VIEWS))
 def report_onjob_share(t: Tables) -> DataFrame:
-    return plan.onjob_share(histories(t), Roles(t).areas, OUR_CITY)
+    return plan.onjob_share(details(t).labourer_history(), Roles(t).areas, OUR_CITY)
 
 
 @query(oracle=with_roles("""

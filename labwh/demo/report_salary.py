@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 
 from labwh.demo.registry import query, share_text
 from labwh.demo.report_views import VIEWS, audit, plain
-from labwh.demo.roles import AS_OF_REPORTS, OUR_CITY, Roles, with_roles
+from labwh.demo.roles import AS_OF_REPORTS, OUR_CITY, Roles, details, with_roles
 from labwh.demo.tables import Tables
 from labwh.plans import salary as plan
-from labwh.sources.sinks import staged
 
 
 @query(oracle=with_roles("""
@@ -129,7 +128,7 @@ def report_salary_area_totals(t: Tables) -> DataFrame:
           FROM (SELECT DISTINCT pid, project_condition FROM salaries WHERE status IN (1, 6)))
 """, VIEWS))
 def report_salary_snapshot(t: Tables) -> DataFrame:
-    return plain(plan.salary_snapshot(salaries(t), AS_OF_REPORTS).drop("create_time"))
+    return plain(plan.salary_snapshot(details(t).salary_batches(), AS_OF_REPORTS).drop("create_time"))
 
 
 def lines(t: Tables) -> DataFrame:
@@ -147,7 +146,7 @@ def lines(t: Tables) -> DataFrame:
 """, VIEWS))
 def report_salary_detail(t: Tables) -> DataFrame:
     return plain(
-        plan.salary_detail(staged(lines(t), "salary-lines")), "source_pid", "source_project_name", "source_project_condition", "source_cid",
+        plan.salary_detail(lines(t)), "source_pid", "source_project_name", "source_project_condition", "source_cid",
         "source_county_code", "pid", "project_name", "county_code", "county_name", "cid",
         "pro_company_name", "salary_cid", "salary_company_type", "salary_company_name", "year",
         "month", "year_month", "batch_no", "batch_status", "batch_amt", "id_card_no", "real_name",
@@ -185,7 +184,7 @@ LAST = "year = 2001 AND month = 5"
           FROM (SELECT DISTINCT source_pid, source_project_condition FROM salary_details))
 """, VIEWS))
 def report_salary_total(t: Tables) -> DataFrame:
-    return plain(plan.salary_total(lines(t), AS_OF_REPORTS))
+    return plain(plan.salary_total(details(t).salary_lines(), AS_OF_REPORTS))
 
 
 OWNERS = """(SELECT cid FROM projects WHERE status IN (3, 4, 5) AND is_deleted = 1
@@ -220,8 +219,7 @@ CUTOFF_VIEWS = {
 
 
 def metrics(t: Tables) -> DataFrame:
-    r = Roles(t)
-    return plan.monthly_metrics(r.projects, r.sub_projects, r.deposits, lines(t), AS_OF_REPORTS)
+    return details(t).metrics()
 
 
 @query(oracle=with_roles(METRICS_SQL, CUTOFF_VIEWS))

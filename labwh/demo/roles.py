@@ -15,6 +15,8 @@ import re
 from pyspark.sql import DataFrame
 
 from labwh.demo.tables import Tables
+from labwh.plans.details import Details
+from labwh.sources.staging import Run
 
 # Fixed values.
 OUR_CITY, OUR_CITY_NAME = "1002", "ASIA"
@@ -340,6 +342,13 @@ class Roles:
         return df
 
 
+def details(t: Tables) -> Details:
+    """The stored details of one query's run. They stay as long as the query's result may be read."""
+    if "shared_details" not in vars(t):
+        t.shared_details = Details(Run(t.spark, "details"), Roles(t), AS_OF_REPORTS, OUR_CITY)
+    return t.shared_details
+
+
 def with_roles(sql: str, views: dict[str, str] | None = None) -> str:
     """Oracle SQL preceded by the detail tables and views it names."""
     known = {**ROLES, **(views or {})}

@@ -2,6 +2,7 @@
 size say so; the others run no action."""
 
 from labwh.operators.attendance import active_by_window, pair_in_out, within_validity
+from labwh.operators.bitmaps import day_bitmaps, dense_ids, distinct_by_unit, merge_states
 from labwh.operators.common import keyed_join, null_safe_join
 from labwh.operators.dims import (
     in_any,
@@ -13,7 +14,7 @@ from labwh.operators.dims import (
     with_children,
 )
 from labwh.operators.flags import add_flags, add_measures, flag_exists, key_flags
-from labwh.operators.jsonlog import counts_by_field, extract_json, json_field, payload
+from labwh.operators.jsonlog import counts_by_field, extract_json, json_field, parsed, payload, variant_field
 from labwh.operators.keys import (
     dense_rank_within,
     latest_per_key,

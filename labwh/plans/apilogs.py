@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labwh.operators import counts_by_field, extract_json, json_field, payload
+from labwh.operators import counts_by_field, extract_json, parsed, payload, variant_field
 
 # Fixed values.
 METHOD, APP = "labourer.import", 1001
@@ -46,10 +46,12 @@ def failed_requests(logs: Sequence[DataFrame], method: str = METHOD, app: int =
     """Distinct failed import calls over several log tables."""
 
     def failed(log: DataFrame) -> DataFrame:
-        request, response = F.col("request_content"), F.col("response_content")
-        fields = {n: json_field(request, [f"$.dto.{n}"]) for n in ("method", "appid", "data")}
-        fields.update({n: json_field(response, [f"$.{n}"]) for n in ("code", "message")})
-        rows = log.where(F.col("api") == API).select(*[c.alias(n) for n, c in fields.items()])
+        rows = log.where(F.col("api") == API).select(
+            parsed(F.col("request_content")).alias("request"), parsed(F.col("response_content")).alias("response")
+        )
+        fields = {n: variant_field(F.col("request"), [f"$.dto.{n}"]) for n in ("method", "appid", "data")}
+        fields.update({n: variant_field(F.col("response"), [f"$.{n}"]) for n in ("code", "message")})
+        rows = rows.select(*[c.alias(n) for n, c in fields.items()])
         wanted = (F.col("method") == method) & (F.col("appid").try_cast("long") == app)
         return rows.where(wanted & (F.col("code").try_cast("long") != 0))
 

@@ -17,6 +17,7 @@ from labwh.operators import (
     latest_per_key,
     latest_values,
     lookup_levels,
+    numbered_rows,
     rank_by_ranges,
     scaffold,
     spread_join,
@@ -91,7 +92,8 @@ def labourer_history(
         "lid", "job_date", "current_city_code", "current_county_code", "current_county_name",
         "create_time", "worktype_no", "worktype_name", "is_job", "is_deleted",
     )
-    jobs = rank_by_ranges(jobs, ["lid"], order, "top")
+    stored = numbered_rows(jobs, "_row", "jobs")
+    jobs = rank_by_ranges(stored, ["lid"], order, "top", row="_row")
     jobs = lookup_levels(jobs, areas, {"area_county_name": ("current_county_code", COUNTY)})
     people = labourers.where(live()).select(
         "lid", "nation_id", "real_name", "id_card_no", "gender",
@@ -101,7 +103,7 @@ def labourer_history(
     )
     people = people.join(_arrears(arrears_amounts), "lid", "left")
     rows = spread_join(
-        people, jobs, ["lid"], "left", skewed="right", counted=employments, unique=["top"]
+        people, jobs, ["lid"], "left", skewed="right", counted=stored, unique=["top"]
     )
     return rows.withColumns(
         {
@@ -256,14 +258,14 @@ def resume_detail(
         "lid", F.col("source_pid").alias("pid"), "current_cid", "job_date", "job_end_date",
         "worktype_no", "worktype_name", "is_job",
     )
-    known_jobs = jobs
     jobs = jobs.join(site, "pid")
     jobs = add_names(jobs, companies, "current_cid", "cid", "company_name")
     order = [
         By("is_job", descending=True), By("job_date", descending=True), By("pid"), By("worktype_no"),
         By("current_cid"), By("job_end_date"),
     ]
-    jobs = rank_by_ranges(jobs, ["lid"], order, "lab_top")
+    stored = numbered_rows(jobs, "_row", "jobs")
+    jobs = rank_by_ranges(stored, ["lid"], order, "lab_top", row="_row")
     jobs = lookup_levels(jobs, areas, {"project_county_name": ("project_county_code", COUNTY)})
 
     bad = latest_values(
@@ -287,10 +289,8 @@ def resume_detail(
     )
     people = people.join(bad, "lid", "left").join(worked, "lid", "left")
     people = people.join(card, "id_card_no", "left")
-    # Only jobs on live projects are joined, so a worker's rows are counted after that join.
-    on_site = known_jobs.select("lid", "pid").join(site.select("pid"), "pid")
     rows = spread_join(
-        people, jobs.drop("current_cid"), ["lid"], "left", skewed="right", counted=on_site, unique=["lab_top"]
+        people, jobs.drop("current_cid"), ["lid"], "left", skewed="right", counted=stored, unique=["lab_top"]
     )
     is_job = F.when(F.col("is_job").isNull(), JOB_UNKNOWN).when(F.col("is_job"), 1).otherwise(0)
     return rows.withColumns(

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labwh.operators.common import require
-from labwh.operators.merge import merge_latest, upsert_rows
+from labwh.operators.merge import check_unique, merge_latest, upsert_rows
 from labwh.sources.staging import fresh_path, shared_dir, staged
 
 DYNAMIC_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
@@ -105,22 +105,15 @@ def publish_both(
     rows.drop(*drop).write.mode("overwrite").parquet(current)
 
 
-def check_unique(source: DataFrame, keys: Sequence[str]) -> None:
-    """Raises when a key occurs twice. Counts are combined before the shuffle and a single
-    offending key is fetched."""
-    twice = source.groupBy(*keys).count().where("count > 1").limit(1).collect()
-    if twice:
-        raise ValueError(f"duplicate key in the rows to merge: {twice[0].asDict()}")
-
-
 def upsert(
     target_path: str, source: DataFrame, keys: Sequence[str], new_path: str
 ) -> DataFrame:
     """Inserts new keys and fully replaces existing ones; the result is written to
     ``new_path`` and returned. The caller points readers at it once this returns; a crash
     leaves the old table as it was."""
-    check_unique(source, keys)
     spark = source.sparkSession
+    source = staged(source, "upsert-source")  # read several times from here on
+    check_unique(source, keys)
     target = spark.read.parquet(target_path)
     upsert_rows(target, source, keys).write.mode("errorifexists").parquet(new_path)
     return spark.read.parquet(new_path)
@@ -136,8 +129,9 @@ def upsert_partitions(
     """
     if not set(cols) <= set(keys):
         raise ValueError("partition columns must be part of the key")
-    check_unique(source, keys)
     spark = source.sparkSession
+    source = staged(source, "upsert-source")  # read several times from here on
+    check_unique(source, keys)
     old = spark.read.schema(source.schema).parquet(path).where(same_partitions(source, cols))
     merged = staged(upsert_rows(old.select(*source.columns), source, keys), "upsert")
     publish_partitions(merged, path, cols)
@@ -147,8 +141,10 @@ def merge_stored(
     stored_path: str, fresh: DataFrame, keys: Sequence[str], new_path: str
 ) -> DataFrame:
     """Stored report with fresh values on top, written to ``new_path`` and returned."""
+    fresh = staged(fresh, "merge-fresh")
     check_unique(fresh, keys)
     stored = fresh.sparkSession.read.parquet(stored_path)
+    check_unique(stored, keys)
     merge_latest(stored, fresh, keys).write.mode("errorifexists").parquet(new_path)
     return fresh.sparkSession.read.parquet(new_path)
 
