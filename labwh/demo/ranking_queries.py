@@ -73,17 +73,8 @@ def customer_order_history_rank(t: Tables) -> DataFrame:
 """)
 def bank_rank(t: Tables) -> DataFrame:
     """League table of banks for one year; ranges of it are ranked in parallel."""
-    year = t.lineitem.where(in_range("l_shipdate", (dt.date(1998, 1, 1), dt.date(1999, 1, 1))))
-    per_project = year.groupBy("l_suppkey", "l_orderkey").agg(
-        F.sum(as_money("l_extendedprice")).alias("amt"), F.count("*").alias("n")
-    )
-    banks = per_project.groupBy("l_suppkey").agg(
-        F.sum("amt").alias("real_amt"),
-        F.sum("n").alias("real_number"),
-        F.count("*").alias("project_total"),
-    )
     order = [By("real_amt", True), By("real_number", True), By("project_total", True), By("l_suppkey")]
-    ranked = rank_by_ranges(banks, [], order, "rank")
+    ranked = rank_by_ranges(bank_sums(t), [], order, "rank")
     return ranked.select(
         F.col("l_suppkey").alias("bank"),
         F.col("real_amt").cast("double").alias("real_amt"),
@@ -93,6 +84,19 @@ def bank_rank(t: Tables) -> DataFrame:
     )
 
 
+def bank_sums(t: Tables) -> DataFrame:
+    """Amount, people and projects per bank in one year."""
+    year = t.lineitem.where(in_range("l_shipdate", (dt.date(1998, 1, 1), dt.date(1999, 1, 1))))
+    per_project = year.groupBy("l_suppkey", "l_orderkey").agg(
+        F.sum(as_money("l_extendedprice")).alias("amt"), F.count("*").alias("n")
+    )
+    return per_project.groupBy("l_suppkey").agg(
+        F.sum("amt").alias("real_amt"),
+        F.sum("n").alias("real_number"),
+        F.count("*").alias("project_total"),
+    )
+
+
 @query(oracle=f"""
     SELECT l_orderkey, l_suppkey, CAST(sum({money('l_extendedprice')}) AS DOUBLE) AS amt_total,
            count(*) AS person_total,

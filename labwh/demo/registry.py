@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -12,8 +13,11 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(oracle: str | None = None):
-    """Registers a query under its function name, with the SQL it must agree with."""
+def query(oracle: str | None = None, created: dt.date | None = None):
+    """Registers a query under its function name, with the SQL it must agree with. ``created`` is the run date that
+    the report puts into ``create_time``; the SQL need not name it."""
+    if oracle is not None and created is not None:
+        oracle = f"SELECT *, DATE '{created}' AS create_time FROM ({oracle.strip()})"
 
     def add(fn: Callable[[Tables], DataFrame]):
         name = fn.__name__

@@ -170,6 +170,7 @@ def _device_totals_sql(unit: str) -> str:
     inside = UNITS["swipes"][unit]
     here = "FROM device_details e WHERE e.county_code = a.code"
     key = {"day": "'20240119'", "month": "'202401'", "year": "'2024'"}[unit]
+    month, day, code = {"day": (1, 19, 1), "month": (1, "NULL", 2), "year": ("NULL", "NULL", 3)}[unit]
     live = "e.isdelete = 'N' AND e.last_modify_time <= DATE '2024-01-19'"
     makers = ", ".join(
         f"(SELECT count(*) {here} AND {live} AND e.dev_manufacturer = '{m}') AS {n}_sn_count"
@@ -182,14 +183,15 @@ def _device_totals_sql(unit: str) -> str:
       (SELECT count(DISTINCT e.sn) {here} AND e.isdelete = 'N' AND {inside.format(ts='e.create_time')})
         AS sn_install_count,
       (SELECT count(DISTINCT e.sn) {here} AND e.isdelete = 'Y' AND {inside.format(ts='e.last_modify_time')})
-        AS sn_dismantle_count
+        AS sn_dismantle_count,
+      CAST(2024 AS INTEGER) AS year_time, CAST({month} AS INTEGER) AS month_time, CAST({day} AS INTEGER) AS day_time,
+      DATE '2024-01-19' AS process_time, CAST({code} AS INTEGER) AS type
     FROM areas a WHERE a.parent_code = '1002'
     """
 
 
 def _device_totals(t: Tables, unit: str) -> DataFrame:
-    rows = plan.device_totals(device_details(t), Roles(t).areas, AS_OF_SWIPES, unit, OUR_CITY)
-    return rows.drop("year_time", "month_time", "day_time", "process_time", "type")
+    return plan.device_totals(device_details(t), Roles(t).areas, AS_OF_SWIPES, unit, OUR_CITY)
 
 
 @query(oracle=with_roles(_device_totals_sql("day"), VIEWS))
@@ -215,11 +217,29 @@ def resumes(t: Tables) -> DataFrame:
     )
 
 
+def _calendar(unit: str, prefix: str = "") -> str:
+    """Oracle SQL of the run day's parts and the unit's code."""
+    code = {"day": 1, "month": 2, "year": 3}[unit]
+    parts = {"year": 2001, "month": 6, "day": 14}
+    return ", ".join(f"CAST({v} AS INTEGER) AS {prefix}{n}" for n, v in parts.items()) + f", CAST({code} AS INTEGER) AS type"
+
+
+def _padded(value: str) -> str:
+    """Oracle SQL of a text key's part: two characters at least."""
+    return f"CASE WHEN length({value}) < 2 THEN lpad({value}, 2, '0') ELSE {value} END"
+
+
 def _platform_sql(unit: str) -> str:
     inside = UNITS["reports"][unit].format(ts="job_end_date")
     by = "nativeplace_id, project_city_code, project_county_code"
     kind = "LEFT" if unit == "year" else "FULL OUTER"
+    key = {"day": "20010614", "month": "200106", "year": "2001"}[unit]
+    city, county = (_padded(f"coalesce(CAST(project_{x}_code AS VARCHAR), '0')") for x in ("city", "county"))
+    origin = _padded("coalesce(nullif(CAST(nativeplace_id AS VARCHAR), ''), '99')")
     return f"""
+    SELECT *, '{key}' || {city} || {county} || {origin} AS id,
+      {_calendar(unit, "date_")}, DATE '2001-06-15' AS process_time
+    FROM (
     SELECT coalesce(a.nativeplace_id, b.nativeplace_id) AS nativeplace_id,
       coalesce(a.project_city_code, b.project_city_code) AS project_city_code,
       coalesce(a.project_county_code, b.project_county_code) AS project_county_code,
@@ -231,15 +251,12 @@ def _platform_sql(unit: str) -> str:
     {kind} JOIN (SELECT {by}, count(DISTINCT id_card_no) AS offjob_total
           FROM resume_details WHERE is_job = 0 AND {inside} GROUP BY ALL) b
       ON a.nativeplace_id = b.nativeplace_id AND a.project_city_code = b.project_city_code
-     AND a.project_county_code = b.project_county_code
+     AND a.project_county_code = b.project_county_code)
     """
 
 
 def _platform(t: Tables, unit: str) -> DataFrame:
-    return plan.platform_totals(details(t).resumes(), AS_OF_REPORTS, unit).select(
-        "nativeplace_id", "project_city_code", "project_county_code", "labourer_total",
-        "onjob_total", "offjob_total",
-    )
+    return plan.platform_totals(details(t).resumes(), AS_OF_REPORTS, unit)
 
 
 @query(oracle=with_roles(_platform_sql("day"), VIEWS))
@@ -260,19 +277,17 @@ def report_platform_totals_year(t: Tables) -> DataFrame:
 def _project_totals_sql(unit: str) -> str:
     key = {"day": "'20010614'", "month": "'200106'", "year": "'2001'"}[unit]
     return f"""
-    SELECT CAST(pid AS VARCHAR) || {key} AS id, pid, project_name, project_county_code,
+    SELECT CAST(pid AS VARCHAR) || {key} AS id, pid, project_name, project_province_code, project_city_code, project_county_code,
       count(id_card_no) AS labourer_total, count(*) FILTER (WHERE is_job = 1) AS on_job_count,
       count(*) FILTER (WHERE is_job = 0 AND {UNITS["reports"][unit].format(ts='job_end_date')})
-        AS off_job_count
-    FROM resume_details WHERE pid IS NOT NULL GROUP BY pid, project_name, project_county_code
+        AS off_job_count, {_calendar(unit)}, DATE '2001-06-15' AS process_time
+    FROM resume_details WHERE pid IS NOT NULL
+    GROUP BY pid, project_name, project_province_code, project_city_code, project_county_code
     """
 
 
 def _project_totals(t: Tables, unit: str) -> DataFrame:
-    return plan.project_totals(resumes(t), AS_OF_REPORTS, unit).select(
-        "id", "pid", "project_name", "project_county_code", "labourer_total", "on_job_count",
-        "off_job_count",
-    )
+    return plan.project_totals(resumes(t), AS_OF_REPORTS, unit)
 
 
 @query(oracle=with_roles(_project_totals_sql("day"), VIEWS))

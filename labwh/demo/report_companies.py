@@ -102,13 +102,13 @@ LOCALITY = """count(*) FILTER (WHERE {f} = 1) AS {p}local_count,
       FROM company_name_rows WHERE project_city_name = 'ASIA' AND project_county_name IS NOT NULL
       GROUP BY 1) y ON y.project_county_name = a.name
     WHERE a.parent_code = '1002' AND a.is_deleted = 1
-""", COMPANY_VIEWS))
+""", COMPANY_VIEWS), created=AS_OF_REPORTS)
 def report_company_counts(t: Tables) -> DataFrame:
     r = Roles(t)
     rows = plan.company_counts(
         r.old_companies, named(t), r.areas, AS_OF_REPORTS, OUR_CITY, OUR_CITY_NAME
     )
-    return rows.drop("create_time")
+    return rows
 
 
 DAY_VIEWS = {
@@ -163,9 +163,9 @@ def report_company_days(t: Tables) -> DataFrame:
       SELECT county_code || '20010615' AS pkid, county_code, county_name,
         {', '.join(f'CAST(sum({c}) AS BIGINT) AS {c}' for c in plan.DAY_COUNTS if c != 'company_build_count')}
       FROM company_day_rows GROUP BY county_code, county_name)
-""", DAY_VIEWS))
+""", DAY_VIEWS), created=AS_OF_REPORTS)
 def report_company_totals_from_days(t: Tables) -> DataFrame:
-    return plan.company_totals_from_days(company_day_rows(t), AS_OF_REPORTS).drop("create_time")
+    return plan.company_totals_from_days(company_day_rows(t), AS_OF_REPORTS)
 
 
 @query(oracle=with_roles("""
@@ -188,14 +188,14 @@ def report_company_totals_from_days(t: Tables) -> DataFrame:
                QUALIFY row_number() OVER (PARTITION BY cid
                  ORDER BY create_time DESC, status DESC, type DESC) = 1) d ON d.cid = c.cid
     WHERE c.is_deleted = 1 AND c.status = 3
-"""))
+"""), created=AS_OF_REPORTS)
 def report_company_detail(t: Tables) -> DataFrame:
     r = Roles(t)
     rows = plan.company_detail(
         r.companies, r.deposits, r.batches, r.special_accounts, r.projects, r.sub_projects,
         AS_OF_REPORTS,
     )
-    return plain(rows.drop("create_time"))
+    return plain(rows)
 
 
 def project_types(t: Tables) -> DataFrame:
@@ -231,10 +231,10 @@ TOTAL_PARTS = {
         count(DISTINCT cid) FILTER (WHERE county_code NOT IN {OURS} AND county_code <> '')
           AS nolocal_company_total
       FROM company_project_rows WHERE type_top = 1) x
-""", VIEWS))
+""", VIEWS), created=AS_OF_REPORTS)
 def report_company_totals(t: Tables) -> DataFrame:
     rows = plan.company_totals(details(t).company_project_types(), Roles(t).areas, AS_OF_REPORTS, OUR_CITY)
-    return rows.drop("create_time")
+    return rows
 
 
 HERE = "FROM company_project_rows r WHERE r.project_county_code = a.code"
@@ -266,7 +266,7 @@ HOME = "FROM company_project_rows r WHERE r.county_code = a.code AND r.type_top
       (SELECT count(DISTINCT cid) {HERE} AND (r.county_code IS NULL OR r.county_code = ''))
         AS other_company_total
     FROM areas a WHERE a.parent_code = '1002'
-    """}))
+    """}), created=AS_OF_REPORTS)
 def report_company_area_totals(t: Tables) -> DataFrame:
     rows = plan.company_area_totals(details(t).company_project_types(), Roles(t).areas, AS_OF_REPORTS, OUR_CITY)
-    return rows.drop("create_time")
+    return rows

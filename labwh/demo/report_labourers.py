@@ -113,9 +113,9 @@ BANDS = ", ".join(
       count(*) FILTER (WHERE gender = '男') AS man_total,
       count(*) FILTER (WHERE gender = '女') AS woman_total, {BANDS}
     FROM histories WHERE top = 1 AND real_grade <> 99
-""", VIEWS))
+""", VIEWS), created=AS_OF_REPORTS)
 def report_labourer_totals(t: Tables) -> DataFrame:
-    return plan.labourer_totals(histories(t), AS_OF_REPORTS).drop("create_time")
+    return plan.labourer_totals(histories(t), AS_OF_REPORTS)
 
 
 @query(oracle=with_roles("""
@@ -125,21 +125,16 @@ def report_labourer_totals(t: Tables) -> DataFrame:
     JOIN arrears_amounts m ON m.arrears_salary_id = k.id AND m.is_deleted = 1
     WHERE k.status IN (3, 4) AND k.is_deleted = 1 AND k.pid <> 0
     GROUP BY k.id, 1, 2, 3, 4, 5, 6, 7, 8
-"""))
+"""), created=AS_OF_REPORTS)
 def report_arrears_detail(t: Tables) -> DataFrame:
     r = Roles(t)
     rows = plan.arrears_detail(r.arrears_cases, r.arrears_amounts, r.projects, AS_OF_REPORTS)
-    return plain(rows.drop("create_time"))
+    return plain(rows)
 
 
 @query(oracle=with_roles("SELECT * FROM resume_details", VIEWS))
 def report_resume_detail(t: Tables) -> DataFrame:
-    return resumes(t).select(
-        "lid", "real_name", "id_card_no", "gender", "birthday", "age", "real_grade",
-        "nativeplace_id", "job_date", "job_end_date", "pid", "project_name", "project_type",
-        "project_city_code", "project_county_code", "project_county_name", "company_name",
-        "worktype_no", "lab_top", "is_job", "bad_grade", "bank_no", "bank_name", "project_count",
-    )
+    return resumes(t)
 
 
 @query(oracle=with_roles("""

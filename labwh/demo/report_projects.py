@@ -159,13 +159,13 @@ PROJECT_SUMS = f"""count(pid) AS project_total, {STATES}, CAST(sum(billboards) A
          (SELECT count(*) FILTER (WHERE safeguard_status = 1) AS is_ompanys_safeguard,
             count(*) FILTER (WHERE safeguard_status = 0) AS no_ompanys_safeguard
           FROM (SELECT DISTINCT cid, assure_amt, safeguard_status FROM project_days)) y
-""", VIEWS))
+""", VIEWS), created=AS_OF_REPORTS)
 def report_city_snapshot_old(t: Tables) -> DataFrame:
     r = Roles(t)
     row = plan.city_snapshot_old(
         days(t), r.labourers, r.companies, AS_OF_REPORTS, OUR_CITY, OUR_CITY_NAME
     )
-    return plain(row.drop("create_time"))
+    return plain(row)
 
 
 GLOBALS = """
@@ -183,14 +183,14 @@ GLOBALS = """
     SELECT 'ASIA' AS city_name, x.*, {GLOBALS}
     FROM (SELECT {PROJECT_SUMS} FROM project_days
           WHERE {OURS} AND response_code <> '' AND create_user <> '') x
-""", VIEWS))
+""", VIEWS), created=AS_OF_REPORTS)
 def report_city_snapshot(t: Tables) -> DataFrame:
     r = Roles(t)
     row = plan.city_snapshot(
         days(t), r.deposits, r.labourers, r.companies, r.special_accounts, AS_OF_REPORTS, OUR_CITY,
         OUR_CITY_NAME,
     )
-    return plain(row.drop("create_time"))
+    return plain(row)
 
 
 def wide(t: Tables) -> DataFrame:
@@ -314,10 +314,10 @@ def report_project_list(t: Tables) -> DataFrame:
         CAST(sum(coalesce((SELECT sum(b.real_amt) FROM batches b WHERE b.source_pid = p.pid
           AND b.status = 1 AND b.type = 1), 0)) AS DOUBLE) AS real_amt
       FROM projects p WHERE {OURS} GROUP BY p.county_code) x
-"""))
+"""), created=AS_OF_REPORTS)
 def report_county_snapshot(t: Tables) -> DataFrame:
     r = Roles(t)
     rows = plan.county_snapshot(
         wide(t), r.deposits, r.labourers, r.companies, r.special_accounts, AS_OF_REPORTS, OUR_CITY
     )
-    return plain(rows.drop("create_time"))
+    return plain(rows)

@@ -42,7 +42,7 @@ def salaries(t: Tables) -> DataFrame:
     FROM salaries
 """, VIEWS))
 def report_salary_batches(t: Tables) -> DataFrame:
-    return plain(salaries(t).drop("year_month", "is_deleted", "province_code", "city_code"))
+    return plain(salaries(t))
 
 
 @query(oracle=with_roles("""
@@ -126,9 +126,9 @@ def report_salary_area_totals(t: Tables) -> DataFrame:
          (SELECT count(pid) AS n, count(*) FILTER (WHERE project_condition = 1) AS b,
             count(*) FILTER (WHERE project_condition = 3) AS d
           FROM (SELECT DISTINCT pid, project_condition FROM salaries WHERE status IN (1, 6)))
-""", VIEWS))
+""", VIEWS), created=AS_OF_REPORTS)
 def report_salary_snapshot(t: Tables) -> DataFrame:
-    return plain(plan.salary_snapshot(details(t).salary_batches(), AS_OF_REPORTS).drop("create_time"))
+    return plain(plan.salary_snapshot(details(t).salary_batches(), AS_OF_REPORTS))
 
 
 def lines(t: Tables) -> DataFrame:
@@ -222,9 +222,9 @@ def metrics(t: Tables) -> DataFrame:
     return details(t).metrics()
 
 
-@query(oracle=with_roles(METRICS_SQL, CUTOFF_VIEWS))
+@query(oracle=with_roles(f"SELECT *, year AS date_year, month AS date_month FROM ({METRICS_SQL})", CUTOFF_VIEWS))
 def report_monthly_metrics(t: Tables) -> DataFrame:
-    return metrics(t).select("year", "month", "type", "amount")
+    return metrics(t)
 
 
 @query(oracle=with_roles(f"""

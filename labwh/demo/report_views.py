@@ -68,9 +68,10 @@ VIEWS = {
     """,
     "resume_details": f"""
     SELECT l.lid, l.real_name, l.id_card_no, l.gender, {birthday_text('l.birthday')} AS birthday,
-      CAST(2001 - year(l.birthday) AS INTEGER) AS age, l.real_grade, l.nativeplace_id,
-      j.job_date, j.job_end_date, j.source_pid AS pid, j.project_name, j.project_type,
-      j.project_city_code, j.project_county_code, a.name AS project_county_name, c.company_name,
+      CAST(2001 - year(l.birthday) AS INTEGER) AS age, l.real_grade, l.nativeplace_id, l.nation_id, l.married,
+      l.mobilephone, l.province_code, l.city_code, l.county_code, l.culture_level_type, l.politics_type, l.source_type,
+      j.worktype_name, j.job_date, j.job_end_date, j.source_pid AS pid, j.project_name, j.project_type,
+      j.project_province_code, j.project_city_code, j.project_county_code, a.name AS project_county_name, c.company_name,
       j.worktype_no, coalesce(j.lab_top, 1) AS lab_top,
       CASE WHEN j.is_job THEN 1 WHEN j.is_job IS NULL THEN 99 ELSE 0 END AS is_job,
       coalesce(b.bad_grade, 0) AS bad_grade, k.bank_no, k.bank_name,
@@ -78,7 +79,7 @@ VIEWS = {
        WHERE i.lid = l.lid AND i.is_deleted = 1) AS project_count
     FROM labourers l
     LEFT JOIN (
-      SELECT e.*, p.project_name, p.project_type, p.city_code AS project_city_code,
+      SELECT e.*, p.project_name, p.project_type, p.province_code AS project_province_code, p.city_code AS project_city_code,
         p.county_code AS project_county_code,
         row_number() OVER (PARTITION BY e.lid ORDER BY e.is_job DESC NULLS LAST, e.job_date DESC NULLS LAST,
           p.pid, e.worktype_no, e.current_cid, e.job_end_date) AS lab_top
@@ -115,8 +116,8 @@ VIEWS = {
     "salaries": """
     SELECT b.batch_no, b.cid, b.source_pid, b.pid, b.bkid, b.year, b.month, b.real_number, b.real_amt,
       b.status, b.type, c.company_name, c.company_type, c.is_location, k.bank_name, p.project_name,
-      p.project_condition, p.status AS project_status, p.county_code, a1.name AS province_name,
-      a2.name AS city_name, a3.name AS county_name,
+      p.project_condition, p.status AS project_status, p.county_code, b.year_month, p.is_deleted,
+      p.province_code, p.city_code, a1.name AS province_name, a2.name AS city_name, a3.name AS county_name,
       s.person_sum, s.ss_real_amt
     FROM batches b
     JOIN (SELECT pid AS source_pid, pid FROM projects UNION

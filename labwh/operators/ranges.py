@@ -106,7 +106,8 @@ def rank_by_ranges(
     The rows are stored once. A sample of them gives the bounds that cut each large key into ranges of about
     equal size; a range is numbered by its own task and starts after the counts of the ranges before it.
     The number of a row breaks ties, so rows that are equal in all order columns are cut as well. The
-    rows are shuffled once, by key and range; bounds and counts are as many as there are ranges.
+    rows are shuffled once, by key and range; bounds and counts are as many as there are ranges, four per
+    shuffle partition, and are broadcast.
 
     ``row`` names a unique column of a table that is stored already (:func:`numbered_rows`).
     """
@@ -121,7 +122,8 @@ def rank_by_ranges(
     bounds, cell, n, before = (fresh_name(df, x) for x in ("bounds", "cell", "n", "before"))
     found = range_bounds(df, keys, order, bounds, ranges, df.count())
     if keys:
-        cut = null_safe_join(df, found, keys, "left")
+        # At most a bound per range, so all of them go to every task; the rows are not shuffled for it.
+        cut = null_safe_join(df, F.broadcast(found), keys, "left")
     else:
         cut = attach_totals(df, found.agg(F.max(bounds).alias(bounds)))
     celled = cut.withColumn(cell, range_of(F.col(bounds), order, ranges))
@@ -129,7 +131,7 @@ def rank_by_ranges(
     counts = celled.where(F.col(bounds).isNotNull()).groupBy(*at).agg(F.count("*").alias(n))
     earlier = Window.partitionBy(*keys).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*at, F.sum(n).over(earlier).alias(before))
-    placed = null_safe_join(celled.drop(bounds), starts, at, "left")
+    placed = null_safe_join(celled.drop(bounds), F.broadcast(starts), at, "left")
     w = Window.partitionBy(*at).orderBy(*[by.sort for by in order])
     rank = F.row_number().over(w) + F.coalesce(F.col(before), F.lit(0).cast("long"))
     return placed.withColumn(name, rank).select(*columns, name)

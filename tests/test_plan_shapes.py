@@ -5,11 +5,11 @@ import pathlib
 import pytest
 from pyspark.sql import functions as F
 
-from labwh.demo import all_queries
+from labwh.demo import all_queries, ranking_queries
 from labwh.demo.report_attendance import AS_OF_SWIPES
 from labwh.demo.roles import Roles
 from labwh.demo.tables import Tables
-from labwh.plans import attendance
+from labwh.plans import apilogs, attendance
 from tests.helpers import plan_text
 
 FOLDER = "/root/testdata/sf0.001"
@@ -49,7 +49,6 @@ def test_scans(spark, name, table, count):
         ("incremental_scan", "ts"),
         ("swipe_month_distinct", "ts"),
         ("swipes_of_day", "ts"),
-        ("bank_rank", "l_shipdate"),
         ("project_month_income", "o_orderdate"),
         ("fee_share_last_month", "o_orderdate"),
     ],
@@ -85,3 +84,28 @@ def test_project_attendance_opens_two_months_only(spark, tmp_path):
     assert scanned and all("PartitionFilters: []" not in x and "date_month" in x.split("PartitionFilters")[1] for x in scanned)
     whole = attendance.project_attendance(r.swipes, r.devices, r.projects, AS_OF_SWIPES)
     assert out.count() == whole.count() > 0
+
+
+def test_time_filter_reaches_the_scan_of_a_stored_input(spark):
+    # A ranking stores its input first, so the filter is in the plan of that input.
+    text = plan_text(ranking_queries.bank_sums(Tables(spark, FOLDER)))
+    assert any("l_shipdate" in x.split("PushedFilters: [")[1].split("]")[0] for x in text.splitlines() if "PushedFilters: [" in x)
+
+
+def test_validity_is_one_scan_and_one_shuffle_of_the_stored_swipes(spark):
+    text = plan(spark, "swipe_in_validity")
+    assert scans(text, "events") == 0 and text.count("FileScan") == 2 and "Join" not in text
+
+
+@pytest.mark.parametrize(
+    "name, table",
+    [("report_salary_total", "orders"), ("report_monthly_metrics", "lineitem"), ("report_platform_totals_year", "lineitem"),
+     ("report_onjob_share", "lineitem"), ("report_company_area_totals", "orders")],
+)
+def test_shared_details_are_read_instead_of_made_again(spark, name, table):
+    assert scans(plan(spark, name), table) == 0
+
+
+def test_json_text_is_parsed_once_per_row(spark):
+    text = plan_text(apilogs.api_calls(Roles(Tables(spark, FOLDER)).api_log))
+    assert text.lower().count("parsejson") == 1 and "get_json_object" not in text

@@ -79,6 +79,8 @@ def test_ranking_reads_its_input_once_and_shuffles_rows_once(spark):
     source = spark.range(1000).selectExpr("id % 3 AS k", "id AS v", "uuid() AS secret")
     plan = plan_text(rank_by_ranges(source, ["k"], [By("v")], "r"))
     assert "uuid" not in plan and "Range (" not in plan  # only the stored rows are read
+    # One shuffle of rows: the other exchanges carry the sample, its bounds, and a count per range.
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
     stored = numbered_rows(source, "_n", "given")
     ranked = rank_by_ranges(stored, ["k"], [By("v")], "r", row="_n")
     assert "_n" not in ranked.columns and ranked.count() == 1000
