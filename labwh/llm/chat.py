@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labwh.llm.common import pick
@@ -75,11 +75,10 @@ def unescape(text: Column, control: tuple[str, ...]) -> Column:
 def segments(turns: Column, template: ChatTemplate) -> Column:
     """Segments (text, loss) of sorted turns: three for each turn, the loss flag on the text of the
     trained roles only."""
-    names = template.control + (template.heading,)
     part = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
     return F.flatten(F.transform(turns, lambda t: F.array(
-        part(F.concat(F.lit(template.opening), escape(t["role"], names), F.lit(template.heading)), F.lit(False)),
-        part(escape(t["text"], template.control), t["role"].isin(*template.loss_roles)),
+        part(t["head"], F.lit(False)),
+        part(t["body"], t["loss"]),
         part(F.lit(template.closing + template.separator), F.lit(False)),
     )))
 
@@ -95,22 +94,42 @@ def run_machine(roles: Column, template: ChatTemplate) -> Column:
 
 
 def format_conversations(rows: DataFrame, template: ChatTemplate = ChatTemplate()) -> DataFrame:
-    """conv_id, segments (text, loss), formatted, final_state and valid: one row per conversation.
+    """conv_id, segments (text, loss), formatted, loss_spans, final_state and valid: one row per conversation.
 
-    Rows are taken by turn; equal turns by role and text, NULL turns first. NULL role or text is
-    empty. Rows with NULL conv_id are one conversation. Invalid turn orders are formatted as well
-    and marked. Repeated rows are repeated turns. Extra columns are dropped.
+    ``loss_spans`` is the loss mask of ``formatted``: start and length, in bytes of UTF-8, of each segment with
+    the loss flag, in order. Rows are taken by turn; equal turns by role and text, NULL turns first. NULL role or
+    text is empty. Rows with NULL conv_id are one conversation. Invalid turn orders are formatted as well
+    and marked. Repeated rows are repeated turns. Texts of any length are taken whole; a conversation is
+    one row, so it has to fit one. An empty table gives no rows. Extra columns are dropped.
     """
+    names = template.control + (template.heading,)
     t = pick(rows, "conv_id", "turn", "role", "text").select(
-        "conv_id", F.struct("turn", F.coalesce("role", F.lit("")).alias("role"),
-                            F.coalesce("text", F.lit("")).alias("text")).alias("row"))
-    t = t.groupBy("conv_id").agg(F.sort_array(F.collect_list("row")).alias("turns"))
-    t = t.select("conv_id", segments(F.col("turns"), template).alias("segments"),
+        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    t = t.select(
+        "*", F.concat(F.lit(template.opening), escape(F.col("role"), names), F.lit(template.heading)).alias("head"),
+        escape(F.col("text"), template.control).alias("body"), F.col("role").isin(*template.loss_roles).alias("loss"))
+    tail = len((template.closing + template.separator).encode())
+    size = F.octet_length("head") + F.octet_length("body") + tail
+    before = Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    t = t.withColumn("start", F.coalesce(F.sum(size).over(before), F.lit(0).cast("long")))
+    turns = F.sort_array(F.collect_list(F.struct("start", "role", "head", "body", "loss")))
+    t = t.groupBy("conv_id").agg(turns.alias("turns"))
+    spans = F.transform(F.filter("turns", lambda x: x["loss"]), lambda x: F.struct(
+        (x["start"] + F.octet_length(x["head"])).alias("start"), F.octet_length(x["body"]).cast("long").alias("length")))
+    t = t.select("conv_id", segments(F.col("turns"), template).alias("segments"), spans.alias("loss_spans"),
                  run_machine(F.col("turns.role"), template).alias("final_state"))
-    return t.select("conv_id", "segments", F.array_join("segments.text", "").alias("formatted"), "final_state",
+    return t.select("conv_id", "segments", F.array_join("segments.text", "").alias("formatted"), "loss_spans", "final_state",
                     F.col("final_state").isin(*template.final).alias("valid"))
 
 
+def under_mask(formatted: Column, spans: Column, template: ChatTemplate = ChatTemplate()) -> Column:
+    """All text under the loss mask, unescaped: ``formatted`` is cut at the spans, whatever roles its turns have."""
+    raw = formatted.cast("binary")
+    cut = F.transform(spans, lambda s: unescape(
+        F.substr(raw, (s["start"] + 1).cast("int"), s["length"].cast("int")).cast("string"), template.control))
+    return F.array_join(cut, "")
+
+
 def parse(formatted: DataFrame, template: ChatTemplate = ChatTemplate()) -> DataFrame:
     """Reads ``formatted`` back: conv_id and turns (role, text, loss)."""
     names = template.control + (template.heading,)

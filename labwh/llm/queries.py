@@ -120,9 +120,9 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"))
     template = chat.ChatTemplate()
     formatted = chat.format_conversations(rows.unionByName(probe), template)
-    written = staged(formatted.select("conv_id", "formatted", "valid"), "chat-formatted")
+    written = staged(formatted.select("conv_id", "formatted", "loss_spans", "valid"), "chat-formatted")
     read = chat.parse(written, template)
-    loss = F.array_join(F.transform(F.filter("parsed", lambda t: t["loss"]), lambda t: t["text"]), "")
+    loss = chat.under_mask(F.col("formatted"), F.col("loss_spans"), template)
     whole = F.array_join(F.transform("parsed", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select("conv_id", "formatted", "valid", F.size("parsed").cast("long").alias("n_turns"),
                        whole.alias("whole"), loss.alias("loss")).select(

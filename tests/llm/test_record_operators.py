@@ -344,3 +344,43 @@ def test_stages_of_odd_rows(spark, name, tmp_path):
         assert made.columns == list(corpus_pipeline.COLUMNS)
         assert {tuple(r) for r in found} <= set(rows)
     assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_loss_text_is_cut_by_the_written_mask(spark):
+    rows = [(1, 0, "user", "u\\<turn>é"), (1, 1, "assistant", "a </turn> 漢"), (1, 2, "user", ""), (1, 3, "assistant", None),
+            (1, 3, "assistant", "\\a"), (None, None, "assistant", "x"), (2, 0, "tool", "t"), (3, 0, None, None)]
+    table = spark.createDataFrame([(*r, "k") for r in rows], "conv_id long, turn long, role string, text string, loss string")
+    for roles in (("assistant",), ("user",), ("user", "tool"), ()):
+        template = chat.ChatTemplate(loss_roles=roles)
+        made = chat.format_conversations(table, template)
+        # The reader does not know the roles: it has the text and the spans only.
+        found = made.select("conv_id", chat.under_mask(F.col("formatted"), F.col("loss_spans")).alias("t"), "formatted", "loss_spans")
+        want = {}
+        for conv, turn, role, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or 0, r[2] or "", r[3] or "")):
+            want[conv] = want.get(conv, "") + ((text or "") if role in roles else "")
+        for r in found.collect():
+            assert r.t == want[r.conv_id]
+            raw = r.formatted.encode()
+            assert all(raw[s.start : s.start + s.length].decode() in r.formatted for s in r.loss_spans)
+    assert made.limit(0).count() == 0
+
+
+def test_fitting_rows_are_bounded_where_ids_are_not_unique(spark):
+    from labwh.llm import langid
+
+    texts = {"x": "lorem ipsum dolor sit amet", "y": "zażółć gęślą jaźń ćma"}
+    every = spark.range(6000).select(
+        F.lit(None).cast("long").alias("doc_id"), F.when(F.col("id") % 3 == 0, "x").otherwise("y").alias("lang"), F.col("id").alias("turn"))
+    docs = every.withColumn("text", F.concat(F.when(F.col("lang") == "x", texts["x"]).otherwise(texts["y"]), F.lit(" "), F.col("turn").cast("string")))
+    seen = []
+    solve = langid.solve
+    langid.solve = lambda spectrum, sets, names, *rest: seen.append(len(sets)) or solve(spectrum, sets, names, *rest)
+    try:
+        model = langid.fit(docs, sample=400)
+    finally:
+        langid.solve = solve
+    assert 0 < seen[0] <= 800
+    got = langid.predict(docs.limit(20), model).join(docs.select("text").limit(0), F.lit(False), "left").count()
+    assert got == 20
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(docs, max_languages=1)
