@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,16 +100,19 @@ def solve(spectrum: SpectrumKernel, sets: np.ndarray, languages: list[str], land
 
 
 def fit(docs: DataFrame, used: Column | None = None, spectrum: SpectrumKernel = SpectrumKernel(), sample: int = 4000,
-        landmarks: int = 128, ridge: float = 1.0) -> LanguageModel:
+        landmarks: int = 128, ridge: float = 1.0, max_languages: int = 1000) -> LanguageModel:
     """Learned from text and non-NULL lang of the rows that meet ``used``.
 
-    About ``sample`` rows, the same number for each language, chosen by hash of the id; they reach
-    the driver as packed presence bits (2 KiB each), so the bound holds for any corpus.
+    About ``sample`` rows, the same number for each language, chosen by hash of the id, and twice that number at
+    most, also where ids are NULL or repeat; they reach the driver as packed presence bits (2 KiB each). Languages are a
+    catalogue: one row each reaches the driver, and more than ``max_languages`` of them is an error.
     """
     rows = pick(docs, "doc_id", "lang", "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     if used is not None:
         rows = rows.where(used)
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(max_languages + 1).collect()}
+    if len(counts) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
     if not counts:
         return LanguageModel(spectrum)
     quota = max(20, sample // len(counts))
@@ -134,7 +137,10 @@ def fit(docs: DataFrame, used: Column | None = None, spectrum: SpectrumKernel =
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())],
                                              names=["lang", "order", "bits"])
 
-    found = rows.where(picked).select("lang", F.xxhash64("doc_id").alias("order"), "text").mapInArrow(bits, schema)
+    # Tasks limit their rows before the shuffle, so rows with one id do not meet in full.
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "text"))
+    some = rows.where(picked).withColumn("turn", turn).where(F.col("turn") <= 2 * quota)
+    found = some.select("lang", F.xxhash64("doc_id").alias("order"), "text").mapInArrow(bits, schema)
     some = sorted(((r["order"], r["lang"], bytes(r["bits"])) for r in found.where("bits IS NOT NULL").collect()))
     sets = np.array([np.unpackbits(np.frombuffer(b, np.uint8)) for *_, b in some], dtype=np.float32)
     return solve(spectrum, sets, [lang for _, lang, _ in some], landmarks, ridge)
