@@ -8,18 +8,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labwh.sources.staging import shared_dir
+
 #: White space of the word rule, as a Java character class and as characters.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors share: ``spark.checkpoint.dir``, else (as in tests) the warehouse."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return folder.rstrip("/")
-
-
 def fresh_path(spark: SparkSession, stem: str) -> str:
     """New path in the shared folder. Whoever runs the job empties that folder afterwards; results
     are lazy, so an operator cannot remove what its result still reads."""

@@ -5,10 +5,11 @@ Jaccard similarity t or more only if they share at least r(a, b) = ceil(t (a + b
 
 * Small sets enumerate, for each partner size, all their subsets of exactly r shingles. Sets that
   list the same subset for the same pair of sizes are similar.
-* Large sets are posted in inverted lists keyed by blocks of their shingles: the hash range is cut
-  into more blocks than similar sets can differ in, so similar sets share a whole non-empty block.
-  (Lists of single shingles would hold every document with a common passage.) Similar sets are
-  found by scanning a set's lists.
+* Large sets are posted in inverted lists of their rarest shingles: the first n - r + 1 in one fixed order,
+  r the least number that a similar set must share, so similar sets meet in a list. Similar sets are found by
+  scanning a set's lists. The order puts shingles last that a summary names as frequent, such as those of
+  passages that many documents share. Each task reduces the summary for itself, in bounded memory; any order is
+  exact, the summary only keeps the lists short.
 
 The boundary between the two is where the total cost of the list entries is least. All candidates are
 then compared shingle by shingle.
@@ -34,8 +35,13 @@ from labwh.llm.common import pick, staged
 from labwh.llm.graph import components
 
 M64 = (1 << 64) - 1
-#: Blocks beyond the pigeonhole's need, so that blocks empty on both sides do not count as shared.
-SPARE = 3
+#: Shingles that a task tracks to find frequent ones, and frequent ones that are kept in all.
+TRACKED, FREQUENT = 1 << 17, 1 << 15
+#: Words of 64 bits in a set's parity: unrelated sets of up to some 1,000 shingles are told apart by 512 bits.
+PARITY = 8
+PARITIES = [f"p{i}" for i in range(1, PARITY + 1)]
+#: Neighbours in a list that a member is held against before its set is fetched.
+NEIGHBOURS = 32
 #: Sets of this size or more are always large.
 SMALL_LIMIT = 48
 
@@ -51,15 +57,59 @@ def scramble_int(x: int) -> int:
     return int(scramble(np.array([x & M64], np.uint64))[0])
 
 
+@dataclass(frozen=True)
+class Frequent:
+    """Shingles (sorted) that many different sets hold, and in how many they were counted."""
+
+    shingles: np.ndarray
+    counts: np.ndarray
+
+
+NONE_FREQUENT = Frequent(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+class Counter:
+    """Counts of shingles in at most about twice ``TRACKED`` places: when they are used up, the most frequent
+    stay and all counts are lowered by the first that does not, so a count is too low by at most
+    the number of shingles seen / ``TRACKED``."""
+
+    def __init__(self) -> None:
+        self.shingles, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.waiting: list[np.ndarray] = []
+        self.held = 0
+
+    def add(self, found: np.ndarray) -> None:
+        self.waiting.append(found)
+        self.held += len(found)
+        if self.held >= 4 * TRACKED:
+            self.settle()
+
+    def settle(self) -> None:
+        seen, times = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.waiting]), return_counts=True)
+        self.waiting, self.held = [], 0
+        every, place = np.unique(np.concatenate([self.shingles, seen]), return_inverse=True)
+        total = np.zeros(len(every), np.int64)
+        np.add.at(total, place, np.concatenate([self.counts, times]))
+        if len(every) > TRACKED:
+            least = np.partition(total, len(total) - TRACKED - 1)[len(total) - TRACKED - 1]
+            every, total = every[total > least], total[total > least] - least
+        self.shingles, self.counts = every, total
+
+    def repeated(self) -> tuple[np.ndarray, np.ndarray]:
+        self.settle()
+        often = self.counts > 1
+        return self.shingles[often], self.counts[often]
+
+
 @dataclass(frozen=True)
 class Similarity:
     """Threshold ``percent`` / 100 and shingle length in words. ``scan_cost`` prices an entry of a large
-    set against one of a small set: a shared subset is a similar pair already, while members of a block's
+    set against one of a small set: a shared subset is a similar pair already, while members of a shingle's
     list have to be scanned and compared."""
 
     percent: int = 90
     words: int = 3
-    scan_cost: float = 4.0
+    scan_cost: float = 16.0
 
     def shingles(self, text: str | None) -> np.ndarray:
         """Sorted distinct 64-bit hashes of the text's shingles: A-Z lower-cased, words between white
@@ -84,31 +134,9 @@ class Similarity:
         """Shingles that sets of these sizes must share."""
         return -(-self.percent * (a + b) // (100 + self.percent))
 
-    def difference(self, total: int) -> int:
-        """The most shingles in which similar sets of that total size can differ."""
-        return (100 - self.percent) * total // (100 + self.percent)
-
-    # Size classes of the inverted lists: each is 1.5 times as wide as the one below.
-
-    def size_class(self, size: int) -> int:
-        k = 0
-        while self.class_end(k) <= size:
-            k += 1
-        return k
-
-    @staticmethod
-    def class_end(k: int) -> int:
-        end = 8
-        for _ in range(k):
-            end += end // 2
-        return end
-
-    def classes_of(self, size: int) -> list[int]:
-        """Classes whose lists a set is posted in: its own, and those of larger partners."""
-        return list(range(self.size_class(size), self.size_class(self.partners(size)[-1]) + 1))
-
-    def blocks(self, k: int) -> int:
-        return self.difference(2 * (self.class_end(k) - 1)) + 1 + SPARE
+    def posted(self, size: int) -> int:
+        """Shingles that a large set is posted under: one of them must be among those that a similar set shares."""
+        return size - self.needed(size, self.partners(size)[0]) + 1
 
     # Cost in list entries.
 
@@ -117,7 +145,7 @@ class Similarity:
                    if b < boundary and self.needed(size, b) <= min(size, b))
 
     def large_cost(self, size: int) -> float:
-        return self.scan_cost * sum(self.blocks(k) for k in self.classes_of(size))
+        return self.scan_cost * self.posted(size)
 
     def boundary(self, counts: dict[int, int]) -> int:
         """Sets below it are small. ``counts`` has the number of sets of each size below
@@ -130,7 +158,17 @@ class Similarity:
 
         return min(range(1, SMALL_LIMIT + 1), key=lambda x: (total(x), x))
 
-    def entries(self, found: np.ndarray, boundary: int) -> np.ndarray:
+    def rarest(self, found: np.ndarray, frequent: Frequent) -> np.ndarray:
+        """The first ``posted`` shingles: those not known as frequent by hash, then the others by count and hash."""
+        count = self.posted(len(found))
+        at = np.minimum(np.searchsorted(frequent.shingles, found), max(0, len(frequent.shingles) - 1))
+        known = frequent.shingles[at] == found if len(frequent.shingles) else np.zeros(len(found), bool)
+        if not known[:count].any():
+            return found[:count]  # sets are sorted by hash
+        times = np.where(known, frequent.counts[at], 0)
+        return found[np.lexsort((found, times))[:count]]
+
+    def entries(self, found: np.ndarray, boundary: int, frequent: Frequent) -> np.ndarray:
         """Keys of the lists that a set belongs to."""
         size = len(found)
         value = scramble(found)
@@ -144,32 +182,23 @@ class Similarity:
                     sums = [whole - sum(c) for c in combinations(map(int, value), less)]
                     keys.append(scramble(np.array([x & M64 for x in sums], np.uint64) ^ np.uint64(salt)))
         if self.partners(size)[-1] >= boundary:
-            for k in self.classes_of(size):
-                blocks = self.blocks(k)
-                # Hashes are sorted, so blocks of the hash range are runs.
-                starts = np.searchsorted(found >> np.uint64(32), (np.arange(blocks, dtype=np.uint64) << np.uint64(32)) // np.uint64(blocks))
-                ends = np.append(starts[1:], size)
-                totals = np.concatenate([[np.uint64(0)], np.cumsum(value, dtype=np.uint64)])
-                sums = totals[ends] - totals[starts]
-                salts = scramble(np.arange(blocks, dtype=np.uint64) | np.uint64((k + 1) << 40))
-                full = ends > starts
-                if blocks - full.sum() > SPARE:
-                    full[:] = True  # only such sets can share nothing but empty blocks
-                keys.append(scramble(sums + salts)[full])
+            keys.append(scramble(self.rarest(found, frequent) ^ np.uint64(0xA0761D6478BD642F)))
         return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
-    def parity(self, found: np.ndarray) -> tuple[int, int]:
-        """128 bits: the parity of the number of shingles in each of 128 hash classes. Sets that
-        differ in d shingles differ in at most d bits."""
-        bits = np.bincount((found & np.uint64(127)).astype(np.int64), minlength=128) & 1
-        a, b = np.packbits(bits.astype(np.uint8)).view(">i8").tolist()
-        return a, b
+    def parity(self, found: np.ndarray) -> list[int]:
+        """``PARITY`` words of 64 bits: the parity of the number of shingles in each of as many hash classes as there
+        are bits. Sets that differ in d shingles differ in at most d bits."""
+        bits = np.bincount((found & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1
+        return np.packbits(bits.astype(np.uint8)).view(">i8").tolist()
 
 
-def _per_document(docs: DataFrame, sim: Similarity, schema: T.StructType, make, once: bool = False) -> DataFrame:
+def _per_document(
+    docs: DataFrame, sim: Similarity, schema: T.StructType, make, once: bool = False, finish=None
+) -> DataFrame:
     """Rows that ``make(doc_id, shingles, k)`` yields for each document, in bounded batches; k is the
     64-bit hash of the set. With ``once`` a task skips sets that it has seen, so that a group of
-    copies is reduced before any shuffle."""
+    copies is reduced before any shuffle. ``finish`` yields a task's last rows from the counts of the
+    shingles of its different sets."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -178,7 +207,7 @@ def _per_document(docs: DataFrame, sim: Similarity, schema: T.StructType, make,
 
         arrow = to_arrow_schema(schema)
         columns: list[list] = [[] for _ in arrow]
-        held, seen = 0, set()
+        held, seen, counter = 0, set(), Counter() if finish else None
         weight = lambda column: sum(x.size if isinstance(x, np.ndarray) else 1 for x in column) if isinstance(column, list) else len(column)
 
         def emit():
@@ -193,10 +222,13 @@ def _per_document(docs: DataFrame, sim: Similarity, schema: T.StructType, make,
             for doc_id, text in zip(ids, batch.column(1)):
                 found = sim.shingles(text.as_py())
                 k = xxhash.xxh3_64_intdigest(found.tobytes())
-                if once:
-                    if (len(found), k) in seen:
-                        continue
+                if once or finish:
+                    known = (len(found), k) in seen
                     seen.add((len(found), k))
+                    if known and once:
+                        continue
+                    if finish and not known:
+                        counter.add(found)
                 rows = make(doc_id, found, np.array([k], np.uint64).view(np.int64))
                 for c, x in zip(columns, rows):
                     c.append(x)
@@ -205,27 +237,49 @@ def _per_document(docs: DataFrame, sim: Similarity, schema: T.StructType, make,
                     yield emit()
                     held = 0
         yield emit()
+        if finish:
+            for rows in finish(counter):
+                for c, x in zip(columns, rows):
+                    c.append(x)
+                yield emit()
 
     return pick(docs, "doc_id", "text").mapInArrow(run, schema)
 
 
 def document_sets(docs: DataFrame, sim: Similarity) -> DataFrame:
-    """doc_id, n (size), k (64-bit hash of the set), p1 and p2 (parity) of each document. Size and
-    hash together identify a set."""
+    """doc_id, n (size), k (64-bit hash of the set) and p1 to p8 (parity) of each document. Size and
+    hash together identify a set. Rows of size -1 are the tasks' counts of repeated shingles over their different
+    sets: k is the shingle, p1 the count."""
 
     def make(doc_id, found, k):
-        p1, p2 = sim.parity(found)
-        return [doc_id], [len(found)], k, [p1], [p2]
+        return [doc_id], [len(found)], k, *[[p] for p in sim.parity(found)]
+
+    def finish(counter: Counter):
+        shingles, counts = counter.repeated()
+        for i in range(0, len(shingles), 1 << 14):
+            part = shingles[i : i + (1 << 14)].view(np.int64)
+            none = [np.zeros(len(part), np.int64)] * (PARITY - 1)
+            yield [[None] * len(part), np.full(len(part), -1), part, counts[i : i + (1 << 14)], *none]
+
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType),
+                           *[T.StructField(c, T.LongType()) for c in ("n", "k", *PARITIES)]])
+    return _per_document(docs, sim, schema, make, finish=finish)
+
 
-    schema = T.StructType([docs.schema["doc_id"], *[T.StructField(c, T.LongType()) for c in ("n", "k", "p1", "p2")]])
-    return _per_document(docs, sim, schema, make)
+def frequent_shingles(sets: DataFrame) -> Frequent:
+    """The ``FREQUENT`` most counted shingles of the staged ``document_sets``; that many rows reach the driver."""
+    counted = sets.where("n = -1").groupBy("k").agg(F.sum("p1").alias("times"))
+    rows = counted.orderBy(F.col("times").desc(), "k").limit(FREQUENT).collect()
+    shingles = np.array([r["k"] for r in rows], np.int64).view(np.uint64)
+    by = np.argsort(shingles)
+    return Frequent(shingles[by], np.array([r["times"] for r in rows], np.int64)[by])
 
 
-def list_entries(docs: DataFrame, sim: Similarity, boundary: int) -> DataFrame:
+def list_entries(docs: DataFrame, sim: Similarity, boundary: int, frequent: Frequent = NONE_FREQUENT) -> DataFrame:
     """key, n, k: one row per list that a set belongs to, and per task that holds a copy of the set."""
 
     def make(_, found, k):
-        keys = sim.entries(found, boundary).view(np.int64) if len(found) else np.zeros(0, np.int64)
+        keys = sim.entries(found, boundary, frequent).view(np.int64) if len(found) else np.zeros(0, np.int64)
         return np.full(len(keys), len(found)), np.repeat(k, len(keys)), keys
 
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("n", "k", "key")])
@@ -243,14 +297,39 @@ def full_sets(docs: DataFrame, sim: Similarity) -> DataFrame:
     return _per_document(docs, sim, schema, make, once=True)
 
 
-def _possible(sim: Similarity, a: str, b: str) -> Column:
-    """Sizes and parities of two sets allow the similarity."""
-    na, nb = F.col(f"{a}n"), F.col(f"{b}n")
-    bits = sum(F.bit_count(F.col(f"{a}{p}").bitwiseXOR(F.col(f"{b}{p}"))) for p in ("p1", "p2"))
+def _possible(sim: Similarity, a, b) -> Column:
+    """Sizes and parities of two sets, given by functions from a name to its column, allow the similarity."""
+    na, nb = a("n"), b("n")
+    bits = sum((F.bit_count(a(p).bitwiseXOR(b(p))) for p in PARITIES), F.lit(0))
     return ((100 * F.least(na, nb) >= sim.percent * F.greatest(na, nb))
             & (bits * (100 + sim.percent) <= (100 - sim.percent) * (na + nb)))
 
 
+def _of(prefix: str):
+    return lambda name: F.col(prefix + name)
+
+
+def list_members(entries: DataFrame, classes: DataFrame, sim: Similarity) -> DataFrame:
+    """key, n, k and parity of the members of lists that another member may be similar to.
+
+    A member is dropped if no other member of its list has a fitting size (those next to it by size tell), or, in
+    lists of up to ``NEIGHBOURS`` others, if none has a fitting parity. In longer lists all stay.
+    """
+    # Shuffled once, by key: copies that several tasks listed are merged behind that shuffle.
+    listed = entries.repartition("key").groupBy("key", "n", "k").agg(F.lit(1).alias("one"))
+    by = Window.partitionBy("key").orderBy("n", "k")
+    near = lambda other: F.coalesce(
+        100 * F.least(F.col("n"), other) >= sim.percent * F.greatest(F.col("n"), other), F.lit(False))
+    fitting = listed.select("key", "n", "k", (near(F.lag("n").over(by)) | near(F.lead("n").over(by))).alias("fits"))
+    fitting = staged(fitting.where("fits").select("key", "n", "k"), "lists")
+    placed = fitting.join(classes.select("n", "k", *PARITIES), ["n", "k"])
+    around = by.rowsBetween(-NEIGHBOURS, NEIGHBOURS)
+    held = placed.withColumn("around", F.collect_list(F.struct("n", "k", *PARITIES)).over(around)).withColumn(
+        "size", F.count("*").over(Window.partitionBy("key")))
+    partner = F.exists("around", lambda x: ((x["n"] != F.col("n")) | (x["k"] != F.col("k"))) & _possible(sim, F.col, lambda c: x[c]))
+    return staged(held.where((F.col("size") > NEIGHBOURS + 1) | partner).select("key", "n", "k", *PARITIES), "members")
+
+
 def _renamed(df: DataFrame, prefix: str, *names: str) -> DataFrame:
     return df.select(*[F.col(n).alias(prefix + n) for n in names])
 
@@ -281,24 +360,19 @@ def _with_root(df: DataFrame, roots: DataFrame, prefix: str) -> DataFrame:
         f"{prefix}root", F.coalesce("found", own)).drop("found")
 
 
-def similar_classes(docs: DataFrame, sim: Similarity, sets: DataFrame, rounds: int = 2) -> tuple[DataFrame, DataFrame]:
+def similar_classes(
+    docs: DataFrame, sim: Similarity, sets: DataFrame, frequent: Frequent, rounds: int = 2
+) -> tuple[DataFrame, DataFrame]:
     """Links between different sets (an, ak, bn, bk; enough of them to connect all that is connected)
     and the roots (n, k, root) of the sets in them. ``sets`` are the staged ``document_sets``.
 
     ``rounds`` only decides how much is connected through list heads before the rest is compared."""
     classes = staged(sets.where("n > 0").groupBy("n", "k").agg(
-        F.first("p1").alias("p1"), F.first("p2").alias("p2"), F.min("doc_id").alias("doc_id")), "classes")
+        *[F.first(p).alias(p) for p in PARITIES], F.min("doc_id").alias("doc_id")), "classes")
     counts = {r["n"]: r["count"] for r in classes.where(F.col("n") < SMALL_LIMIT).groupBy("n").count().collect()}
     boundary = sim.boundary(counts)
 
-    # Members of lists of at least two sets. The head, the smallest hash, is next to each other member.
-    entries = list_entries(docs, sim, boundary)
-    first = "first({0}) OVER (PARTITION BY key ORDER BY k, n ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS a{0}"
-    lists = entries.selectExpr("key", "n AS bn", "k AS bk", first.format("n"), first.format("k"))
-    lists = staged(lists.where("an <> bn OR ak <> bk").distinct(), "lists")
-    members = lists.select("key", F.col("bn").alias("n"), F.col("bk").alias("k")).unionByName(
-        lists.select("key", F.col("an").alias("n"), F.col("ak").alias("k"))).distinct()
-    members = staged(members.join(classes.select("n", "k", "p1", "p2"), ["n", "k"]), "members")
+    members = list_members(list_entries(docs, sim, boundary, frequent), classes, sim)
 
     wanted = members.select("n", "k").distinct().join(classes, ["n", "k"]).select("doc_id").distinct()
     some = pick(docs, "doc_id", "text").alias("d").join(
@@ -307,7 +381,7 @@ def similar_classes(docs: DataFrame, sim: Similarity, sets: DataFrame, rounds: i
 
     none = sets.sparkSession.createDataFrame([], "an long, ak long, bn long, bk long, linked boolean")
     done, roots, open_lists = none, _roots(none), None
-    columns = ["n", "k", "p1", "p2", "root"]
+    columns = ["n", "k", *PARITIES, "root"]
     pair = ["an", "ak", "bn", "bk"]
 
     def side(prefix: str, extra: tuple[str, ...] = ()) -> list[Column]:
@@ -328,7 +402,7 @@ def similar_classes(docs: DataFrame, sim: Similarity, sets: DataFrame, rounds: i
             by = Window.partitionBy("key").orderBy(F.xxhash64(F.lit(turn), "k"), "n").rowsBetween(
                 Window.unboundedPreceding, Window.currentRow)
             headed = open_lists.select(*side("b"), *[F.first(c).over(by).alias("a" + c) for c in columns])
-            headed = headed.where((F.col("aroot") != F.col("broot")) & _possible(sim, "a", "b"))
+            headed = headed.where((F.col("aroot") != F.col("broot")) & _possible(sim, _of("a"), _of("b")))
             best = headed.groupBy(*pair).agg(F.count("*").alias("shared")).groupBy("bn", "bk").agg(
                 F.max_by(F.struct("an", "ak"), F.struct("shared", "ak", "an")).alias("a"))
             candidates = best.select(F.least(F.col("a"), F.struct(F.col("bn").alias("an"), F.col("bk").alias("ak"))).alias("a"),
@@ -342,7 +416,7 @@ def similar_classes(docs: DataFrame, sim: Similarity, sets: DataFrame, rounds: i
             a, b = rows.select("key", *side("a", ("firsts",))), rows.select(F.col("key").alias("bkey"), *side("b", ("firsts",)))
             earlier = F.array_min(F.array_intersect("afirsts", "bfirsts"))
             candidates = a.join(b, (F.col("key") == F.col("bkey")) & (F.struct("an", "ak") < F.struct("bn", "bk"))
-                                & (F.col("aroot") != F.col("broot")) & _possible(sim, "a", "b")
+                                & (F.col("aroot") != F.col("broot")) & _possible(sim, _of("a"), _of("b"))
                                 & (F.coalesce(earlier, F.col("key")) >= F.col("key"))).select(*pair).distinct()
         result = staged(_compared(candidates.join(done, pair, "left_anti"), found, sim), "compared")
         done = done.unionByName(result)
@@ -351,6 +425,12 @@ def similar_classes(docs: DataFrame, sim: Similarity, sets: DataFrame, rounds: i
     return done.where("linked").select(*pair), roots
 
 
+def _sets(docs: DataFrame, sim: Similarity) -> tuple[DataFrame, Frequent]:
+    """The stored sets of all documents, and the shingles that are frequent in them."""
+    stored = staged(document_sets(docs, sim), "document-sets")
+    return stored.where("n >= 0"), frequent_shingles(stored)
+
+
 def join(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
     """doc_id, n_shingles and component_id of every document.
 
@@ -358,10 +438,11 @@ def join(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
     smallest doc_id in it. NULL, empty and blank texts have the empty set: linked with nothing, and
     their own component. Documents with equal sets, repeated rows included, are linked. Rows with
     NULL doc_id take part; a component of such rows alone has NULL as its id. Extra columns are
-    dropped; an empty table gives no rows.
+    dropped; an empty table gives no rows. Texts of any length are compared whole. Shingles and sets
+    are told apart by 64-bit hashes.
     """
-    sets = staged(document_sets(docs, sim), "document-sets")
-    _, roots = similar_classes(docs, sim, sets)
+    sets, frequent = _sets(docs, sim)
+    _, roots = similar_classes(docs, sim, sets, frequent)
     classes = sets.where("n > 0").groupBy("n", "k").agg(F.min("doc_id").alias("least"))
     placed = _with_root(classes, roots, "")
     ids = placed.groupBy("root").agg(F.min("least").alias("component"))
@@ -371,18 +452,17 @@ def join(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def set_links(docs: DataFrame, sim: Similarity, sets: DataFrame) -> DataFrame:
+def set_links(docs: DataFrame, sim: Similarity, sets: DataFrame, frequent: Frequent) -> DataFrame:
     """All links between different sets (an, ak, bn, bk), each once. ``sets`` are the staged
     ``document_sets``. Sets that share a list are all compared, so the work grows with the pairs."""
     classes = staged(sets.where("n > 0").groupBy("n", "k").agg(
-        F.first("p1").alias("p1"), F.first("p2").alias("p2"), F.min("doc_id").alias("doc_id")), "classes")
+        *[F.first(p).alias(p) for p in PARITIES], F.min("doc_id").alias("doc_id")), "classes")
     counts = {r["n"]: r["count"] for r in classes.where(F.col("n") < SMALL_LIMIT).groupBy("n").count().collect()}
-    entries = list_entries(docs, sim, sim.boundary(counts)).distinct()
-    members = staged(entries.join(classes.drop("doc_id"), ["n", "k"]), "members")
-    names = ("n", "k", "p1", "p2")
+    members = list_members(list_entries(docs, sim, sim.boundary(counts), frequent), classes, sim)
+    names = ("n", "k", *PARITIES)
     a = members.select("key", *[F.col(c).alias(f"a{c}") for c in names])
     b = members.select("key", *[F.col(c).alias(f"b{c}") for c in names])
-    pairs = a.join(b, "key").where((F.struct("an", "ak") < F.struct("bn", "bk")) & _possible(sim, "a", "b"))
+    pairs = a.join(b, "key").where((F.struct("an", "ak") < F.struct("bn", "bk")) & _possible(sim, _of("a"), _of("b")))
     pairs = staged(pairs.select("an", "ak", "bn", "bk").distinct(), "pairs")
 
     ends = pairs.select(F.col("an").alias("n"), F.col("ak").alias("k")).unionByName(
@@ -400,8 +480,8 @@ def count_links(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
     NULL, empty and blank texts have no links. Documents with equal sets, repeated rows included, are
     linked. Extra columns are dropped; an empty table gives no rows.
     """
-    sets = staged(document_sets(docs, sim), "document-sets")
-    links = staged(set_links(docs, sim, sets), "links")
+    sets, frequent = _sets(docs, sim)
+    links = staged(set_links(docs, sim, sets, frequent), "links")
     copies = sets.where("n > 0").groupBy("n", "k").agg(F.count("*").alias("copies"))
     both = links.unionByName(links.select(F.col("bn").alias("an"), F.col("bk").alias("ak"), F.col("an").alias("bn"), F.col("ak").alias("bk")))
     others = both.join(_renamed(copies, "b", "n", "k", "copies"), ["bn", "bk"]).groupBy(

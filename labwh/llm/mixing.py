@@ -138,7 +138,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     ``copies`` is how often the mix takes the document, ``taken`` is copies times size. Documents
     without words (NULL text too) are not taken. NULL is a source of its own. Order inside a cell is
     by hash of the whole row, so reruns over the same rows agree; repeated rows are units of their
-    own. Extra columns are dropped. Sources are a catalogue: one row each reaches the driver, and
+    own. Texts of any length are counted whole; an empty table gives no rows. Extra columns are dropped. Sources are a catalogue: one row each reaches the driver, and
     more than ``max_sources`` of them is an error.
     """
     sized = staged(

@@ -129,7 +129,7 @@ def classify(docs: DataFrame, labels: DataFrame, used: Column | None = None,
     ``used`` is a condition on doc_id that labelled rows must meet. A document with several labels
     counts with the largest. NULL ids, NULL labels and labels without a document teach nothing; such
     documents are scored like any other. Repeated rows give repeated results, an empty table none;
-    extra columns are dropped. Labels and ids are no input of a score.
+    extra columns are dropped. Labels and ids are no input of a score. Texts of any length are taken whole.
     """
     rows = features(docs, carry)
     if learn_from is None:  # else each table is read once

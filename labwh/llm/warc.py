@@ -289,7 +289,8 @@ def archive(pages: DataFrame, folder: str, max_bytes: int = 1 << 30) -> DataFram
     payload_bytes and payload_digest. Those two are computed from what was read for responses, and are
     what the record states for revisits.
 
-    An empty table gives no files and no rows. Repeated rows give repeated records; extra columns are
+    NULL html is an empty payload; a page of any length is one record, held in memory while it is written or read. An
+    empty table gives no files and no rows. Repeated rows give repeated records; extra columns are
     dropped.
     """
     spark = pages.sparkSession
