@@ -5,11 +5,12 @@ Jaccard similarity t or more only if they share at least r(a, b) = ceil(t (a + b
 
 * Small sets enumerate, for each partner size, all their subsets of exactly r shingles. Sets that
   list the same subset for the same pair of sizes are similar.
-* Large sets are posted in inverted lists of their rarest shingles: the first n - r + 1 in one fixed order,
-  r the least number that a similar set must share, so similar sets meet in a list. Similar sets are found by
-  scanning a set's lists. The order puts shingles last that a summary names as frequent, such as those of
-  passages that many documents share. Each task reduces the summary for itself, in bounded memory; any order is
-  exact, the summary only keeps the lists short.
+* Large sets are posted in inverted lists, of one of two kinds. Lists of ``shingles``: a set's rarest ones, the first
+  n - r + 1 in one fixed order, r the least number that a similar set must share. The order puts shingles last that a
+  summary names as frequent; each task reduces the summary for itself, in bounded memory; any order is exact,
+  the summary only keeps the lists short. Lists of ``blocks``: the hash range is cut into more blocks than similar
+  sets can differ in, so similar sets share a whole non-empty block; at a high threshold that is fewer false members, as a
+  passage that many documents share seldom fills a block. Similar sets are found by scanning a set's lists.
 
 The boundary between the two is where the total cost of the list entries is least. All candidates are
 then compared shingle by shingle.
@@ -35,6 +36,8 @@ from labwh.llm.common import pick, staged
 from labwh.llm.graph import components
 
 M64 = (1 << 64) - 1
+#: Blocks beyond the pigeonhole's need, so that blocks empty on both sides do not count as shared.
+SPARE = 3
 #: Shingles that a task tracks to find frequent ones, and frequent ones that are kept in all.
 TRACKED, FREQUENT = 1 << 17, 1 << 15
 #: Words of 64 bits in a set's parity: unrelated sets of up to some 1,000 shingles are told apart by 512 bits.
@@ -104,12 +107,18 @@ class Counter:
 @dataclass(frozen=True)
 class Similarity:
     """Threshold ``percent`` / 100 and shingle length in words. ``scan_cost`` prices an entry of a large
-    set against one of a small set: a shared subset is a similar pair already, while members of a shingle's
-    list have to be scanned and compared."""
+    set against one of a small set: a shared subset is a similar pair already, while members of a large
+    set's list have to be scanned and compared; lists of single shingles hold four times as many of those.
+    ``lists`` is the kind of the large sets' lists."""
 
     percent: int = 90
     words: int = 3
-    scan_cost: float = 16.0
+    scan_cost: float = 4.0
+    lists: str = "blocks"
+
+    def __post_init__(self) -> None:
+        if self.lists not in ("blocks", "shingles"):
+            raise ValueError(f"lists are 'blocks' or 'shingles', got {self.lists!r}")
 
     def shingles(self, text: str | None) -> np.ndarray:
         """Sorted distinct 64-bit hashes of the text's shingles: A-Z lower-cased, words between white
@@ -138,6 +147,32 @@ class Similarity:
         """Shingles that a large set is posted under: one of them must be among those that a similar set shares."""
         return size - self.needed(size, self.partners(size)[0]) + 1
 
+    def difference(self, total: int) -> int:
+        """The most shingles in which similar sets of that total size can differ."""
+        return (100 - self.percent) * total // (100 + self.percent)
+
+    # Size classes of the inverted lists: each is 1.5 times as wide as the one below.
+
+    def size_class(self, size: int) -> int:
+        k = 0
+        while self.class_end(k) <= size:
+            k += 1
+        return k
+
+    @staticmethod
+    def class_end(k: int) -> int:
+        end = 8
+        for _ in range(k):
+            end += end // 2
+        return end
+
+    def classes_of(self, size: int) -> list[int]:
+        """Classes whose lists a set is posted in: its own, and those of larger partners."""
+        return list(range(self.size_class(size), self.size_class(self.partners(size)[-1]) + 1))
+
+    def blocks(self, k: int) -> int:
+        return self.difference(2 * (self.class_end(k) - 1)) + 1 + SPARE
+
     # Cost in list entries.
 
     def small_cost(self, size: int, boundary: int) -> int:
@@ -145,7 +180,9 @@ class Similarity:
                    if b < boundary and self.needed(size, b) <= min(size, b))
 
     def large_cost(self, size: int) -> float:
-        return self.scan_cost * self.posted(size)
+        if self.lists == "shingles":
+            return 4 * self.scan_cost * self.posted(size)
+        return self.scan_cost * sum(self.blocks(k) for k in self.classes_of(size))
 
     def boundary(self, counts: dict[int, int]) -> int:
         """Sets below it are small. ``counts`` has the number of sets of each size below
@@ -181,8 +218,21 @@ class Similarity:
                     salt = scramble_int(min(size, b) << 32 | max(size, b))
                     sums = [whole - sum(c) for c in combinations(map(int, value), less)]
                     keys.append(scramble(np.array([x & M64 for x in sums], np.uint64) ^ np.uint64(salt)))
-        if self.partners(size)[-1] >= boundary:
+        if self.partners(size)[-1] >= boundary and self.lists == "shingles":
             keys.append(scramble(self.rarest(found, frequent) ^ np.uint64(0xA0761D6478BD642F)))
+        elif self.partners(size)[-1] >= boundary:
+            for k in self.classes_of(size):
+                blocks = self.blocks(k)
+                # Hashes are sorted, so blocks of the hash range are runs.
+                starts = np.searchsorted(found >> np.uint64(32), (np.arange(blocks, dtype=np.uint64) << np.uint64(32)) // np.uint64(blocks))
+                ends = np.append(starts[1:], size)
+                totals = np.concatenate([[np.uint64(0)], np.cumsum(value, dtype=np.uint64)])
+                sums = totals[ends] - totals[starts]
+                salts = scramble(np.arange(blocks, dtype=np.uint64) | np.uint64((k + 1) << 40))
+                full = ends > starts
+                if blocks - full.sum() > SPARE:
+                    full[:] = True  # only such sets can share nothing but empty blocks
+                keys.append(scramble(sums + salts)[full])
         return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
     def parity(self, found: np.ndarray) -> list[int]:
@@ -248,7 +298,7 @@ def _per_document(
 
 def document_sets(docs: DataFrame, sim: Similarity) -> DataFrame:
     """doc_id, n (size), k (64-bit hash of the set) and p1 to p8 (parity) of each document. Size and
-    hash together identify a set. Rows of size -1 are the tasks' counts of repeated shingles over their different
+    hash together identify a set. For lists of shingles, rows of size -1 are the tasks' counts of repeated shingles over their different
     sets: k is the shingle, p1 the count."""
 
     def make(doc_id, found, k):
@@ -263,7 +313,7 @@ def document_sets(docs: DataFrame, sim: Similarity) -> DataFrame:
 
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType),
                            *[T.StructField(c, T.LongType()) for c in ("n", "k", *PARITIES)]])
-    return _per_document(docs, sim, schema, make, finish=finish)
+    return _per_document(docs, sim, schema, make, finish=finish if sim.lists == "shingles" else None)
 
 
 def frequent_shingles(sets: DataFrame) -> Frequent:
@@ -428,7 +478,7 @@ def similar_classes(
 def _sets(docs: DataFrame, sim: Similarity) -> tuple[DataFrame, Frequent]:
     """The stored sets of all documents, and the shingles that are frequent in them."""
     stored = staged(document_sets(docs, sim), "document-sets")
-    return stored.where("n >= 0"), frequent_shingles(stored)
+    return stored.where("n >= 0"), frequent_shingles(stored) if sim.lists == "shingles" else NONE_FREQUENT
 
 
 def join(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:

@@ -218,8 +218,10 @@ def test_jaccard_join_equals_brute_force(spark, percent, n):
             texts.append(" ".join(w).upper() if rnd.random() < 0.2 else "  ".join(w))
     docs = list(enumerate(texts))
     table = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, n int, key string").repartition(5)
-    got = jaccard.join(table, jaccard.Similarity(percent, n)).collect()
-    assert sorted(map(tuple, got)) == brute_components(docs, percent, n)
+    want = brute_components(docs, percent, n)
+    for lists in ("blocks", "shingles"):
+        got = jaccard.join(table, jaccard.Similarity(percent, n, lists=lists)).collect()
+        assert sorted(map(tuple, got)) == want
 
 
 @pytest.mark.parametrize("percent, n", [(90, 3), (80, 5)])
