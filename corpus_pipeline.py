@@ -15,7 +15,7 @@ from labwh.llm import jaccard, mixing, packing, quality_model, quality_rules
 from labwh.llm.common import fold, fresh_path
 
 #: Near copies: at least 0.8 similar in five-word shingles.
-NEAR = jaccard.Similarity(percent=80, words=5)
+NEAR = jaccard.Similarity(percent=80, words=5, lists="shingles")
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Stages express decisions of fitted models and a sampling design; SQL cannot.
 ORACLE_SQL = None
