@@ -23,7 +23,7 @@ each other afterwards, so every pair in a list is either compared or known to be
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -43,6 +43,9 @@ TRACKED, FREQUENT = 1 << 17, 1 << 15
 #: Words of 64 bits in a set's parity: unrelated sets of up to some 1,000 shingles are told apart by 512 bits.
 PARITY = 8
 PARITIES = [f"p{i}" for i in range(1, PARITY + 1)]
+#: Words of 64 bits in the folded parity that list entries carry.
+FOLDED = 2
+FOLDS = [f"q{i}" for i in range(1, FOLDED + 1)]
 #: Neighbours in a list that a member is held against before its set is fetched.
 NEIGHBOURS = 32
 #: Sets of this size or more are always large.
@@ -241,6 +244,10 @@ class Similarity:
         bits = np.bincount((found & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1
         return np.packbits(bits.astype(np.uint8)).view(">i8").tolist()
 
+    def folded(self, found: np.ndarray) -> list[int]:
+        """The parity with its hash classes merged to 64 for each of ``FOLDED`` words; the bound on differing bits holds too."""
+        return np.bitwise_xor.reduce(np.array(self.parity(found), np.int64).reshape(-1, FOLDED)).tolist()
+
 
 def _per_document(
     docs: DataFrame, sim: Similarity, schema: T.StructType, make, once: bool = False, finish=None
@@ -326,13 +333,13 @@ def frequent_shingles(sets: DataFrame) -> Frequent:
 
 
 def list_entries(docs: DataFrame, sim: Similarity, boundary: int, frequent: Frequent = NONE_FREQUENT) -> DataFrame:
-    """key, n, k: one row per list that a set belongs to, and per task that holds a copy of the set."""
+    """key, n, k, q1, q2 (folded parity): one row per list that a set belongs to, and per task that holds a copy of the set."""
 
     def make(_, found, k):
         keys = sim.entries(found, boundary, frequent).view(np.int64) if len(found) else np.zeros(0, np.int64)
-        return np.full(len(keys), len(found)), np.repeat(k, len(keys)), keys
+        return np.full(len(keys), len(found)), np.repeat(k, len(keys)), *[np.full(len(keys), q) for q in sim.folded(found)], keys
 
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("n", "k", "key")])
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("n", "k", *FOLDS, "key")])
     return _per_document(docs, sim, schema, make, once=True)
 
 
@@ -347,10 +354,10 @@ def full_sets(docs: DataFrame, sim: Similarity) -> DataFrame:
     return _per_document(docs, sim, schema, make, once=True)
 
 
-def _possible(sim: Similarity, a, b) -> Column:
+def _possible(sim: Similarity, a, b, words: Sequence[str] = PARITIES) -> Column:
     """Sizes and parities of two sets, given by functions from a name to its column, allow the similarity."""
     na, nb = a("n"), b("n")
-    bits = sum((F.bit_count(a(p).bitwiseXOR(b(p))) for p in PARITIES), F.lit(0))
+    bits = sum((F.bit_count(a(p).bitwiseXOR(b(p))) for p in words), F.lit(0))
     return ((100 * F.least(na, nb) >= sim.percent * F.greatest(na, nb))
             & (bits * (100 + sim.percent) <= (100 - sim.percent) * (na + nb)))
 
@@ -359,25 +366,34 @@ def _of(prefix: str):
     return lambda name: F.col(prefix + name)
 
 
+def _with_partner(listed: DataFrame, sim: Similarity, words: Sequence[str]) -> DataFrame:
+    """Rows (key, n, k, ``words``) of lists of more than ``NEIGHBOURS`` others, and of shorter ones those with a member
+    of fitting size and parity."""
+    by = Window.partitionBy("key").orderBy("n", "k")
+    around = by.rowsBetween(-NEIGHBOURS, NEIGHBOURS)
+    held = listed.withColumn("around", F.collect_list(F.struct("n", "k", *words)).over(around)).withColumn(
+        "size", F.count("*").over(Window.partitionBy("key")))
+    partner = F.exists("around", lambda x: ((x["n"] != F.col("n")) | (x["k"] != F.col("k")))
+                       & _possible(sim, F.col, lambda c: x[c], words))
+    return held.where((F.col("size") > NEIGHBOURS + 1) | partner).drop("around", "size")
+
+
 def list_members(entries: DataFrame, classes: DataFrame, sim: Similarity) -> DataFrame:
     """key, n, k and parity of the members of lists that another member may be similar to.
 
     A member is dropped if no other member of its list has a fitting size (those next to it by size tell), or, in
-    lists of up to ``NEIGHBOURS`` others, if none has a fitting parity. In longer lists all stay.
+    lists of up to ``NEIGHBOURS`` others, if none has a fitting parity. In longer lists all stay. The folded parity of
+    the entries drops most of them behind their one shuffle; the whole parity is fetched for the rest.
     """
     # Shuffled once, by key: copies that several tasks listed are merged behind that shuffle.
-    listed = entries.repartition("key").groupBy("key", "n", "k").agg(F.lit(1).alias("one"))
+    listed = entries.repartition("key").groupBy("key", "n", "k").agg(*[F.first(q).alias(q) for q in FOLDS])
     by = Window.partitionBy("key").orderBy("n", "k")
     near = lambda other: F.coalesce(
         100 * F.least(F.col("n"), other) >= sim.percent * F.greatest(F.col("n"), other), F.lit(False))
-    fitting = listed.select("key", "n", "k", (near(F.lag("n").over(by)) | near(F.lead("n").over(by))).alias("fits"))
-    fitting = staged(fitting.where("fits").select("key", "n", "k"), "lists")
+    fitting = listed.withColumn("fits", near(F.lag("n").over(by)) | near(F.lead("n").over(by))).where("fits").drop("fits")
+    fitting = staged(_with_partner(fitting, sim, FOLDS).select("key", "n", "k"), "lists")
     placed = fitting.join(classes.select("n", "k", *PARITIES), ["n", "k"])
-    around = by.rowsBetween(-NEIGHBOURS, NEIGHBOURS)
-    held = placed.withColumn("around", F.collect_list(F.struct("n", "k", *PARITIES)).over(around)).withColumn(
-        "size", F.count("*").over(Window.partitionBy("key")))
-    partner = F.exists("around", lambda x: ((x["n"] != F.col("n")) | (x["k"] != F.col("k"))) & _possible(sim, F.col, lambda c: x[c]))
-    return staged(held.where((F.col("size") > NEIGHBOURS + 1) | partner).select("key", "n", "k", *PARITIES), "members")
+    return staged(_with_partner(placed, sim, PARITIES).select("key", "n", "k", *PARITIES), "members")
 
 
 def _renamed(df: DataFrame, prefix: str, *names: str) -> DataFrame:

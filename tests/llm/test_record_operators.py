@@ -260,6 +260,22 @@ def test_a_task_lists_copies_once(spark):
         assert made.count() == made.distinct().count() and made.select("n", "k").distinct().count() == 2
 
 
+def test_list_entries_carry_a_folded_parity(spark):
+    rnd = random.Random(9)
+    sim = jaccard.Similarity()
+    for _ in range(50):
+        a = {rnd.getrandbits(64) for _ in range(rnd.randint(1, 400))}
+        b = {x for x in a if rnd.random() < 0.9} | {rnd.getrandbits(64) for _ in range(rnd.randint(0, 30))}
+        fold = [sim.folded(np.array(sorted(x), np.uint64)) for x in (a, b)]
+        assert sum(((x ^ y) & jaccard.M64).bit_count() for x, y in zip(*fold)) <= len(a ^ b)
+    # Two unlike sets in one list go before any whole parity is fetched; two like ones stay.
+    like = np.array(sorted(rnd.getrandbits(64) for _ in range(100)), np.uint64)
+    unlike = np.array(sorted(rnd.getrandbits(64) for _ in range(100)), np.uint64)
+    rows = [(key, 100, k, *sim.folded(s)) for key, k, s in ((1, 1, like), (1, 2, like), (2, 1, like), (2, 3, unlike))]
+    listed = spark.createDataFrame(rows, "key long, n long, k long, q1 long, q2 long")
+    assert {(r.key, r.k) for r in jaccard._with_partner(listed, sim, jaccard.FOLDS).collect()} == {(1, 1), (1, 2)}
+
+
 def test_boundary_takes_the_cheaper_side():
     sim = jaccard.Similarity()
     assert 10 < sim.boundary({s: s for s in range(1, 48)}) < 48
