@@ -26,12 +26,13 @@ POOLED = "*"
 
 @dataclass(frozen=True)
 class DivergenceRules:
-    """Thresholds. ``common_words`` short words make a language's word histogram. Histograms of documents
+    """Thresholds. ``common_words`` words make a language's word histogram; words over ``max_word_chars``
+    characters are never among them, and by default none is that long. Histograms of documents
     under ``min_words`` words are not judged (too noisy), and languages with fewer than
     ``min_reference`` usable documents are judged by the pooled reference."""
 
     common_words: int = 16
-    max_word_chars: int = 4
+    max_word_chars: int = 2**31 - 1
     min_words: int = 50
     min_reference: int = 20
     max_class_distance: float = 0.30
@@ -120,10 +121,10 @@ def document_statistics(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame
 
 def common_words(docs: DataFrame, rules: DivergenceRules) -> dict[str, list[str]]:
     """The words that occur in most documents of each language and of all, ties to the smaller
-    word; only words of at most ``max_word_chars`` characters, as function words are. At most
-    ``common_words`` rows per language reach the driver."""
-    short = F.filter(F.array_distinct(words_of(F.col("text"))), lambda w: F.length(w) <= rules.max_word_chars)
-    words = pick(docs, "lang", "text").select("lang", F.explode(short).alias("word"))
+    word; words of every length up to ``max_word_chars`` are counted. At most ``common_words`` rows per
+    language reach the driver."""
+    words = pick(docs, "lang", "text").select("lang", F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
+    words = words.where(F.length("word") <= rules.max_word_chars)
     counts = words.groupBy("lang", "word").count()
     # One chain, so that the texts are read once: each count goes to its language and to the pool.
     both = counts.select(

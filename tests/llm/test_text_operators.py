@@ -196,6 +196,12 @@ def test_divergent_documents_are_rejected(spark):
     assert all(got[i] for i in range(60)) and not any(got[60 + i] for i in range(3))
 
 
+def test_common_words_have_any_length(spark):
+    texts = ["nevertheless the 東京都庁舎前広場" if i % 2 else "nevertheless of" for i in range(6)]
+    got = quality_rules.common_words(documents(spark, texts, langs=("en",)), quality_rules.DivergenceRules())
+    assert got["en"] == got[quality_rules.POOLED] == ["nevertheless", "of", "the", "東京都庁舎前広場"]
+
+
 def test_js_distance(spark):
     row = spark.range(1).select(
         quality_rules.js_distance(F.array(F.lit(1.0), F.lit(0.0)), F.array(F.lit(0.0), F.lit(1.0))).alias("far"),
