@@ -168,6 +168,16 @@ def test_bitmap_states_of_several_runs_count_exactly(spark):
     assert got == {k: len(v) for k, v in want.items()}
 
 
+def test_bitmap_rows_are_as_narrow_as_facts(spark):
+    day = dt.date(2024, 5, 1)
+    ids = [0, 63, 64, 1 << 33, (1 << 33) + 1, (1 << 40) + 63, (1 << 33) + 1, None]
+    facts = spark.createDataFrame([(g, day, i) for g in ("a", None) for i in ids], "g string, day date, n long")
+    state = day_bitmaps(facts, ["g"], "day", "n")
+    assert state.schema["bits"].dataType.typeName() == "long" and state.count() == 8
+    assert {(r.g, r.unit, r.c) for r in distinct_by_unit(state, ["g"], "c").collect()} == {
+        (g, u, 6) for g in ("a", None) for u in ("day", "month", "year")}
+
+
 def test_details_are_stored_once_and_removed_by_the_run(spark):
     made = []
 
