@@ -109,3 +109,8 @@ def test_shared_details_are_read_instead_of_made_again(spark, name, table):
 def test_json_text_is_parsed_once_per_row(spark):
     text = plan_text(apilogs.api_calls(Roles(Tables(spark, FOLDER)).api_log))
     assert text.lower().count("parsejson") == 1 and "get_json_object" not in text
+
+
+def test_wage_lines_are_numbered_without_what_their_batch_shares(spark):
+    found = [x for x in plan(spark, "report_salary_detail").splitlines() if "FileScan" in x and "salary-lines" in x]
+    assert found and not any("project_name" in x for x in found)
