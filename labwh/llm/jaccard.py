@@ -12,8 +12,8 @@ Jaccard similarity t or more only if they share at least r(a, b) = ceil(t (a + b
   sets can differ in, so similar sets share a whole non-empty block; at a high threshold that is fewer false members, as a
   passage that many documents share seldom fills a block. Similar sets are found by scanning a set's lists.
 
-The boundary between the two is where the total cost of the list entries is least. All candidates are
-then compared shingle by shingle.
+The boundary between the two is where the total cost of the list entries is least. Candidates whose signatures
+allow the similarity are then compared shingle by shingle; only their sets are fetched.
 
 Lists are not expanded into pairs. Members are compared with the head of a list first, in a few rounds
 with other heads; only members of one list that are still in different components are compared with
@@ -244,6 +244,13 @@ class Similarity:
         bits = np.bincount((found & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1
         return np.packbits(bits.astype(np.uint8)).view(">i8").tolist()
 
+    def signature(self, found: np.ndarray) -> np.ndarray:
+        """The parity over as many hash classes as the set has shingles, or more: words of 64 bits, ``PARITY`` at least and
+        their number a power of two, so that a longer signature folds to the length of a shorter one."""
+        bits = 64 * max(PARITY, 1 << (max(1, -(-len(found) // 64)) - 1).bit_length())
+        odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+        return np.packbits(odd.astype(np.uint8)).view(">i8").astype(np.int64)
+
     def folded(self, found: np.ndarray) -> list[int]:
         """The parity with its hash classes merged to 64 for each of ``FOLDED`` words; the bound on differing bits holds too."""
         return np.bitwise_xor.reduce(np.array(self.parity(found), np.int64).reshape(-1, FOLDED)).tolist()
@@ -304,22 +311,23 @@ def _per_document(
 
 
 def document_sets(docs: DataFrame, sim: Similarity) -> DataFrame:
-    """doc_id, n (size), k (64-bit hash of the set) and p1 to p8 (parity) of each document. Size and
+    """doc_id, n (size), k (64-bit hash of the set), p1 to p8 (parity) and the signature of each document. Size and
     hash together identify a set. For lists of shingles, rows of size -1 are the tasks' counts of repeated shingles over their different
     sets: k is the shingle, p1 the count."""
 
     def make(doc_id, found, k):
-        return [doc_id], [len(found)], k, *[[p] for p in sim.parity(found)]
+        return [doc_id], [len(found)], k, *[[p] for p in sim.parity(found)], [sim.signature(found)]
 
     def finish(counter: Counter):
         shingles, counts = counter.repeated()
         for i in range(0, len(shingles), 1 << 14):
             part = shingles[i : i + (1 << 14)].view(np.int64)
             none = [np.zeros(len(part), np.int64)] * (PARITY - 1)
-            yield [[None] * len(part), np.full(len(part), -1), part, counts[i : i + (1 << 14)], *none]
+            yield [[None] * len(part), np.full(len(part), -1), part, counts[i : i + (1 << 14)], *none, [None] * len(part)]
 
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType),
-                           *[T.StructField(c, T.LongType()) for c in ("n", "k", *PARITIES)]])
+                           *[T.StructField(c, T.LongType()) for c in ("n", "k", *PARITIES)],
+                           T.StructField("signature", T.ArrayType(T.LongType()))])
     return _per_document(docs, sim, schema, make, finish=finish if sim.lists == "shingles" else None)
 
 
@@ -400,6 +408,39 @@ def _renamed(df: DataFrame, prefix: str, *names: str) -> DataFrame:
     return df.select(*[F.col(n).alias(prefix + n) for n in names])
 
 
+def _alike(pairs: DataFrame, classes: DataFrame, sim: Similarity) -> DataFrame:
+    """Those of ``pairs`` (an, ak, bn, bk) whose signatures allow the similarity. A signature takes a bit or two for each
+    shingle, so it is a small part of its set."""
+    found = pairs.join(_renamed(classes, "b", "n", "k", "signature"), ["bn", "bk"]).join(
+        _renamed(classes, "a", "n", "k", "signature"), ["an", "ak"])
+    shorter = F.size("asignature") <= F.size("bsignature")
+    found = found.select("an", "ak", "bn", "bk", F.when(shorter, F.col("asignature")).otherwise(F.col("bsignature")).alias("short"),
+                         F.when(shorter, F.col("bsignature")).otherwise(F.col("asignature")).alias("long"))
+    # Words of both that fold to the same place cancel out where the sets agree.
+    differing = F.transform("short", lambda w, i: F.aggregate(
+        F.sequence(i, F.size("long") - 1, F.size("short")), w, lambda x, j: x.bitwiseXOR(F.get("long", j))))
+    bits = F.aggregate(differing, F.lit(0), lambda total, w: total + F.bit_count(w))
+    return found.where(bits * (100 + sim.percent) <= (100 - sim.percent) * (F.col("an") + F.col("bn"))).select(
+        "an", "ak", "bn", "bk")
+
+
+def _fetched(docs: DataFrame, sim: Similarity, pairs: DataFrame, classes: DataFrame, had: DataFrame | None = None) -> DataFrame:
+    """``had`` (n, k, shingles) with the other sets of ``pairs``, each once."""
+    ends = pairs.select(F.col("an").alias("n"), F.col("ak").alias("k")).unionByName(
+        pairs.select(F.col("bn").alias("n"), F.col("bk").alias("k"))).distinct()
+    if had is not None:
+        ends = ends.join(had.select("n", "k"), ["n", "k"], "left_anti")
+    wanted = staged(ends.join(classes, ["n", "k"]).select("n", "k", "doc_id"), "wanted")
+    if had is not None and wanted.isEmpty():
+        return had
+    some = pick(docs, "doc_id", "text").alias("d").join(
+        wanted.select("doc_id").distinct().alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")), "left_semi")
+    # Documents that share an id bring sets that nobody asked for.
+    found = full_sets(some, sim).join(wanted.select("n", "k"), ["n", "k"], "left_semi").dropDuplicates(["n", "k"])
+    found = staged(found.select("n", "k", "shingles"), "sets")
+    return found if had is None else had.unionByName(found)
+
+
 def _compared(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
     """``pairs`` (an, ak, bn, bk) with ``linked``. Sets come by two joins whose pair side can be
     split where one set has many partners."""
@@ -426,6 +467,12 @@ def _with_root(df: DataFrame, roots: DataFrame, prefix: str) -> DataFrame:
         f"{prefix}root", F.coalesce("found", own)).drop("found")
 
 
+def _classes(sets: DataFrame) -> DataFrame:
+    """n, k, parity, signature and the smallest doc_id of each set that is not empty, stored."""
+    return staged(sets.where("n > 0").groupBy("n", "k").agg(
+        *[F.first(c).alias(c) for c in (*PARITIES, "signature")], F.min("doc_id").alias("doc_id")), "classes")
+
+
 def similar_classes(
     docs: DataFrame, sim: Similarity, sets: DataFrame, frequent: Frequent, rounds: int = 2
 ) -> tuple[DataFrame, DataFrame]:
@@ -433,20 +480,14 @@ def similar_classes(
     and the roots (n, k, root) of the sets in them. ``sets`` are the staged ``document_sets``.
 
     ``rounds`` only decides how much is connected through list heads before the rest is compared."""
-    classes = staged(sets.where("n > 0").groupBy("n", "k").agg(
-        *[F.first(p).alias(p) for p in PARITIES], F.min("doc_id").alias("doc_id")), "classes")
+    classes = _classes(sets)
     counts = {r["n"]: r["count"] for r in classes.where(F.col("n") < SMALL_LIMIT).groupBy("n").count().collect()}
     boundary = sim.boundary(counts)
 
     members = list_members(list_entries(docs, sim, boundary, frequent), classes, sim)
 
-    wanted = members.select("n", "k").distinct().join(classes, ["n", "k"]).select("doc_id").distinct()
-    some = pick(docs, "doc_id", "text").alias("d").join(
-        wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")), "left_semi")
-    found = staged(full_sets(some, sim).dropDuplicates(["n", "k"]), "sets")
-
     none = sets.sparkSession.createDataFrame([], "an long, ak long, bn long, bk long, linked boolean")
-    done, roots, open_lists = none, _roots(none), None
+    done, roots, found = none, _roots(none), None
     columns = ["n", "k", *PARITIES, "root"]
     pair = ["an", "ak", "bn", "bk"]
 
@@ -484,7 +525,9 @@ def similar_classes(
             candidates = a.join(b, (F.col("key") == F.col("bkey")) & (F.struct("an", "ak") < F.struct("bn", "bk"))
                                 & (F.col("aroot") != F.col("broot")) & _possible(sim, _of("a"), _of("b"))
                                 & (F.coalesce(earlier, F.col("key")) >= F.col("key"))).select(*pair).distinct()
-        result = staged(_compared(candidates.join(done, pair, "left_anti"), found, sim), "compared")
+        candidates = staged(_alike(candidates.join(done, pair, "left_anti"), classes, sim), "candidates")
+        found = _fetched(docs, sim, candidates, classes, found)
+        result = staged(_compared(candidates, found, sim), "compared")
         done = done.unionByName(result)
         if not result.where("linked").isEmpty():
             roots = staged(_roots(done.where("linked")), "roots")
@@ -521,22 +564,15 @@ def join(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
 def set_links(docs: DataFrame, sim: Similarity, sets: DataFrame, frequent: Frequent) -> DataFrame:
     """All links between different sets (an, ak, bn, bk), each once. ``sets`` are the staged
     ``document_sets``. Sets that share a list are all compared, so the work grows with the pairs."""
-    classes = staged(sets.where("n > 0").groupBy("n", "k").agg(
-        *[F.first(p).alias(p) for p in PARITIES], F.min("doc_id").alias("doc_id")), "classes")
+    classes = _classes(sets)
     counts = {r["n"]: r["count"] for r in classes.where(F.col("n") < SMALL_LIMIT).groupBy("n").count().collect()}
     members = list_members(list_entries(docs, sim, sim.boundary(counts), frequent), classes, sim)
     names = ("n", "k", *PARITIES)
     a = members.select("key", *[F.col(c).alias(f"a{c}") for c in names])
     b = members.select("key", *[F.col(c).alias(f"b{c}") for c in names])
     pairs = a.join(b, "key").where((F.struct("an", "ak") < F.struct("bn", "bk")) & _possible(sim, _of("a"), _of("b")))
-    pairs = staged(pairs.select("an", "ak", "bn", "bk").distinct(), "pairs")
-
-    ends = pairs.select(F.col("an").alias("n"), F.col("ak").alias("k")).unionByName(
-        pairs.select(F.col("bn").alias("n"), F.col("bk").alias("k"))).distinct()
-    wanted = ends.join(classes, ["n", "k"]).select("doc_id").distinct()
-    some = pick(docs, "doc_id", "text").alias("d").join(
-        wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")), "left_semi")
-    found = staged(full_sets(some, sim).dropDuplicates(["n", "k"]), "sets")
+    pairs = staged(_alike(pairs.select("an", "ak", "bn", "bk").distinct(), classes, sim), "pairs")
+    found = _fetched(docs, sim, pairs, classes)
     return _compared(pairs, found, sim).where("linked").drop("linked")
 
 

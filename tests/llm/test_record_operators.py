@@ -276,6 +276,50 @@ def test_list_entries_carry_a_folded_parity(spark):
     assert {(r.key, r.k) for r in jaccard._with_partner(listed, sim, jaccard.FOLDS).collect()} == {(1, 1), (1, 2)}
 
 
+def test_signatures_bound_the_difference_of_sets_of_any_size(spark):
+    rnd = random.Random(10)
+    sim, rows, want = jaccard.Similarity(percent=80), [], set()
+    pairs = []
+    for i in range(60):  # sizes near 512, 1024 and 2048, where one signature is twice as long
+        a = {rnd.getrandbits(64) for _ in range(rnd.choice((1, 60, 500, 512, 1000, 1024, 2000)) + rnd.randint(0, 3))}
+        keep = rnd.choice((1, 0.95, 0.9, 0.4))
+        b = {x for x in a if rnd.random() < keep} | {rnd.getrandbits(64) for _ in range(rnd.randint(0, len(a) // 9))} or a
+        sets = [np.array(sorted(x), np.uint64) for x in (a, b)]
+        rows += [(len(x), 2 * i + j, sim.signature(x).tolist()) for j, x in enumerate(sets)]
+        pairs.append((len(a), 2 * i, len(b), 2 * i + 1))
+        if 100 * len(a & b) >= 80 * len(a | b):
+            want.add(2 * i)
+    classes = spark.createDataFrame(rows, "n long, k long, signature array<long>")
+    assert len({len(s) for *_, s in rows}) > 2
+    got = {r.ak for r in jaccard._alike(spark.createDataFrame(pairs, "an long, ak long, bn long, bk long"), classes, sim).collect()}
+    large_and_unlike = {ak for an, ak, bn, _ in pairs if ak not in want and an > 1000 and 2 * bn < an}
+    assert want and large_and_unlike and want <= got and not got & large_and_unlike
+
+
+@pytest.mark.parametrize("lists", ["blocks", "shingles"])
+def test_only_sets_of_alike_documents_are_fetched(spark, monkeypatch, lists):
+    rnd = random.Random(11)
+    word = lambda: f"w{rnd.getrandbits(40)}"
+    shared = [word() for _ in range(1500)]  # a passage in long texts that are not alike
+    texts = [" ".join(shared + [word() for _ in range(1500)]) for _ in range(6)]
+    texts.append(texts[0] + " end")
+    stored = []
+    real = jaccard.staged
+
+    def spy(df, stem):
+        out = real(df, stem)
+        stored.extend([out] if stem == "sets" else [])
+        return out
+
+    monkeypatch.setattr(jaccard, "staged", spy)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = sorted(tuple(r) for r in jaccard.join(docs, jaccard.Similarity(80, 5, lists=lists)).select("doc_id", "component_id").collect())
+    assert got == [(i, i % 6) for i in range(7)]
+    # Each of them once, though several turns compare.
+    assert sorted(r.n for s in stored for r in s.collect()) == [2996, 2997]
+    assert jaccard.count_links(docs, jaccard.Similarity(80, 5, lists=lists)).where("n_links = 1").count() == 2
+
+
 def test_boundary_takes_the_cheaper_side():
     sim = jaccard.Similarity()
     assert 10 < sim.boundary({s: s for s in range(1, 48)}) < 48
