@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labwh.llm.common import pick, staged
-from labwh.llm.graph import components
+from labwh.llm.graph import components, in_files
 
 M64 = (1 << 64) - 1
 #: Blocks beyond the pigeonhole's need, so that blocks empty on both sides do not count as shared.
@@ -452,10 +452,10 @@ def _compared(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
         (100 * F.col("both") >= sim.percent * (F.col("an") + F.col("bn") - F.col("both"))).alias("linked"))
 
 
-def _roots(links: DataFrame) -> DataFrame:
-    """n, k, root of all sets in links."""
+def _roots(links: DataFrame, rows: int) -> DataFrame:
+    """n, k, root of all sets in links, which are ``rows``."""
     node = lambda p: F.struct(F.col(f"{p}n").alias("n"), F.col(f"{p}k").alias("k"))
-    return components(links.select(node("a").alias("u"), node("b").alias("v"))).select(
+    return components(links.select(node("a").alias("u"), node("b").alias("v")), rows).select(
         "node.n", "node.k", "root")
 
 
@@ -487,7 +487,7 @@ def similar_classes(
     members = list_members(list_entries(docs, sim, boundary, frequent), classes, sim)
 
     none = sets.sparkSession.createDataFrame([], "an long, ak long, bn long, bk long, linked boolean")
-    done, roots, found = none, _roots(none), None
+    done, linked, roots, found = none, 0, _roots(none, 0), None
     columns = ["n", "k", *PARITIES, "root"]
     pair = ["an", "ak", "bn", "bk"]
 
@@ -529,8 +529,10 @@ def similar_classes(
         found = _fetched(docs, sim, candidates, classes, found)
         result = staged(_compared(candidates, found, sim), "compared")
         done = done.unionByName(result)
-        if not result.where("linked").isEmpty():
-            roots = staged(_roots(done.where("linked")), "roots")
+        more = result.where("linked").count()
+        if more:
+            linked += more
+            roots = staged(in_files(_roots(done.where("linked"), linked), 2 * linked), "roots")
     return done.where("linked").select(*pair), roots
 
 

@@ -446,3 +446,24 @@ def test_fitting_rows_are_bounded_where_ids_are_not_unique(spark):
     assert got == 20
     with pytest.raises(ValueError, match="languages"):
         langid.fit(docs, max_languages=1)
+
+
+def test_small_edge_tables_are_few_files(spark):
+    from labwh.llm import graph
+
+    links = spark.range(400).select(F.col("id").alias("u"), (F.col("id") + F.when(F.col("id") % 20 == 19, 0).otherwise(1)).alias("v"))
+    settings = {"spark.sql.shuffle.partitions": "25", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    tables, write = [], graph.staged
+    graph.staged = lambda df, stem: tables.append(write(df, stem)) or tables[-1]
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = {r.node: r.root for r in graph.components(links, 400).collect()}
+    finally:
+        graph.staged = write
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: i // 20 * 20 for i in range(400)}
+    assert len(tables) > 2
+    assert all(len(t.inputFiles()) == 1 for t in tables)
