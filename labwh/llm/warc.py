@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import json
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labwh.llm.common import pick
+from labwh.llm.graph import FILE_ROWS
 
 GZIP = 31  # zlib's window bits for gzip framing
 CRLF = b"\r\n"
@@ -295,12 +297,14 @@ def archive(pages: DataFrame, folder: str, max_bytes: int = 1 << 30) -> DataFram
     """
     spark = pages.sparkSession
     made = write_monolithic(resolve(pages), f"{folder}/monolithic", max_bytes)
-    made.write.parquet(f"{folder}/written")
+    # A row per archive: they are gathered into one part file, not one for each task that wrote archives.
+    made.repartition(1).write.parquet(f"{folder}/written")
     files = spark.read.schema(made.schema).parquet(f"{folder}/written")
     n = files.count()
-    # One file per task: a stream cannot be shared, and tasks should not wait for each other.
+    # One file per task: a stream cannot be shared, and tasks should not wait for each other. Dealt in
+    # turn from the one part file, no task gets two.
     done = normalise(files.repartition(max(1, n)), f"{folder}/normalised")
-    done.write.parquet(f"{folder}/manifest")
+    done.repartition(max(1, math.ceil(n / FILE_ROWS))).write.parquet(f"{folder}/manifest")
     schema = "record_id string, type string, uri string, refers_to string, stated_digest string, stated_length long, payload binary"
     if n:
         found = read_records(read_index(spark, f"{folder}/normalised").where(F.col("type").isin("response", "revisit")))

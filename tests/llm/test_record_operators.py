@@ -467,3 +467,28 @@ def test_small_edge_tables_are_few_files(spark):
     assert got == {i: i // 20 * 20 for i in range(400)}
     assert len(tables) > 2
     assert all(len(t.inputFiles()) == 1 for t in tables)
+
+
+def test_lists_of_archives_are_one_file_and_no_task_gets_two(spark):
+    import glob
+
+    pages = spark.range(500).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.col("id").cast("string").alias("html"))
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.shuffle.partitions": "25"}
+    before = {k: spark.conf.get(k) for k in settings}
+    dealt, normalise = [], warc.normalise
+    warc.normalise = lambda files, folder: dealt.append(files) or normalise(files, folder)
+    folder = fresh_path(spark, "warc-test")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = warc.archive(pages, folder).select("page_id").collect()
+    finally:
+        warc.normalise = normalise
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(r.page_id for r in got) == list(range(500))
+    path = folder.removeprefix("file://")
+    assert len(glob.glob(f"{path}/normalised/*.gz")) > 10
+    assert [len(glob.glob(f"{path}/{k}/*.parquet")) for k in ("written", "manifest")] == [1, 1]
+    assert dealt[0].rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() == [1] * len(glob.glob(f"{path}/monolithic/*.gz"))
