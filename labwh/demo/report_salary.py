@@ -148,7 +148,7 @@ def lines(t: Tables) -> DataFrame:
 """, VIEWS))
 def report_salary_detail(t: Tables) -> DataFrame:
     return plain(
-        plan.salary_detail_of(*line_tables(t)), "source_pid", "source_project_name", "source_project_condition", "source_cid",
+        plan.salary_detail(*line_tables(t)), "source_pid", "source_project_name", "source_project_condition", "source_cid",
         "source_county_code", "pid", "project_name", "county_code", "county_name", "cid",
         "pro_company_name", "salary_cid", "salary_company_type", "salary_company_name", "year",
         "month", "year_month", "batch_no", "batch_status", "batch_amt", "id_card_no", "real_name",

@@ -50,7 +50,7 @@ from labwh.operators.periods import (
     period_series,
     with_month_shift,
 )
-from labwh.operators.ranges import By, numbered_rows, rank_by_ranges
+from labwh.operators.ranges import By, join_ranked, numbered_rows, rank_by_ranges
 from labwh.operators.heavy import heavy_keys
 from labwh.operators.spread import spread_join
 from labwh.operators.rules import all_met, covered_status, met_if, score_rules
